@@ -24,7 +24,8 @@ def words(text: Column) -> Column:
 
 def language_hits(tokens: Column) -> dict[str, Column]:
     """For each language the number of words that are its function words."""
-    return {
-        lang: F.size(F.filter(tokens, lambda w, known=known: w.isin(known)))
-        for lang, known in FUNCTION_WORDS.items()
-    }
+
+    def count(known: list[str]) -> Column:
+        return F.size(F.filter(tokens, lambda w: w.isin(known)))
+
+    return {lang: count(known) for lang, known in FUNCTION_WORDS.items()}

@@ -61,6 +61,11 @@ def first_filled(*columns: Column) -> Column:
     return F.coalesce(*[empty_to_null(c) for c in columns])
 
 
+def remove_non_text(html: Column) -> Column:
+    """Drop comments, scripts, styles and templates; other markup stays."""
+    return F.regexp_replace(html, NON_TEXT, NODE)
+
+
 def mark_nodes(html: Column) -> Column:
     """Replace every piece of markup by the node border mark."""
     return F.when(F.contains(html, F.lit("<")), F.regexp_replace(html, MARKUP, NODE)).otherwise(html)

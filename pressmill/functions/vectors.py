@@ -65,48 +65,46 @@ class TopK:
     ``SCORE_DIGITS``) descending, then id ascending.
     """
 
-    def __init__(self, questions: np.ndarray, limits: np.ndarray, threshold: float | None):
-        self.questions = unit_rows(questions).T
-        self.limits = limits
-        self.threshold = -np.inf if threshold is None else threshold
-        n = questions.shape[0]
-        self.floor = np.full(n, self.threshold)  # a score below cannot enter
+    def __init__(self, questions: np.ndarray, limits: np.ndarray, threshold: float | None = None):
+        self._questions = unit_rows(questions).T
+        self._limits = limits
+        self._threshold = -np.inf if threshold is None else threshold
+        self._floor = np.full(len(limits), self._threshold)  # no lower score can enter
+        self._full = np.zeros(len(limits), dtype=bool)
         self.q = np.zeros(0, dtype=np.int64)
         self.score = np.zeros(0)
         self.ids = None
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        step = max(1, _BLOCK_SCORES // max(1, len(self.floor)))
+        step = max(1, _BLOCK_SCORES // max(1, len(self._limits)))
         for at in range(0, len(ids), step):
             self._add_block(ids[at : at + step], unit_rows(vectors[at : at + step]))
 
     def _add_block(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        scores = vectors @ self.questions
-        floor = self.floor
-        widest = int(self.limits.max(initial=0))
-        if len(ids) > widest and np.isneginf(floor).any():
-            # No full list yet: the block's own k-th best bounds what may enter.
+        scores = vectors @ self._questions
+        floor = self._floor
+        widest = int(self._limits.max(initial=0))
+        if len(ids) > widest and not self._full.all():
+            # Some list is not full yet: the block's own k-th best bounds it.
             kth = np.partition(scores, len(ids) - widest, axis=0)[len(ids) - widest]
             floor = np.maximum(floor, kth)
         # The slack keeps every score that rounding could lift to the floor.
         row, q = np.nonzero(scores >= floor - 2 * 10.0**-SCORE_DIGITS)
+        score = np.round(scores[row, q], SCORE_DIGITS)
+        above = score >= self._threshold
+        row, q, score = row[above], q[above], score[above]
         if not len(row):
             return
-        score = np.round(scores[row, q], SCORE_DIGITS)
-        keep = score >= self.threshold
-        row, q, score = row[keep], q[keep], score[keep]
-        ids = ids[row]
+        found = ids[row] if ids.dtype != object else ids[row].astype(str)
         if self.ids is not None:
-            q, score, ids = (
-                np.concatenate([self.q, q]),
-                np.concatenate([self.score, score]),
-                np.concatenate([self.ids, ids]),
-            )
-        order = np.lexsort((ids, -score, q))
-        q, score, ids = q[order], score[order], ids[order]
-        starts = np.searchsorted(q, np.arange(len(self.floor)))
-        place = np.arange(len(q)) - starts[q]
-        best = place < self.limits[q]
-        self.q, self.score, self.ids = q[best], score[best], ids[best]
-        last = self.q[place[best] == self.limits[self.q] - 1]
-        self.floor[last] = self.score[place[best] == self.limits[self.q] - 1]
+            q = np.concatenate([self.q, q])
+            score = np.concatenate([self.score, score])
+            found = np.concatenate([self.ids, found])
+        order = np.lexsort((found, -score, q))
+        q, score, found = q[order], score[order], found[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        best = place < self._limits[q]
+        self.q, self.score, self.ids = q[best], score[best], found[best]
+        last = place[best] == self._limits[self.q] - 1
+        self._floor[self.q[last]] = self.score[last]
+        self._full[self.q[last]] = True

@@ -19,14 +19,26 @@ DECODE_REASONS = ["not_object", "unknown_key", "missing_key", "bad_type"]
 _SHAPES = {
     T.StringType(): "(?:STRING|VOID)",
     T.LongType(): "(?:BIGINT|VOID)",
-    T.ArrayType(T.StringType()): "(?:ARRAY<(?:STRING|VOID|VARIANT)>|VOID)",
+    T.ArrayType(T.StringType()): "(?:ARRAY<(?:STRING|VOID)>|VOID)",
 }
 
 
 def _well_typed() -> str:
     """Pattern of the variant schema of an object whose known keys fit their types."""
     fields = "|".join(f"{f.name}: {_SHAPES[f.dataType]}" for f in ITEM.fields)
-    return f"^OBJECT<(?:(?:{fields})(?:, )?)*>$"
+    return f"^ARRAY<OBJECT<(?:(?:{fields})(?:, )?)*>>$"
+
+
+def _parse(value: Column) -> Column:
+    """The value as the only element of a variant array, null if it is no JSON.
+
+    The parser stops at the end of the first value; the brackets make it look
+    at what follows. Text that could close the bracket itself is parsed in
+    braces as well: nothing but the end of the text passes both.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    braced = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")))
+    return F.when(F.rlike(value, F.lit(r"\}\s*\]")) & braced.isNull(), F.lit(None)).otherwise(listed)
 
 
 def record_value(records: DataFrame, column: str = "value") -> Column:
@@ -59,27 +71,26 @@ def decode_records(records: DataFrame, column: str = "value") -> DataFrame:
     others = [c for c in records.columns if c != column]
     shaped = (
         records.select(*others, record_value(records, column).alias("value"))
-        .withColumn("_v", F.try_parse_json("value"))
+        .withColumn("_v", _parse(F.col("value")))
         .withColumn("_shape", F.schema_of_variant("_v"))
     )
     shape, value = F.col("_shape"), F.col("value")
     keys = F.json_object_keys(value)
     unknown = F.size(F.array_except(keys, F.array(*[F.lit(n) for n in ITEM.fieldNames()]))) > 0
-    missing = ~F.arrays_overlap(keys, F.array(F.lit(ITEM_REQUIRED[0]))) | ~F.arrays_overlap(
-        keys, F.array(F.lit(ITEM_REQUIRED[1]))
-    )
+    missing = F.size(F.array_except(F.array(*[F.lit(n) for n in ITEM_REQUIRED]), keys)) > 0
     has_required = F.lit(True)
     for name in ITEM_REQUIRED:
         has_required = has_required & F.rlike(shape, F.lit(f"[<,] ?{name}: "))
-    null_tag = F.rlike(shape, F.lit("tags: (?:VOID|ARRAY<(?:VOID|VARIANT)>)")) & (
-        F.rlike(shape, F.lit("tags: VOID")) | F.rlike(_field("tags", "string"), F.lit(r"[\[,]null[,\]]"))
-    )
+    null_tag = F.rlike(shape, F.lit("tags: VOID")) | F.exists(_field("tags", "array<string>"), F.isnull)
+    one_value = F.try_variant_get("_v", "$[0]", "variant").isNotNull() & F.try_variant_get(
+        "_v", "$[1]", "variant"
+    ).isNull()
     # The reasons that need the key list come last and are only reached by
     # refused rows, so accepted rows are not parsed a second time.
     reason = (
         F.when(value.isNull(), "null_value")
-        .when(F.col("_v").isNull(), "invalid_json")
-        .when(~F.startswith(shape, F.lit("OBJECT<")), "not_object")
+        .when(~F.coalesce(one_value, F.lit(False)), "invalid_json")
+        .when(~F.startswith(shape, F.lit("ARRAY<OBJECT<")), "not_object")
         .when(
             F.rlike(shape, F.lit(_well_typed())) & has_required,
             F.when(F.rlike(shape, F.lit("[<,] ?url: VOID")) | null_tag, "normalize_failed"),
@@ -106,7 +117,7 @@ def decode_records(records: DataFrame, column: str = "value") -> DataFrame:
 
 
 def _field(name: str, kind: str) -> Column:
-    return F.try_variant_get("_v", f"$.{name}", kind)
+    return F.try_variant_get("_v", f"$[0].{name}", kind)
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@ FUNCTION_WORDS = {
 
 
 def words(text: Column) -> Column:
-    """Lower-case words without punctuation at their ends."""
-    return F.split(F.lower(text), rf"(?U)[\s\x1c-\x1f\p{{Punct}}]+")
+    """Lower-case words split at white space, punctuation and symbols."""
+    return F.split(F.lower(text), r"(?U)[\s\x1c-\x1f\p{P}\p{S}]+")
 
 
 def language_hits(tokens: Column) -> dict[str, Column]:

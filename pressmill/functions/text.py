@@ -1,7 +1,7 @@
 """Text functions: white space, markup, character references, Unicode form.
 
 Everything is a Catalyst expression except NFKC, which Spark lacks; that one
-is an Arrow kernel that sees only the texts it can change.
+runs in Arrow batches and sees only the texts it can change.
 
 The multi-step cleaners work on whole DataFrames, one projection per step:
 each step names its input column more than once, and nesting them as one
@@ -10,8 +10,9 @@ expression would repeat the earlier steps inside the later ones.
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,6 @@ from pyspark.sql import types as T
 # Fixed value: what Python's str.split() and \s treat as white space. Java's
 # Unicode \s lacks the four separators U+001C to U+001F.
 SPACE = r"[\s\x1c-\x1f]"
-_RE2_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 # Marks the border between two text nodes while markup is being removed. It is
 # a Unicode noncharacter, so no text can contain it by right.
@@ -89,8 +89,10 @@ def join_nodes(c: Column) -> Column:
 
 @F.arrow_udf(T.StringType())
 def _nfkc_collapsed(texts: pa.Array) -> pa.Array:
-    normal = pc.utf8_normalize(texts, form="NFKC")
-    return pc.utf8_trim(pc.replace_substring_regex(normal, _RE2_SPACE, " "), characters=" ")
+    def clean(text: str) -> str:
+        return " ".join(normalize("NFKC", text).split())
+
+    return pa.array([None if t is None else clean(t) for t in texts.to_pylist()], pa.string())
 
 
 # Declared nondeterministic so that the optimizer keeps it where it stands: a

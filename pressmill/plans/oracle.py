@@ -159,7 +159,7 @@ SELECT a.question_id, coalesce({_text(STUB_BANNER)} || chr(10) || chr(10) || 'Co
 FROM asked a LEFT JOIN blocks b USING (question_id)"""
 
 
-_LANG_WORDS = r"string_split_regex(lower(text), '[\s!-/:-@\[-`{-~]+')"
+_LANG_WORDS = r"string_split_regex(lower(text), '[\s\p{P}\p{S}]+')"
 
 
 def _hits_of(lang: str) -> str:

@@ -29,12 +29,14 @@ def first_in_batch(rows: DataFrame, key: str) -> DataFrame:
     return rows.mapInArrow(reduce, rows.schema)
 
 
-def dedup_stream(items: DataFrame, ttl: str = TTL, event_time: str = "fetched_at") -> DataFrame:
-    """Keep one item per url for ``ttl`` of event time.
+def dedup_stream(items: DataFrame, ttl: str = TTL, event_time: str | None = None) -> DataFrame:
+    """Keep one item per url for ``ttl``.
 
-    Event time is when an item was fetched, never when it was published: an
-    old article fetched today is not late.
+    The clock is the batch time, which a replayed batch keeps; no item can be
+    late, so none but repeats are dropped. With ``event_time``, a column of
+    epoch seconds, the time to live follows that column instead, and rows more
+    than ``ttl`` behind the newest one count as late.
     """
-    reduced = first_in_batch(items, "url")
-    timed = reduced.withColumn("_seen", F.timestamp_seconds(event_time)).withWatermark("_seen", ttl)
+    seen = F.timestamp_seconds(event_time) if event_time else F.current_timestamp()
+    timed = first_in_batch(items, "url").withColumn("_seen", seen).withWatermark("_seen", ttl)
     return timed.dropDuplicatesWithinWatermark(["url"]).drop("_seen")

@@ -22,10 +22,29 @@ def words(text: Column) -> Column:
     return F.split(F.lower(text), r"(?U)[\s\x1c-\x1f\p{P}\p{S}]+")
 
 
-def language_hits(tokens: Column) -> dict[str, Column]:
-    """For each language the number of words that are its function words."""
+def language_hits(text: Column) -> Column:
+    """Struct with the number of function words of each language in ``text``."""
 
-    def count(known: list[str]) -> Column:
+    def count(tokens: Column, known: list[str]) -> Column:
         return F.size(F.filter(tokens, lambda w: w.isin(known)))
 
-    return {lang: count(known) for lang, known in FUNCTION_WORDS.items()}
+    counted = F.transform(
+        F.array(words(text)),
+        lambda tokens: F.struct(*[count(tokens, known).alias(lang) for lang, known in FUNCTION_WORDS.items()]),
+    )
+    return counted[0]
+
+
+def best_language(hits: Column) -> Column:
+    """Language with most hits; ties to the first by code; null without a hit."""
+    by_code = sorted(FUNCTION_WORDS, reverse=True)
+    ranked = F.transform(
+        F.array(hits),
+        lambda h: F.array_max(
+            F.array(*[
+                F.struct(h[lang].alias("hits"), F.lit(i).alias("place"), F.lit(lang).alias("lang"))
+                for i, lang in enumerate(by_code)
+            ])
+        ),
+    )[0]
+    return F.transform(F.array(ranked), lambda r: F.when(r["hits"] > 0, r["lang"]))[0]

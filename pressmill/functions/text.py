@@ -95,12 +95,6 @@ def _nfkc_collapsed(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else clean(t) for t in texts.to_pylist()], pa.string())
 
 
-# Declared nondeterministic so that the optimizer keeps it where it stands: a
-# filter on a cleaned column would otherwise be pushed below this projection
-# together with a second copy of the whole cleaning, Python pass included.
-_nfkc_collapsed = _nfkc_collapsed.asNondeterministic()
-
-
 def nfkc_collapsed(c: Column) -> Column:
     """NFKC, then collapsed white space, then empty to null.
 

@@ -6,37 +6,25 @@ narrow projection with no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.functions.language import ALLOWED, FUNCTION_WORDS, language_hits, words
+from pressmill.functions.language import ALLOWED, FUNCTION_WORDS, best_language, language_hits
+from pressmill.operators.filters import keep_where
 
 
 def language_scores(rows: DataFrame, text: str) -> DataFrame:
     """Adds ``hits_<lang>``: function words of each language in ``text``."""
-    return (
-        rows.withColumn("_words", words(F.col(text)))
-        .withColumns({f"hits_{lang}": hits for lang, hits in language_hits(F.col("_words")).items()})
-        .drop("_words")
-    )
-
-
-def _best() -> Column:
-    """Language with most hits; ties to the first by code; none without a hit."""
-    top = F.greatest(*[F.col(f"hits_{lang}") for lang in FUNCTION_WORDS])
-    choice = F.when(top == 0, F.lit(None).cast("string"))
-    for lang in sorted(FUNCTION_WORDS):
-        choice = choice.when(F.col(f"hits_{lang}") == top, lang)
-    return choice
+    counted = rows.withColumn("_hits", language_hits(F.col(text)))
+    return counted.withColumns({f"hits_{lang}": F.col("_hits")[lang] for lang in FUNCTION_WORDS}).drop("_hits")
 
 
 def detect_language(rows: DataFrame, text: str, target: str = "language", keep_known: bool = False) -> DataFrame:
     """Set ``target`` to the detected language; ``keep_known`` fills gaps only."""
-    scored = language_scores(rows, text)
-    found = F.coalesce(F.col(target), _best()) if keep_known else _best()
-    return scored.withColumn(target, found).drop(*[f"hits_{lang}" for lang in FUNCTION_WORDS])
+    found = best_language(language_hits(F.col(text)))
+    return rows.withColumn(target, F.coalesce(F.col(target), found) if keep_known else found)
 
 
 def allow_languages(rows: DataFrame, allowed: list[str] = ALLOWED, column: str = "language") -> DataFrame:
     """Keep rows in one of the allowed languages."""
-    return rows.where(F.col(column).isin(allowed))
+    return keep_where(rows, F.col(column).isin(allowed))

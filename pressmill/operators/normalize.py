@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import clean_text, trim_space
+from pressmill.operators.filters import keep_where
 
 TEXT_COLUMNS = ["title", "summary", "content", "author"]
 
@@ -28,4 +29,4 @@ def normalize_fields(items: DataFrame) -> DataFrame:
 
 def normalize_items(items: DataFrame) -> DataFrame:
     """Clean every field; drop items that are left without any text."""
-    return normalize_fields(items).where(has_text())
+    return keep_where(normalize_fields(items), has_text())

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressmill.operators.filters import keep_where
 from pressmill.schemas import ITEM, ITEM_REQUIRED
 
 SAMPLE_CHARS = 200
@@ -121,9 +122,10 @@ def _field(name: str, kind: str) -> Column:
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col("reason").isNull()).drop("reason", "value")
+    return keep_where(decoded, F.col("reason").isNull()).drop("reason", "value")
 
 
 def rejects(decoded: DataFrame) -> DataFrame:
     """The dead-letter table: ``value_sample, reason``."""
-    return decoded.where(F.col("reason").isNotNull()).select(sample(F.col("value")).alias("value_sample"), "reason")
+    refused = keep_where(decoded.select("value", "reason"), F.col("reason").isNotNull())
+    return refused.select(sample(F.col("value")).alias("value_sample"), "reason")

@@ -101,6 +101,7 @@ class VectorTable:
         self,
         rows: DataFrame,
         order_by: tuple[str, ...] = (),
+        unique: bool = False,
         replace_url: bool = False,
         writer: str | None = None,
         batch_id: int | None = None,
@@ -108,7 +109,7 @@ class VectorTable:
         """Insert or overwrite by chunk id; returns the rows written.
 
         ``order_by`` columns say which of several versions in one batch is the
-        last. ``replace_url`` also removes a url's chunks beyond its new total;
+        last; ``unique`` says there is one version already. ``replace_url`` also removes a url's chunks beyond its new total;
         without it a shorter new version leaves the old tail in place.
         ``writer`` and ``batch_id`` make a replayed batch a no-op.
         """
@@ -118,7 +119,8 @@ class VectorTable:
             return 0
         seq = commits[-1]["seq"] + 1 if commits else 1
         newest_first = [F.col(c).desc_nulls_last() for c in order_by] or [F.col("total_chunks").desc(), F.col("chunk_text")]
-        latest = require_dimension(latest_per_chunk(rows, newest_first), self.dimension())
+        latest = rows if unique else latest_per_chunk(rows, newest_first)
+        latest = require_dimension(latest, self.dimension())
         keep = [*_ROW.fieldNames(), *order_by] if replace_url else _ROW.fieldNames()
         if replace_url:
             staged = self._write(latest.select(*dict.fromkeys(keep)))

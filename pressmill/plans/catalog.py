@@ -184,7 +184,8 @@ def _registry(spark: SparkSession, folder: str) -> DataFrame:
 def _rss(docs: DataFrame) -> DataFrame:
     """Each document as a feed whose entries are its lines."""
     link = F.concat(F.lit("https://docs.example/"), F.col("doc_id"), F.lit("#"))
-    when = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")), "d MMM yyyy HH:mm:ss")
+    utc = F.to_utc_timestamp(F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")), F.current_timezone())
+    when = F.date_format(utc, "d MMM yyyy HH:mm:ss")
     entries = F.transform(
         F.split(_escaped(F.col("text")), "\n", -1),
         lambda line, i: F.concat(
@@ -526,7 +527,8 @@ def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as a stream of JSON records into a vector table."""
-    records = to_records(document_items(_stream(spark, folder, "documents"))).select("value")
+    documents = _stream(spark, folder, "documents").repartition(spark.sparkContext.defaultParallelism)
+    records = to_records(document_items(documents)).select("value")
     store = _new_table(spark, "stream")
     query = ingest_stream(records, store, work_dir(spark, "checkpoint"), OPTIONS, once=True)
     query.awaitTermination()

@@ -14,7 +14,9 @@ from pressmill.operators.embedding import DIMENSION, embed
 from pressmill.operators.language import allow_languages, detect_language
 from pressmill.operators.normalize import normalize_fields, normalize_items
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
-from pressmill.operators.vector_table import VectorTable
+from pressmill.operators.vector_table import VectorTable, latest_per_chunk
+
+VERSION = ("fetched_at",)  # orders the versions of one url
 
 
 @dataclass(frozen=True)
@@ -52,19 +54,32 @@ def refine_items(items: DataFrame, options: IngestOptions) -> DataFrame:
     return out
 
 
-def embedded_items(items: DataFrame, options: IngestOptions, carry: tuple[str, ...] = ("fetched_at",)) -> DataFrame:
-    """Items to embedded chunk rows."""
+def chunked_items(items: DataFrame, options: IngestOptions) -> DataFrame:
+    """Items to chunk rows that still carry their fetch time."""
     refined = refine_items(items, options)
-    chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=carry)
+    return chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
+
+
+def embedded_items(items: DataFrame, options: IngestOptions) -> DataFrame:
+    """Items to embedded chunk rows."""
+    return embed_chunks(chunked_items(items, options), options)
+
+
+def embed_chunks(chunks: DataFrame, options: IngestOptions) -> DataFrame:
     return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions)
 
 
+def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions, **batch) -> int:
+    """Embed and upsert. Superseded versions are dropped first, while a row is
+    still text: no vector is computed or shuffled for them."""
+    latest = latest_per_chunk(chunks, [F.col(c).desc_nulls_last() for c in VERSION])
+    rows = embed_chunks(latest, options)
+    return table.upsert(rows, order_by=VERSION, unique=True, replace_url=options.replace_url, **batch)
+
+
 def ingest_items(items: DataFrame, table: VectorTable, options: IngestOptions = IngestOptions(), **batch) -> int:
     """Run the whole job; returns the chunks written."""
-    rows = embedded_items(items, options)
-    return table.ensure(options.dim).upsert(
-        rows, order_by=("fetched_at",), replace_url=options.replace_url, **batch
-    )
+    return store_chunks(chunked_items(items, options), table.ensure(options.dim), options, **batch)
 
 
 def ingest_records(

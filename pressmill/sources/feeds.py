@@ -11,12 +11,11 @@ from pressmill.operators.validate import sample
 from pressmill.schemas import ITEM
 
 # The elements a feed entry is read from.
-_LEAF = "array<struct<_VALUE:string>>"
 _COMMON = [
-    f"title:{_LEAF}",
+    "title:array<string>",
     "link:array<struct<_VALUE:string,_href:string,_rel:string>>",
-    f"published:{_LEAF}",
-    f"updated:{_LEAF}",
+    "published:array<string>",
+    "updated:array<string>",
 ]
 _RSS_ITEM = ",".join([
     *_COMMON,
@@ -25,12 +24,12 @@ _RSS_ITEM = ",".join([
     "`content:encoded`:array<string>",
     "author:array<string>",
     "`dc:creator`:array<string>",
-    f"pubDate:{_LEAF}",
-    f"`dc:date`:{_LEAF}",
+    "pubDate:array<string>",
+    "`dc:date`:array<string>",
 ])
 _ATOM_ENTRY = ",".join([
     *_COMMON,
-    f"id:{_LEAF}",
+    "id:array<string>",
     "summary:array<string>",
     "content:array<string>",
     "author:array<struct<name:array<string>>>",
@@ -43,6 +42,14 @@ FEED_XML = (
 )
 
 _CDATA_BORDER = r"(?=<!\[CDATA\[)|(?<=\]\]>)"
+
+# Zone names of RFC 822. They are fixed offsets, also in summer.
+_ZONES = {
+    "UT": "+0000", "GMT": "+0000", "UTC": "+0000", "Z": "+0000",
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+
 _BARE_AMPERSAND = r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9A-Fa-f]+);)"
 
 
@@ -63,12 +70,15 @@ def epoch_seconds(text: Column) -> Column:
     """RFC 822 or ISO 8601 date text to epoch seconds, read as UTC where no
     zone is given; null where it is no date."""
     rfc = F.regexp_replace(text, "^[A-Za-z]+, *", "")
-    zoned = F.when(F.rlike(rfc, F.lit(r"\d:\d\d$")), F.concat(rfc, F.lit(" GMT"))).otherwise(rfc)
+    names = F.create_map(*[F.lit(x) for pair in _ZONES.items() for x in pair])
+    name = F.upper(F.regexp_extract(rfc, "([A-Za-z]+)$", 1))
+    zoned = (
+        F.when(F.rlike(rfc, F.lit(r"\d:\d\d$")), F.concat(rfc, F.lit(" +0000")))
+        .when(name != "", F.concat(F.regexp_replace(rfc, "[A-Za-z]+$", ""), F.try_element_at(names, name)))
+        .otherwise(rfc)
+    )
     tries = [
-        F.try_to_timestamp(zoned, F.lit(f"d MMM {year} {time} {zone}"))
-        for year in ("yyyy", "yy")
-        for time in ("H:mm:ss", "H:mm")
-        for zone in ("z", "Z")
+        F.try_to_timestamp(zoned, F.lit(f"d MMM {year} {time} Z")) for year in ("yyyy", "yy") for time in ("H:mm:ss", "H:mm")
     ]
     iso = (
         F.when(F.rlike(text, F.lit(r"^\d{4}-\d\d-\d\d$")), F.concat(text, F.lit("T00:00:00Z")))
@@ -103,20 +113,20 @@ def _rss(i: Column) -> Column:
     permalink = F.filter(i["guid"], lambda g: F.coalesce(F.lower(g["_isPermaLink"]), F.lit("true")) == "true")
     url = first_filled(trim_space(_value(i["link"])), trim_space(_value(permalink)))
     author = first_filled(_first(i["author"]), _first(i["dc:creator"]))
-    dates = [_value(i[n]) for n in ("pubDate", "published", "dc:date", "updated")]
+    dates = [_first(i[n]) for n in ("pubDate", "published", "dc:date", "updated")]
     return _entry(
-        url, _value(i["title"]), _first(i["description"]), _first(i["content:encoded"]), author, *dates
+        url, _first(i["title"]), _first(i["description"]), _first(i["content:encoded"]), author, *dates
     )
 
 
 def _atom(e: Column) -> Column:
     page = F.filter(e["link"], lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
     url = first_filled(
-        trim_space(_first(page)["_href"]), trim_space(_value(e["link"])), trim_space(_value(e["id"]))
+        trim_space(_first(page)["_href"]), trim_space(_value(e["link"])), trim_space(_first(e["id"]))
     )
     author = _first(_first(e["author"])["name"])
-    dates = [_value(e[n]) for n in ("published", "updated")]
-    return _entry(url, _value(e["title"]), _first(e["summary"]), _first(e["content"]), author, *dates)
+    dates = [_first(e[n]) for n in ("published", "updated")]
+    return _entry(url, _first(e["title"]), _first(e["summary"]), _first(e["content"]), author, *dates)
 
 
 def _parse(payloads: DataFrame) -> DataFrame:

@@ -8,11 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pressmill.operators.chunking import chunk_items
-from pressmill.operators.embedding import embed
 from pressmill.operators.normalize import normalize_items
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
 from pressmill.operators.vector_table import VectorTable
-from pressmill.plans.ingest import IngestOptions, embedded_items
+from pressmill.plans.ingest import VERSION, IngestOptions, chunked_items, store_chunks
 from pressmill.streaming.dedup import TTL, dedup_stream
 
 COMPACT_EVERY = 32
@@ -39,29 +38,23 @@ def _start(writer: DataStreamWriter, checkpoint: str, name: str | None, once: bo
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def write_vectors(
-    rows: DataFrame,
+def write_chunks(
+    chunks: DataFrame,
     table: VectorTable,
     checkpoint: str,
     options: IngestOptions,
     name: str | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """Upsert a stream of embedded chunks. A batch that is replayed after a
+    """Embed and upsert a stream of chunks. A batch that is replayed after a
     failure finds its own commit and does nothing."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(
-            batch,
-            order_by=("fetched_at",),
-            replace_url=options.replace_url,
-            writer=checkpoint,
-            batch_id=batch_id,
-        )
+        store_chunks(batch, table, options, writer=checkpoint, batch_id=batch_id)
         if table.batches_since_compaction() >= COMPACT_EVERY:
             table.compact()
 
-    return _start(rows.writeStream.foreachBatch(upsert), checkpoint, name, once)
+    return _start(chunks.writeStream.foreachBatch(upsert), checkpoint, name, once)
 
 
 def ingest_stream(
@@ -82,11 +75,10 @@ def ingest_stream(
     items = accepted(decode_stream(records))
     if ttl:
         refined = dedup_stream(normalize_items(items), ttl)
-        chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=("fetched_at",))
-        rows = embed(chunks, "chunk_text", options.provider, options.dim)
+        chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
     else:
-        rows = embedded_items(items, options)
-    return write_vectors(rows, table, checkpoint, options, name, once)
+        chunks = chunked_items(items, options)
+    return write_chunks(chunks, table, checkpoint, options, name, once)
 
 
 def reject_stream(
@@ -108,5 +100,5 @@ __all__ = [
     "ingest_stream",
     "print_stream",
     "reject_stream",
-    "write_vectors",
+    "write_chunks",
 ]

@@ -1,9 +1,9 @@
 """A keyed vector table on plain Parquet: upsert, replay guard, compaction.
 
 An upsert appends one folder and never rewrites the table, so its cost follows
-the batch. A commit file makes the folder visible; readers see whole batches
-only. Reads take the newest row per id out of the batches since the last
-compaction and everything else from the compacted base.
+the batch. A snapshot file names the folders of the base and of the batches
+since (the deltas); writing the next snapshot publishes a batch as a whole.
+Reads take the newest row per id out of the deltas and the rest from the base.
 """
 
 from __future__ import annotations
@@ -17,11 +17,16 @@ from pyspark.sql import types as T
 
 from pressmill.operators.embedding import DIMENSION, require_dimension
 from pressmill.operators.files import Files
-from pressmill.operators.joins import lookup_join
+from pressmill.operators.joins import fits_broadcast, lookup_join
 from pressmill.schemas import EMBEDDED_CHUNK
 
+MAX_DELTAS = 32
+COMPACT_SHARE = 10  # compact once the deltas hold a tenth of the base
+BROADCAST_DELTA_ROWS = 500_000
+
 _ROW = T.StructType([T.StructField(f.name, f.dataType) for f in EMBEDDED_CHUNK.fields])
 _STORED = T.StructType(_ROW.fields + [T.StructField("_seq", T.LongType()), T.StructField("_removed", T.BooleanType())])
+_EMPTY = {"seq": 0, "base": [], "base_rows": 0, "deltas": [], "writers": {}}
 
 
 def latest_per_chunk(rows: DataFrame, order: list[Column]) -> DataFrame:
@@ -32,15 +37,16 @@ def latest_per_chunk(rows: DataFrame, order: list[Column]) -> DataFrame:
 
 
 class VectorTable:
-    """Collection of embedded chunks, keyed by ``chunk_id``, cosine distance."""
+    """Collection of embedded chunks, keyed by ``chunk_id``, cosine distance.
+
+    One writer at a time: of two that race, the second fails on its snapshot.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
         self._files = Files(spark, self.path)
 
-    # -- collection ---------------------------------------------------------
-
     def ensure(self, dim: int = DIMENSION) -> VectorTable:
         """Create the collection if missing; a different size is an error."""
         if "collection.json" not in self._files.names(self.path):
@@ -52,23 +58,20 @@ class VectorTable:
     def dimension(self) -> int:
         return self._files.load(f"{self.path}/collection.json")["size"]
 
-    # -- commits ------------------------------------------------------------
+    # -- snapshots ----------------------------------------------------------
 
-    def _commits(self) -> list[dict]:
-        """Commits from the last compaction on, oldest first."""
-        names = self._files.names(f"{self.path}/commits")
-        bases = [n for n in names if n.endswith(".base.json")]
-        return [self._files.load(f"{self.path}/commits/{n}") for n in names if not bases or n >= bases[-1]]
+    def snapshot(self) -> dict:
+        names = self._files.names(f"{self.path}/snapshots")
+        return self._files.load(f"{self.path}/snapshots/{names[-1]}") if names else _EMPTY
 
-    def _commit(self, commits: list[dict], kind: str, **content) -> None:
-        seq = commits[-1]["seq"] + 1 if commits else 1
-        suffix = "base.json" if kind == "base" else "json"
-        self._files.create(f"{self.path}/commits/{seq:012d}.{suffix}", {"seq": seq, "kind": kind, **content})
+    def _publish(self, before: dict, **changes) -> None:
+        after = {**before, **changes, "seq": before["seq"] + 1}
+        self._files.create(f"{self.path}/snapshots/{after['seq']:012d}.json", after)
 
-    def _write(self, rows: DataFrame) -> str:
+    def _write(self, rows: DataFrame) -> dict:
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         rows.write.parquet(folder)
-        return folder
+        return {"folder": folder, "rows": self.spark.read.schema(rows.schema).parquet(folder).count()}
 
     def _scan(self, folders: list[str]) -> DataFrame:
         if not folders:
@@ -79,22 +82,33 @@ class VectorTable:
 
     def read(self) -> DataFrame:
         """The current rows, one per chunk id."""
-        return self._current(self._commits()).select(*_ROW.fieldNames())
+        return self._current(self.snapshot()).select(*_ROW.fieldNames())
 
-    def _current(self, commits: list[dict]) -> DataFrame:
-        base = self._scan([f for c in commits if c["kind"] == "base" for f in c["folders"]])
-        deltas = [c for c in commits if c["kind"] == "batch"]
-        if not deltas:
+    def _newest(self, snapshot: dict) -> DataFrame:
+        """Newest row per id of the deltas, removals included."""
+        deltas = self._scan([d["folder"] for d in snapshot["deltas"]])
+        one_version = len({d["seq"] for d in snapshot["deltas"]}) < 2
+        return deltas if one_version else latest_per_chunk(deltas, [F.col("_seq").desc()])
+
+    def _current(self, snapshot: dict) -> DataFrame:
+        base = self._scan(snapshot["base"])
+        if not snapshot["deltas"]:
             return base
-        newest = self._scan([f for c in deltas for f in c["folders"]])
-        if len(deltas) > 1:
-            newest = latest_per_chunk(newest, [F.col("_seq").desc()])
+        newest = self._newest(snapshot)
         kept = newest.where(~F.col("_removed"))
-        if not any(c["kind"] == "base" for c in commits):
+        if not snapshot["base"]:
             return kept
+        # The snapshot knows the row count, so a broadcast needs no guess; the
+        # base, vectors and all, is then filtered where it lies.
         touched = newest.select("chunk_id")
+        if self._delta_rows(snapshot) <= BROADCAST_DELTA_ROWS:
+            touched = F.broadcast(touched)
         return base.join(touched, "chunk_id", "left_anti").unionByName(kept)
 
+    @staticmethod
+    def _delta_rows(snapshot: dict) -> int:
+        return sum(d["rows"] for d in snapshot["deltas"])
+
     # -- writes -------------------------------------------------------------
 
     def upsert(
@@ -109,38 +123,45 @@ class VectorTable:
         """Insert or overwrite by chunk id; returns the rows written.
 
         ``order_by`` columns say which of several versions in one batch is the
-        last; ``unique`` says there is one version already. ``replace_url`` also removes a url's chunks beyond its new total;
-        without it a shorter new version leaves the old tail in place.
-        ``writer`` and ``batch_id`` make a replayed batch a no-op.
+        last; ``unique`` says there is one version already. ``replace_url``
+        also removes a url's chunks beyond its new total; without it a shorter
+        new version leaves the old tail in place. ``writer`` and ``batch_id``
+        make a replayed batch a no-op.
         """
-        commits = self._commits()
-        done = commits[-1]["writers"] if commits else {}
-        if writer is not None and batch_id is not None and done.get(writer, -1) >= batch_id:
+        before = self.snapshot()
+        guarded = writer is not None and batch_id is not None
+        if guarded and before["writers"].get(writer, -1) >= batch_id:
             return 0
-        seq = commits[-1]["seq"] + 1 if commits else 1
+        seq = before["seq"] + 1
         newest_first = [F.col(c).desc_nulls_last() for c in order_by] or [F.col("total_chunks").desc(), F.col("chunk_text")]
         latest = rows if unique else latest_per_chunk(rows, newest_first)
         latest = require_dimension(latest, self.dimension())
-        keep = [*_ROW.fieldNames(), *order_by] if replace_url else _ROW.fieldNames()
+        added = []
         if replace_url:
-            staged = self._write(latest.select(*dict.fromkeys(keep)))
-            latest = self.spark.read.schema(latest.select(*dict.fromkeys(keep)).schema).parquet(staged)
-            version = F.struct(*[F.col(c) for c in (*order_by, "total_chunks")])
-            totals = latest.groupBy("url").agg(F.max_by("total_chunks", version).alias("_total"))
-            latest = lookup_join(latest, totals, "url", ["chunk_id"]).where(F.col("chunk_index") < F.col("_total"))
-            stale = (
-                lookup_join(self.read().select("chunk_id", "url", "chunk_index"), totals, "url", ["chunk_id"])
-                .where(F.col("chunk_index") >= F.col("_total"))
-                .select("chunk_id")
-            )
-            removed = self._write(self._stored(stale, seq, True))
-        stored = self._write(self._stored(latest, seq, False))
-        written = self.spark.read.parquet(stored).count()
-        if writer is not None and batch_id is not None:
-            done = {**done, writer: batch_id}
-        folders = [stored, removed] if replace_url else [stored]
-        self._commit(commits, "batch", folders=folders, rows=written, writers=done)
-        return written
+            latest, stale = self._replaced(latest, order_by)
+            added.append(self._write(self._stored(stale, seq, removed=True)))
+        stored = self._write(self._stored(latest, seq, removed=False))
+        added.append(stored)
+        self._publish(
+            before,
+            deltas=before["deltas"] + [{**a, "seq": seq} for a in added if a["rows"]],
+            writers={**before["writers"], writer: batch_id} if guarded else before["writers"],
+        )
+        return stored["rows"]
+
+    def _replaced(self, latest: DataFrame, order_by: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+        """The batch without rows past each url's last total, and the stored
+        ids past it. The batch is written out once, as it is used three times."""
+        staged = latest.select(*dict.fromkeys([*_ROW.fieldNames(), *order_by]))
+        batch = self.spark.read.schema(staged.schema).parquet(self._write(staged)["folder"])
+        version = F.struct(*[F.col(c) for c in (*order_by, "total_chunks")])
+        totals = batch.groupBy("url").agg(F.max_by("total_chunks", version).alias("_total"))
+        small = fits_broadcast(totals)
+        past = F.col("chunk_index") >= F.col("_total")
+        stored = self.read().select("chunk_id", "url", "chunk_index")
+        stale = lookup_join(stored, totals, "url", ["chunk_id"], broadcast=small).where(past)
+        kept = lookup_join(batch, totals, "url", ["chunk_id"], broadcast=small).where(~past)
+        return kept, stale.select("chunk_id")
 
     @staticmethod
     def _stored(rows: DataFrame, seq: int, removed: bool) -> DataFrame:
@@ -154,13 +175,30 @@ class VectorTable:
             F.lit(removed).alias("_removed"),
         )
 
+    # -- upkeep -------------------------------------------------------------
+
+    def merge(self) -> None:
+        """Fold the deltas into one, leaving the base alone."""
+        before = self.snapshot()
+        if len(before["deltas"]) > 1:
+            merged = self._write(self._newest(before).select(*_STORED.fieldNames()))
+            self._publish(before, deltas=[{**merged, "seq": before["seq"]}])
+
     def compact(self) -> None:
-        """Fold all batches into a new base. Old folders stay for open readers."""
-        commits = self._commits()
-        if not any(c["kind"] == "batch" for c in commits):
-            return
-        folder = self._write(self._current(commits).select(*_STORED.fieldNames()))
-        self._commit(commits, "base", folders=[folder], writers=commits[-1]["writers"])
-
-    def batches_since_compaction(self) -> int:
-        return sum(c["kind"] == "batch" for c in self._commits())
+        """Fold the deltas into a new base, laid out by chunk id so that a
+        lookup of few ids opens few files. Old folders stay for open readers."""
+        before = self.snapshot()
+        if before["deltas"]:
+            rows = self._current(before).select(*_STORED.fieldNames())
+            base = self._write(rows.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id"))
+            self._publish(before, base=[base["folder"]], base_rows=base["rows"], deltas=[])
+
+    def maintain(self) -> None:
+        """Keep the number of deltas low. The base is rewritten only when the
+        deltas have grown to a fair share of it."""
+        now = self.snapshot()
+        if len(now["deltas"]) >= MAX_DELTAS:
+            if self._delta_rows(now) * COMPACT_SHARE >= now["base_rows"]:
+                self.compact()
+            else:
+                self.merge()

@@ -23,6 +23,8 @@ def build_session(app_name: str = "pressmill", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Id lookups push their ids to the scan one by one, not as a range.
+        "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():

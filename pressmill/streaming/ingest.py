@@ -14,8 +14,6 @@ from pressmill.operators.vector_table import VectorTable
 from pressmill.plans.ingest import VERSION, IngestOptions, chunked_items, store_chunks
 from pressmill.streaming.dedup import TTL, dedup_stream
 
-COMPACT_EVERY = 32
-
 
 def decode_stream(records: DataFrame, name: str = "decode") -> DataFrame:
     """Decoded records; the counts per outcome are observed as ``name`` and
@@ -51,8 +49,7 @@ def write_chunks(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         store_chunks(batch, table, options, writer=checkpoint, batch_id=batch_id)
-        if table.batches_since_compaction() >= COMPACT_EVERY:
-            table.compact()
+        table.maintain()
 
     return _start(chunks.writeStream.foreachBatch(upsert), checkpoint, name, once)
 

@@ -100,7 +100,7 @@ def test_upsert_last_write_wins_and_tails(spark, table):
     ]
     before = texts(table)
     table.compact()
-    assert texts(table) == before and table.batches_since_compaction() == 0
+    assert texts(table) == before and table.snapshot()["deltas"] == []
     ingest_items(items(spark, doc("b", "b again now.", 3)), table, SMALL)
     assert ("b", 0, "b again now.") in texts(table) and len(texts(table)) == 4
     table.compact()
@@ -148,6 +148,31 @@ def test_uncommitted_data_is_invisible(spark, table):
     assert texts(table) == [("a", 0, "seen.")]
 
 
+def test_upkeep_merges_small_deltas_and_compacts_large_ones(spark, table, monkeypatch):
+    monkeypatch.setattr("pressmill.operators.vector_table.MAX_DELTAS", 3)
+    ingest_items(items(spark, *[doc(f"u{i}", "x.") for i in range(200)]), table, SMALL)
+    table.compact()
+    replace = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, replace_url=True)
+    for version in range(2, 5):
+        ingest_items(items(spark, doc("u1", f"version {version}.", version)), table, replace)
+        table.maintain()
+    now = table.snapshot()
+    assert now["base_rows"] == 200 and len(now["deltas"]) == 1 and now["deltas"][0]["rows"] == 1
+    assert len(texts(table)) == 200 and ("u1", 0, "version 4.") in texts(table)
+    for i in range(2):
+        ingest_items(items(spark, *[doc(f"v{j}", f"y{i}.", i) for j in range(20)]), table, SMALL)
+        table.maintain()
+    assert table.snapshot()["deltas"] == [] and table.snapshot()["base_rows"] == 220
+
+
+def test_second_of_two_racing_writers_fails(spark, table):
+    stale = table.snapshot()
+    ingest_items(items(spark, doc("a", "one.")), table, SMALL)
+    with pytest.raises(Exception, match="already exists"):
+        table._publish(stale, deltas=[])
+    assert texts(table) == [("a", 0, "one.")]
+
+
 def test_batch_ingest_counts(spark, table, tmp_path):
     records = to_records(items(spark, doc("a", "One two three four. Five."), doc("b", "<p> </p>"))).select("value")
     refused = str(tmp_path / "refused")
@@ -283,13 +308,14 @@ def test_first_in_batch_keeps_row_order(spark):
 
 
 def test_many_batches_compact_themselves(spark, table, tmp_path, monkeypatch):
-    monkeypatch.setattr("pressmill.streaming.ingest.COMPACT_EVERY", 2)
+    monkeypatch.setattr("pressmill.operators.vector_table.MAX_DELTAS", 2)
     inbox = str(tmp_path / "in")
     for i in range(3):
         drop(inbox, str(i), [record(f"u{i}", f"text {i}.", i)])
     stream = stream_records(spark, inbox, maxFilesPerTrigger="1")
     run(ingest_stream(stream, table, str(tmp_path / "cp"), SMALL, once=True))
-    assert len(texts(table)) == 3 and table.batches_since_compaction() == 1
+    now = table.snapshot()
+    assert len(texts(table)) == 3 and now["base_rows"] == 2 and len(now["deltas"]) == 1
 
 
 def test_print_stream(spark, tmp_path):

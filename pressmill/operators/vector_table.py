@@ -26,7 +26,7 @@ BROADCAST_DELTA_ROWS = 500_000
 
 _ROW = T.StructType([T.StructField(f.name, f.dataType) for f in EMBEDDED_CHUNK.fields])
 _STORED = T.StructType(_ROW.fields + [T.StructField("_seq", T.LongType()), T.StructField("_removed", T.BooleanType())])
-_EMPTY = {"seq": 0, "base": [], "base_rows": 0, "deltas": [], "writers": {}}
+_EMPTY = {"seq": 0, "base": [], "base_rows": 0, "clustered": False, "deltas": [], "writers": {}}
 
 
 def latest_per_chunk(rows: DataFrame, order: list[Column]) -> DataFrame:
@@ -142,11 +142,13 @@ class VectorTable:
             added.append(self._write(self._stored(stale, seq, removed=True)))
         stored = self._write(self._stored(latest, seq, removed=False))
         added.append(stored)
-        self._publish(
-            before,
-            deltas=before["deltas"] + [{**a, "seq": seq} for a in added if a["rows"]],
-            writers={**before["writers"], writer: batch_id} if guarded else before["writers"],
-        )
+        writers = {**before["writers"], writer: batch_id} if guarded else before["writers"]
+        if not before["base"] and not before["deltas"]:
+            # A first load has one row per id already: it is a base.
+            self._publish(before, base=[stored["folder"]], base_rows=stored["rows"], writers=writers)
+        else:
+            deltas = before["deltas"] + [{**a, "seq": seq} for a in added if a["rows"]]
+            self._publish(before, deltas=deltas, writers=writers)
         return stored["rows"]
 
     def _replaced(self, latest: DataFrame, order_by: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
@@ -188,10 +190,10 @@ class VectorTable:
         """Fold the deltas into a new base, laid out by chunk id so that a
         lookup of few ids opens few files. Old folders stay for open readers."""
         before = self.snapshot()
-        if before["deltas"]:
+        if before["deltas"] or not before["clustered"]:
             rows = self._current(before).select(*_STORED.fieldNames())
             base = self._write(rows.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id"))
-            self._publish(before, base=[base["folder"]], base_rows=base["rows"], deltas=[])
+            self._publish(before, base=[base["folder"]], base_rows=base["rows"], clustered=True, deltas=[])
 
     def maintain(self) -> None:
         """Keep the number of deltas low. The base is rewritten only when the

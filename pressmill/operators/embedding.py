@@ -41,9 +41,29 @@ def embed_batch(embed: EmbedBatch, texts: list[str], dim: int) -> np.ndarray:
     return vectors
 
 
-def embedding_of(text: Column, provider: str = "hash", dim: int = DIMENSION) -> Column:
+def embed_each(embed: EmbedBatch, texts: list[str], dim: int) -> list[np.ndarray | None]:
+    """As :func:`embed_batch`, but a text that fails gives None.
+
+    A failing batch is halved until the failing texts stand alone.
+    """
+    try:
+        return list(embed_batch(embed, texts, dim))
+    except Exception:
+        if len(texts) == 1:
+            return [None]
+        half = len(texts) // 2
+        return embed_each(embed, texts[:half], dim) + embed_each(embed, texts[half:], dim)
+
+
+def embedding_of(
+    text: Column, provider: str = "hash", dim: int = DIMENSION, keep_failures: bool = False
+) -> Column:
     """Embedding expression. Only the text crosses to Python, in Arrow batches
-    that span items, and the model is loaded once per worker process."""
+    that span items, and the model is loaded once per worker process.
+
+    An error of the provider fails the job; with ``keep_failures`` the texts
+    it fails on get a null vector instead.
+    """
     loader = embedder(provider)
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
@@ -51,8 +71,12 @@ def embedding_of(text: Column, provider: str = "hash", dim: int = DIMENSION) ->
         cache = process_cache()
         if (provider, dim) not in cache:
             cache[provider, dim] = loader(dim)
-        for texts in batches:
-            vectors = embed_batch(cache[provider, dim], ["" if t is None else t for t in texts.to_pylist()], dim)
+        for batch in batches:
+            texts = ["" if t is None else t for t in batch.to_pylist()]
+            if keep_failures:
+                yield pa.array(embed_each(cache[provider, dim], texts, dim), pa.list_(pa.float32()))
+                continue
+            vectors = embed_batch(cache[provider, dim], texts, dim)
             offsets = pa.array(np.arange(0, vectors.size + 1, dim, dtype=np.int32))
             yield pa.ListArray.from_arrays(offsets, pa.array(vectors.reshape(-1)))
 
@@ -65,6 +89,7 @@ def embed(
     provider: str = "hash",
     dim: int = DIMENSION,
     partitions: int | None = None,
+    keep_failures: bool = False,
 ) -> DataFrame:
     """Adds ``embedding``.
 
@@ -72,11 +97,13 @@ def embed(
     ``partitions`` to even them out first. A cheap model is faster without.
     """
     balanced = rows.repartition(partitions) if partitions else rows
-    return balanced.withColumn("embedding", embedding_of(F.col(text), provider, dim))
+    return balanced.withColumn("embedding", embedding_of(F.col(text), provider, dim, keep_failures))
 
 
-def require_dimension(rows: DataFrame, dim: int, column: str = "embedding") -> DataFrame:
-    """Fail the job on a vector that is missing or not ``dim`` long."""
-    bad = F.coalesce(F.size(column), F.lit(-1)) != dim
-    message = F.concat(F.lit(f"expected vectors of {dim} elements, got "), F.size(column).cast("string"))
+def require_dimension(rows: DataFrame, dim: int, column: str = "embedding", nullable: bool = False) -> DataFrame:
+    """Fail the job on a vector that is not ``dim`` long, or (unless
+    ``nullable``) missing."""
+    length = F.coalesce(F.size(column), F.lit(dim if nullable else 0))
+    bad = F.when(F.col(column).isNull(), F.lit(not nullable)).otherwise(length != dim)
+    message = F.concat(F.lit(f"expected vectors of {dim} elements, got "), length.cast("string"))
     return rows.withColumn(column, F.when(bad, F.raise_error(message).cast("array<float>")).otherwise(F.col(column)))

@@ -26,7 +26,7 @@ BROADCAST_DELTA_ROWS = 500_000
 
 _ROW = T.StructType([T.StructField(f.name, f.dataType) for f in EMBEDDED_CHUNK.fields])
 _STORED = T.StructType(_ROW.fields + [T.StructField("_seq", T.LongType()), T.StructField("_removed", T.BooleanType())])
-_EMPTY = {"seq": 0, "base": [], "base_rows": 0, "clustered": False, "deltas": [], "writers": {}}
+_EMPTY = {"seq": 0, "base": [], "base_rows": 0, "clustered": False, "deltas": [], "writers": {}, "last": None, "failed_urls": 0}
 
 
 def latest_per_chunk(rows: DataFrame, order: list[Column]) -> DataFrame:
@@ -117,6 +117,7 @@ class VectorTable:
         order_by: tuple[str, ...] = (),
         unique: bool = False,
         replace_url: bool = False,
+        drop_failed: bool = False,
         writer: str | None = None,
         batch_id: int | None = None,
     ) -> int:
@@ -125,8 +126,10 @@ class VectorTable:
         ``order_by`` columns say which of several versions in one batch is the
         last; ``unique`` says there is one version already. ``replace_url``
         also removes a url's chunks beyond its new total; without it a shorter
-        new version leaves the old tail in place. ``writer`` and ``batch_id``
-        make a replayed batch a no-op.
+        new version leaves the old tail in place. A row without a vector fails
+        the batch; with ``drop_failed`` all rows of its url are left out and
+        the url is counted. ``writer`` and ``batch_id`` make a replayed batch a
+        no-op.
         """
         before = self.snapshot()
         guarded = writer is not None and batch_id is not None
@@ -135,22 +138,41 @@ class VectorTable:
         seq = before["seq"] + 1
         newest_first = [F.col(c).desc_nulls_last() for c in order_by] or [F.col("total_chunks").desc(), F.col("chunk_text")]
         latest = rows if unique else latest_per_chunk(rows, newest_first)
-        latest = require_dimension(latest, self.dimension())
-        added = []
+        latest = require_dimension(latest, self.dimension(), nullable=drop_failed)
+        added, failed = [], 0
         if replace_url:
             latest, stale = self._replaced(latest, order_by)
             added.append(self._write(self._stored(stale, seq, removed=True)))
         stored = self._write(self._stored(latest, seq, removed=False))
+        if drop_failed:
+            stored, failed = self._without_failed(stored)
         added.append(stored)
         writers = {**before["writers"], writer: batch_id} if guarded else before["writers"]
         if not before["base"] and not before["deltas"]:
             # A first load has one row per id already: it is a base.
-            self._publish(before, base=[stored["folder"]], base_rows=stored["rows"], writers=writers)
+            change = {"base": [stored["folder"]], "base_rows": stored["rows"]}
         else:
-            deltas = before["deltas"] + [{**a, "seq": seq} for a in added if a["rows"]]
-            self._publish(before, deltas=deltas, writers=writers)
+            change = {"deltas": before["deltas"] + [{**a, "seq": seq} for a in added if a["rows"]]}
+        failed += before["failed_urls"]
+        self._publish(before, writers=writers, last=stored["folder"], failed_urls=failed, **change)
         return stored["rows"]
 
+    def _without_failed(self, stored: dict) -> tuple[dict, int]:
+        """The folder without the urls that have a row lacking its vector. The
+        usual case, no such row, costs one scan of the vector column."""
+        rows = self._scan([stored["folder"]])
+        failed = rows.where(F.col("embedding").isNull()).select("url").distinct()
+        count = failed.count()
+        if not count:
+            return stored, 0
+        marked = lookup_join(rows, failed.withColumn("_failed", F.lit(True)), "url", ["chunk_id"], how="left")
+        return self._write(marked.where(F.col("_failed").isNull()).select(*_STORED.fieldNames())), count
+
+    def last_batch(self) -> DataFrame:
+        """The rows of the last upsert."""
+        last = self.snapshot()["last"]
+        return self._scan([last] if last else []).select(*_ROW.fieldNames())
+
     def _replaced(self, latest: DataFrame, order_by: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
         """The batch without rows past each url's last total, and the stored
         ids past it. The batch is written out once, as it is used three times."""

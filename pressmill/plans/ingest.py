@@ -24,7 +24,8 @@ class IngestOptions:
     """What an ingest job does between reading and writing.
 
     The defaults are the plain job: normalize, chunk, embed, upsert. Batch
-    dedup and the language step are off unless asked for.
+    dedup and the language step are off unless asked for. ``drop_failed``
+    leaves out items the embedder fails on instead of failing the job.
     """
 
     max_tokens: int = MAX_TOKENS
@@ -36,6 +37,7 @@ class IngestOptions:
     languages: tuple[str, ...] | None = None
     replace_url: bool = False
     embed_partitions: int | None = None
+    drop_failed: bool = False
 
 
 def refine_items(items: DataFrame, options: IngestOptions) -> DataFrame:
@@ -66,7 +68,7 @@ def embedded_items(items: DataFrame, options: IngestOptions) -> DataFrame:
 
 
 def embed_chunks(chunks: DataFrame, options: IngestOptions) -> DataFrame:
-    return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions)
+    return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions, options.drop_failed)
 
 
 def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions, **batch) -> int:
@@ -74,7 +76,14 @@ def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions,
     still text: no vector is computed or shuffled for them."""
     latest = latest_per_chunk(chunks, [F.col(c).desc_nulls_last() for c in VERSION])
     rows = embed_chunks(latest, options)
-    return table.upsert(rows, order_by=VERSION, unique=True, replace_url=options.replace_url, **batch)
+    return table.upsert(
+        rows,
+        order_by=VERSION,
+        unique=True,
+        replace_url=options.replace_url,
+        drop_failed=options.drop_failed,
+        **batch,
+    )
 
 
 def ingest_items(items: DataFrame, table: VectorTable, options: IngestOptions = IngestOptions(), **batch) -> int:

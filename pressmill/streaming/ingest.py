@@ -9,6 +9,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pressmill.operators.chunking import chunk_items
 from pressmill.operators.normalize import normalize_items
+from pressmill.operators.records import ingest_summary, summary_json
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
 from pressmill.operators.vector_table import VectorTable
 from pressmill.plans.ingest import VERSION, IngestOptions, chunked_items, store_chunks
@@ -41,14 +42,22 @@ def write_chunks(
     table: VectorTable,
     checkpoint: str,
     options: IngestOptions,
+    summaries: str | None = None,
     name: str | None = None,
     once: bool = False,
 ) -> StreamingQuery:
     """Embed and upsert a stream of chunks. A batch that is replayed after a
-    failure finds its own commit and does nothing."""
+    failure finds its own commit and does nothing.
+
+    ``summaries`` names a folder for the ``{"url":…,"chunks":…}`` line of each
+    ingested url, one sub-folder per batch.
+    """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        store_chunks(batch, table, options, writer=checkpoint, batch_id=batch_id)
+        written = store_chunks(batch, table, options, writer=checkpoint, batch_id=batch_id)
+        if summaries and written:
+            lines = summary_json(ingest_summary(table.last_batch(), []))
+            lines.write.mode("overwrite").text(f"{summaries}/batch={batch_id}")
         table.maintain()
 
     return _start(chunks.writeStream.foreachBatch(upsert), checkpoint, name, once)
@@ -60,6 +69,7 @@ def ingest_stream(
     checkpoint: str,
     options: IngestOptions = IngestOptions(),
     ttl: str | None = None,
+    summaries: str | None = None,
     name: str | None = None,
     once: bool = False,
 ) -> StreamingQuery:
@@ -75,7 +85,7 @@ def ingest_stream(
         chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
     else:
         chunks = chunked_items(items, options)
-    return write_chunks(chunks, table, checkpoint, options, name, once)
+    return write_chunks(chunks, table, checkpoint, options, summaries, name, once)
 
 
 def reject_stream(

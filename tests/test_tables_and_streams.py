@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import items, values
 from pressmill.operators.dedup import dedup_by_url
-from pressmill.operators.embedding import embed
+from pressmill.operators.embedding import embed, register_embedder
 from pressmill.operators.language import allow_languages, detect_language
 from pressmill.operators.records import embedded_chunks, ingest_summary, items_per_source, summary_json, to_records
 from pressmill.operators.chunking import chunk_items
@@ -165,6 +165,26 @@ def test_upkeep_merges_small_deltas_and_compacts_large_ones(spark, table, monkey
     assert table.snapshot()["deltas"] == [] and table.snapshot()["base_rows"] == 220
 
 
+def test_items_the_embedder_fails_on(spark, table):
+    def load(dim):
+        def run(texts):
+            if any("poison" in t for t in texts):
+                raise RuntimeError("model failed")
+            return [[1.0] * dim for _ in texts]
+
+        return run
+
+    register_embedder("fragile", load)
+    df = items(spark, doc("a", "fine text here. poison and more words."), doc("b", "all good."), doc("c", "also good."))
+    strict = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, provider="fragile")
+    with pytest.raises(Exception, match="model failed"):
+        ingest_items(df, table, strict)
+    assert table.read().count() == 0
+    lenient = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, provider="fragile", drop_failed=True)
+    assert ingest_items(df, table, lenient) == 2
+    assert [t[0] for t in texts(table)] == ["b", "c"] and table.snapshot()["failed_urls"] == 1
+
+
 def test_second_of_two_racing_writers_fails(spark, table):
     stale = table.snapshot()
     ingest_items(items(spark, doc("a", "one.")), table, SMALL)
@@ -239,7 +259,7 @@ def test_stream_equals_batch_across_restarts(spark, table, tmp_path):
 
     def once():
         stream = stream_records(spark, inbox, pathGlobFilter="*.json")
-        return run(ingest_stream(stream, table, checkpoint, SMALL, once=True))
+        return run(ingest_stream(stream, table, checkpoint, SMALL, summaries=str(tmp_path / "sums"), once=True))
 
     drop(inbox, "1", [record("a", "One two three four. Five."), "bad", record("b", "B."), "[1]"])
     progress = [p.observedMetrics["decode"] for p in once().recentProgress if "decode" in p.observedMetrics]
@@ -252,6 +272,8 @@ def test_stream_equals_batch_across_restarts(spark, table, tmp_path):
     once()
     want = [("a", 0, "New text."), ("a", 1, "Five."), ("b", 0, "B."), ("c", 0, "C.")]
     assert texts(table) == want
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "sums")).collect()]
+    assert sorted((s["url"], s["chunks"]) for s in lines) == [("a", 1), ("a", 2), ("b", 1), ("c", 1)]
     batch = VectorTable(spark, str(tmp_path / "batch"))
     ingest_records(spark.read.option("pathGlobFilter", "*.json").text(inbox), batch, None, SMALL)
     assert texts(batch) == want

@@ -23,47 +23,47 @@ def word_count(text: Column) -> Column:
 def pack_spans(counts: Column, max_tokens: int, overlap_tokens: int) -> Column:
     """Greedy packing over word counts: array of half-open spans ``(lo, hi)``.
 
-    Works on integers only, so the fold copies no text. A span closes when the
+    Works on word counts only, so the fold copies no text. A span closes when the
     next sentence would pass ``max_tokens``; the following span starts with the
     longest run of closing sentences that fits ``overlap_tokens``. A sentence
     longer than the limit stays whole.
+
+    The closed spans are gathered as text, ``"lo:hi lo:hi "``: appending to text
+    is a block copy, while an array is rebuilt element by element, which makes
+    a very long document slow.
     """
-    span = "struct<lo:int,hi:int>"
     start = F.struct(
         F.lit(0).alias("lo"),
         F.lit(0).alias("at"),
         F.lit(0).alias("words"),
-        F.array().cast(f"array<{span}>").alias("spans"),
+        F.lit("").alias("spans"),
     )
 
     def tail(acc: Column) -> Column:
-        current = F.reverse(F.slice(counts, acc["lo"] + 1, acc["at"] - acc["lo"]))
+        # Elements are fetched one by one; slice() would read the whole array.
         empty = F.struct(F.lit(0).alias("kept"), F.lit(0).alias("words"), F.lit(True).alias("open"))
-        return F.aggregate(
-            current,
-            empty,
-            lambda t, n: F.when(
-                t["open"] & (t["words"] + n <= overlap_tokens),
-                F.struct(
-                    (t["kept"] + 1).alias("kept"), (t["words"] + n).alias("words"), F.lit(True).alias("open")
-                ),
-            ).otherwise(
-                F.struct(t["kept"].alias("kept"), t["words"].alias("words"), F.lit(False).alias("open"))
-            ),
-        )
+
+        def take(t: Column, i: Column) -> Column:
+            fits = t["open"] & (t["words"] + F.get(counts, i) <= overlap_tokens)
+            kept = F.struct(
+                (t["kept"] + 1).alias("kept"), (t["words"] + F.get(counts, i)).alias("words"), F.lit(True).alias("open")
+            )
+            stop = F.struct(t["kept"].alias("kept"), t["words"].alias("words"), F.lit(False).alias("open"))
+            return F.when(fits, kept).otherwise(stop)
+
+        return F.aggregate(F.sequence(acc["at"] - 1, acc["lo"], F.lit(-1)), empty, take)
+
+    def add(acc: Column) -> Column:
+        return F.concat(acc["spans"], acc["lo"].cast("string"), F.lit(":"), acc["at"].cast("string"), F.lit(" "))
 
     def step(acc: Column, n: Column) -> Column:
-        closed = F.transform(
-            F.array(tail(acc)),
-            lambda t: F.struct(
-                (acc["at"] - t["kept"]).alias("lo"),
-                (acc["at"] + 1).alias("at"),
-                (t["words"] + n).alias("words"),
-                F.array_append(
-                    acc["spans"], F.struct(acc["lo"].alias("lo"), acc["at"].alias("hi"))
-                ).alias("spans"),
-            ),
-        )[0]
+        # The tail is worked out once per field that needs it.
+        closed = F.struct(
+            (acc["at"] - tail(acc)["kept"]).alias("lo"),
+            (acc["at"] + 1).alias("at"),
+            (tail(acc)["words"] + n).alias("words"),
+            add(acc).alias("spans"),
+        )
         grown = F.struct(
             acc["lo"].alias("lo"),
             (acc["at"] + 1).alias("at"),
@@ -73,11 +73,22 @@ def pack_spans(counts: Column, max_tokens: int, overlap_tokens: int) -> Column:
         full = (acc["at"] > acc["lo"]) & (acc["words"] + n > max_tokens)
         return F.when(full, closed).otherwise(grown)
 
-    def finish(acc: Column) -> Column:
-        return F.array_append(acc["spans"], F.struct(acc["lo"].alias("lo"), acc["at"].alias("hi")))
-
-    return F.aggregate(counts, start, step, finish)
+    found = F.split(F.rtrim(F.aggregate(counts, start, step, add)), " ")
+    return F.transform(
+        found,
+        lambda s: F.struct(
+            F.split_part(s, F.lit(":"), F.lit(1)).cast("int").alias("lo"),
+            F.split_part(s, F.lit(":"), F.lit(2)).cast("int").alias("hi"),
+        ),
+    )
 
 
 def join_spans(sentences: Column, spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.array_join(F.slice(sentences, s["lo"] + 1, s["hi"] - s["lo"]), " "))
+    """The text of each span. Sentences are fetched one by one; slice() would
+    read the whole array for every span."""
+
+    def text(span: Column) -> Column:
+        places = F.sequence(span["lo"], span["hi"] - 1)
+        return F.array_join(F.transform(places, lambda i: F.get(sentences, i)), " ")
+
+    return F.transform(spans, text)

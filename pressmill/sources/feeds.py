@@ -159,11 +159,11 @@ def parse_feeds(payloads: DataFrame, sources: DataFrame, fetched_at: int) -> Dat
     )
     registry = sources.select(F.col("id").alias("source_id"), "language", "tags")
     joined = lookup_join(rows, registry, "source_id", ["_row"])
-    stripped = strip_html(joined, ["title", "summary", "content"])
+    stripped = strip_html(joined, ["title", "summary", "content"]).withColumn("date", trim_space(F.col("date")))
     return stripped.withColumns(
         {
             "author": empty_to_null(F.col("author")),
-            "published_at": epoch_seconds(trim_space(F.col("date"))),
+            "published_at": epoch_seconds(F.col("date")),
             "fetched_at": F.lit(fetched_at).cast("bigint"),
         }
     ).select(*ITEM.fieldNames())

@@ -48,12 +48,17 @@ def refine_items(items: DataFrame, options: IngestOptions) -> DataFrame:
     out = normalize_items(items)
     if options.dedup:
         out = dedup_by_url(out)
+    return language_step(out, options)
+
+
+def language_step(items: DataFrame, options: IngestOptions) -> DataFrame:
+    """Detect the language and keep the allowed ones, as far as asked for."""
     if options.detect:
         text = F.coalesce("content", "summary", "title")
-        out = detect_language(out.withColumn("_text", text), "_text").drop("_text")
+        items = detect_language(items.withColumn("_text", text), "_text").drop("_text")
     if options.detect or options.languages:
-        out = allow_languages(out, list(options.languages or ALLOWED))
-    return out
+        items = allow_languages(items, list(options.languages or ALLOWED))
+    return items
 
 
 def chunked_items(items: DataFrame, options: IngestOptions) -> DataFrame:

@@ -12,7 +12,7 @@ from pressmill.operators.normalize import normalize_items
 from pressmill.operators.records import ingest_summary, summary_json
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
 from pressmill.operators.vector_table import VectorTable
-from pressmill.plans.ingest import VERSION, IngestOptions, chunked_items, store_chunks
+from pressmill.plans.ingest import VERSION, IngestOptions, language_step, store_chunks
 from pressmill.streaming.dedup import TTL, dedup_stream
 
 
@@ -75,16 +75,21 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Decode, normalize, chunk, embed and upsert a stream of records.
 
-    ``ttl`` adds url dedup with that time to live. Refused records are
-    counted in the progress; :func:`reject_stream` stores them.
+    ``ttl`` adds url dedup with that time to live. The query progress counts
+    records per outcome (``decode``), items left after cleaning
+    (``normalize``), after dedup and language (``refine``), and chunks
+    (``chunk``). :func:`reject_stream` stores the refused records.
     """
     table.ensure(options.dim)
-    items = accepted(decode_stream(records))
+    if options.dedup:
+        raise ValueError("a stream is deduplicated with ttl, not with the batch option")
+    items = normalize_items(accepted(decode_stream(records)))
+    items = items.observe("normalize", F.count("*").alias("kept"))
     if ttl:
-        refined = dedup_stream(normalize_items(items), ttl)
-        chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
-    else:
-        chunks = chunked_items(items, options)
+        items = dedup_stream(items, ttl)
+    refined = language_step(items, options).observe("refine", F.count("*").alias("kept"))
+    chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
+    chunks = chunks.observe("chunk", F.count("*").alias("chunks"))
     return write_chunks(chunks, table, checkpoint, options, summaries, name, once)
 
 

@@ -261,10 +261,16 @@ def test_stream_equals_batch_across_restarts(spark, table, tmp_path):
         stream = stream_records(spark, inbox, pathGlobFilter="*.json")
         return run(ingest_stream(stream, table, checkpoint, SMALL, summaries=str(tmp_path / "sums"), once=True))
 
-    drop(inbox, "1", [record("a", "One two three four. Five."), "bad", record("b", "B."), "[1]"])
-    progress = [p.observedMetrics["decode"] for p in once().recentProgress if "decode" in p.observedMetrics]
-    assert sum(m["accepted"] for m in progress) == 2
-    assert sum(m["schema_invalid"] for m in progress) == 1 and sum(m["decode_failed"] for m in progress) == 1
+    first = [record("a", "One two three four. Five."), "bad", record("b", "B."), "[1]", record("e", "<p> </p>")]
+    drop(inbox, "1", first)
+    progress = [p.observedMetrics for p in once().recentProgress if "decode" in p.observedMetrics]
+
+    def counted(name, field):
+        return sum(m[name][field] for m in progress)
+
+    assert counted("decode", "accepted") == 3
+    assert counted("decode", "schema_invalid") == 1 and counted("decode", "decode_failed") == 1
+    assert counted("normalize", "kept") == 2 and counted("refine", "kept") == 2 and counted("chunk", "chunks") == 3
     drop(inbox, "2", [record("a", "New text.", 2)])
     once()
     once()  # nothing new
@@ -301,6 +307,17 @@ def test_stream_dedup_by_batch_clock(spark, table, tmp_path):
     assert texts(table) == [("a", 0, "first."), ("b", 0, "old article."), ("c", 0, "later.")]
 
 
+def test_stream_language_step_follows_dedup(spark, table, tmp_path):
+    inbox = str(tmp_path / "in")
+    options = IngestOptions(max_tokens=50, overlap_tokens=0, dim=8, detect=True, languages=("de",))
+    drop(inbox, "1", [record("a", "Der Hund und die Katze."), record("a", "Der Hund und die Katze."), record("b", "It is the end of it.")])
+    stream = stream_records(spark, inbox)
+    run(ingest_stream(stream, table, str(tmp_path / "cp"), options, ttl="1 hour", once=True))
+    assert texts(table) == [("a", 0, "Der Hund und die Katze.")]
+    with pytest.raises(ValueError, match="ttl"):
+        ingest_stream(stream, table, str(tmp_path / "cp2"), IngestOptions(dim=8, dedup=True))
+
+
 def test_stream_dedup_expires_by_event_time(spark, tmp_path):
     inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     hour = 3600

@@ -265,9 +265,13 @@ def chunk_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hash_embedding(spark: SparkSession, folder: str) -> DataFrame:
-    """Non-zero weights of each document's vector."""
+    """Non-zero weights of each document's vector.
+
+    The outer form of explode: for the inner one Catalyst adds a filter on the
+    array's size below the embedding, which would embed every text twice.
+    """
     vectors = embed(_documents(spark, folder).select("doc_id", "text"), "text", dim=DIM)
-    weights = vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "weight"))
+    weights = vectors.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "weight"))
     return weights.where(F.col("weight") != 0).withColumn("weight", F.round(F.col("weight").cast("double"), 6))
 
 

@@ -31,3 +31,10 @@ def test_every_query_has_a_twin():
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["question_id", "answer", "sources"] and df.count() > 0
+
+
+@pytest.mark.parametrize("name,python", [("hash_embedding", 1), ("chunk_documents", 1), ("embedded_output", 2), ("parse_rss", 0)])
+def test_python_steps_run_once(spark, name, python):
+    plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == python
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan

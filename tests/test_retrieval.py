@@ -188,8 +188,8 @@ def test_answers(spark):
 
 def test_unknown_completion_provider(spark):
     found = hits(spark, (0, 1, "u", "T", "a"))
-    with pytest.raises(ValueError, match="'anthropic'"):
-        answers(questions(spark, ("q", None)), found, provider="anthropic")
+    with pytest.raises(ValueError, match="'nobody'"):
+        answers(questions(spark, ("q", None)), found, provider="nobody")
     with pytest.raises(Exception, match="unknown completion provider: 'gone'"):
         answers(questions(spark, ("q", "gone")), found).collect()
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, chat_format, mixing, near_vectors, pii, quality_model, quality_rules, toxicity
+from pressmill.llm import bpe, chat_format, mixing, near_vectors, ngram_join, pii, quality_model, quality_rules, substring_dedup, toxicity
 from pressmill.llm.common import table
 from pressmill.llm.labelled import held_out
 
@@ -48,6 +48,15 @@ def pii_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, folder, "documents"))
+
+
+def substring_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def quality_model_query(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = quality_model.score_quality(docs, quality_model.fit_quality(docs, labels))
@@ -97,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules_query,
     "op2_byte_bpe": bpe_query,
     "op3_pii": pii_query,
+    "op4_ngram_join": ngram_join_query,
+    "op5_substring_dedup": substring_dedup_query,
     "op6_quality_model": quality_model_query,
     "op7_mixing": mixing_query,
     "op8_toxicity": toxicity_query,

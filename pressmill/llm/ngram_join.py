@@ -11,8 +11,12 @@ for the next.
 Empty parts say nothing and are left out. That is safe for a set with more than
 k non-empty parts, since at most k of them differ from a partner's. Frequent
 features are left out as well, which no partner's count of differences can
-exceed; a set with too few parts left signs with all its features too, and, if
-they are few, with each feature alone. So every link shares a signature.
+exceed. A set with too few parts left signs with each of its rare features too;
+if those are no more than k, with the parts of all its features; and if these are
+no more than k, with each feature. So every link shares a signature. Sets that
+share no rare feature differ in all of theirs, so of two linked ones one is
+light: it has at most k / 2 of them. Pairs without a light set are left out
+where all features sign.
 
 Signatures many sets share are not expanded into pairs: each set meets pivots,
 and only sets that stay in different components meet further pivots, four times
@@ -36,11 +40,13 @@ from pressmill.session import materialize
 WIDTH = 5
 NUM, DEN = 3, 4  # similarity as a fraction
 SPREAD = 1.6  # parts for each difference
-HOT_DOCS = 200  # documents from which a feature is frequent
+HOT_DOCS = 48  # documents from which a feature is frequent
 HOT_LIST = 100_000  # frequent features at most; any choice of them keeps the join exact
-LOCAL_GROUP, GROUP = 32, 64  # sets from which a signature's group meets pivots only, in a chunk and in a bucket
+LOCAL_GROUP, GROUP = 64, 64  # sets from which a signature's group meets pivots only, in a chunk and in a bucket
 PIVOTS = 4  # in the first round after the star
-OWN, BIG = 1, 2  # flags of an entry
+OWN, BIG, LIGHT = 1, 2, 4  # flags of an entry
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+ENOUGH = 1 << 30  # shared entries of a pair that need not be counted
 
 
 def shingle_sets(batch: pa.RecordBatch, width: int = WIDTH) -> Iterator[tuple[int, np.ndarray]]:
@@ -90,41 +96,65 @@ def _parts(features: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return used, total[used].astype(np.uint64)
 
 
-def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and flags of one set's entries."""
+def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int, int]]:
+    """Keys and flags of one set's entries, its band, and how many entries a partner of its own and of the next band shares at least.
+
+    That number is negative where the set relies on single features, which only a partner that does so too has signed with.
+    """
     size = len(features)
     rare = features
     if len(hot):
         at = np.searchsorted(hot, features)
         rare = features[hot[np.minimum(at, len(hot) - 1)] != features]
     own = band_of(size)
-    keys, flags = [], []
+    keys, flags, shared = [], [], [0, 0]
+
+    def sign(hashes: np.ndarray, flag: int) -> None:
+        keys.append(mix(hashes))
+        flags.append(np.full(len(hashes), flag, np.uint8))
+
     for band in (own, own + 1):
         k = differences(band)
         if not k:
             continue  # only equal sets are linked, and those are one set here
-        n = int(SPREAD * k) + 4
-        for domain, chosen in enumerate((rare, features)):
-            used, total = _parts(chosen, n)
-            keys.append(mix(total * np.uint64(0x9E3779B97F4A7C15) + (used.astype(np.uint64) * np.uint64(1 << 20) + np.uint64(2 * band + domain))))
-            if len(used) > k:
-                break
-        else:
-            keys.append(mix(features ^ np.uint64(0xA5A5 + band)))
-        new = sum(map(len, keys)) - sum(map(len, flags))
-        flags.append(np.full(new, OWN if band == own else 0, np.uint8))
+        n, mine = int(SPREAD * k) + 4, OWN if band == own else 0
+        seed = np.array([0, 1, 2, 3], np.uint64) + np.uint64(4 * band)
+        used, total = _parts(rare, n)
+        sign(total * _ODD + (used.astype(np.uint64) << np.uint64(20)) + seed[0], mine | LIGHT)
+        need = len(used) - k
+        if need <= 0:
+            need = -max(0, len(rare) - k)
+            sign(rare ^ mix(seed[2:3]), mine | LIGHT)
+            if len(rare) <= k:
+                light = LIGHT if 2 * len(rare) <= k else 0
+                used, total = _parts(features, n)
+                sign(total * _ODD + (used.astype(np.uint64) << np.uint64(20)) + seed[1], mine | light)
+                if len(used) <= k:
+                    sign(features ^ mix(seed[3:4]), mine | light)
+        shared[band - own] = need
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
-    return packed.key_of(np.concatenate(keys)), np.concatenate(flags)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), (own, 0, 0)
+    return packed.key_of(np.concatenate(keys)), np.concatenate(flags), (own, *shared)
 
 
-def _pivot(keys: np.ndarray, owners: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The pivot of each group, for each of its entries; one of few per family of like sets."""
-    rank = mix(owners.astype(np.uint64) ^ (keys & np.uint64(7)))
+def _star(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the entries of large groups, sorted by key: each one's pivot, and whether the two make a pair that counts.
+
+    A group's pivot is a light own entry if there is one; families of like sets have few different pivots.
+    """
+    start, size = packed.groups(keys)
+    first = np.uint64(3) - np.minimum(flags & OWN, 1).astype(np.uint64) - (flags & LIGHT > 0).astype(np.uint64) * np.uint64(2)
+    rank = mix(owners.astype(np.uint64) ^ (keys & np.uint64(7))) >> np.uint64(2) | first << np.uint64(62)
     least = np.repeat(np.minimum.reduceat(rank, start), size)
-    at = np.repeat(start, size)
     place = np.where(rank == least, np.arange(len(keys)), len(keys))
-    return owners[np.minimum.reduceat(place, start)][np.searchsorted(start, at)]
+    at = np.repeat(np.minimum.reduceat(place, start), size)
+    return at, _counts(flags, flags[at])
+
+
+def _counts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether pairs of entries count: one must be of its own band, and one light."""
+    either = a | b
+    return (either & OWN > 0) & (either & LIGHT > 0)
 
 
 _FOUND = ["kind", "a", "b", "key"]
@@ -136,16 +166,19 @@ def _rows(kind: int, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> pa.Table:
     return pa.table(dict(zip(_FOUND, arrays)))
 
 
-def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    a, b = np.minimum(a, b), np.maximum(a, b)
+def _counted(a: np.ndarray, b: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair of different sets once, smaller id first, with the sum of its times."""
+    a, b, times = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b], times[a != b]
     order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    keep = (np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)) & (a != b)
-    return a[keep], b[keep]
+    a, b, times = a[order], b[order], times[order]
+    if not len(a):
+        return a, b, times
+    start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[start], b[start], np.add.reduceat(times, start)
 
 
 def _bucket_pairs(group: pa.Table) -> pa.Table:
-    """Candidate pairs of one bucket (kind 0), and members of groups that meet pivots only (kind 1)."""
+    """Candidate pairs of one bucket with the number of entries they share (kind 0), and members of groups that meet pivots only (kind 1)."""
     keys, owners, flags = packed.unpack(group)
     start, size = packed.groups(keys)
     some = np.repeat(size > 1, size) | (flags & BIG > 0)
@@ -153,40 +186,45 @@ def _bucket_pairs(group: pa.Table) -> pa.Table:
     if not len(keys):
         return _rows(0, *[np.zeros(0)] * 3)
     start, size = packed.groups(keys)
-    big = np.repeat((size > GROUP) | (np.maximum.reduceat(flags & BIG, start) > 0), size)
-    pairs_a, pairs_b = [], []
+    most = np.maximum.reduceat(flags & BIG, start)
+    big = np.repeat((size > GROUP) | (most > 0), size)
+    pairs_a, pairs_b, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if big.any():
-        k, o = keys[big], owners[big]
-        pairs_a.append(o)
-        pairs_b.append(_pivot(k, o, *packed.groups(k)))
-    k, o, own = keys[~big], owners[~big], flags[~big] & OWN > 0
+        k, o, f = keys[big], owners[big], flags[big]
+        at, counts = _star(k, o, f)
+        pairs_a.append(o[counts])
+        pairs_b.append(o[at[counts]])
+        times.append(np.full(int(counts.sum()), ENOUGH))
+    k, o, f = keys[~big], owners[~big], flags[~big]
     for d in range(1, GROUP):
-        if len(k) <= d:
-            break
-        meet = (k[d:] == k[:-d]) & (own[d:] | own[:-d])
-        if not (k[d:] == k[:-d]).any():
+        same = k[d:] == k[:-d]
+        if not same.any():
             break
+        meet = same & _counts(f[d:], f[:-d])
         pairs_a.append(o[d:][meet])
         pairs_b.append(o[:-d][meet])
-    a, b = _unique_pairs(np.concatenate(pairs_a), np.concatenate(pairs_b)) if pairs_a else (np.zeros(0), np.zeros(0))
-    return pa.concat_tables([_rows(0, a, b, np.zeros(len(a))), _rows(1, owners[big], owners[big], keys[big])])
+        times.append(np.ones(int(meet.sum()), np.int64))
+    pairs = _counted(np.concatenate(pairs_a), np.concatenate(pairs_b), np.concatenate(times))
+    return pa.concat_tables([_rows(0, *pairs), _rows(1, owners[big], flags[big], keys[big])])
 
 
-def _entries(hot: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+def _entries(hot: np.ndarray, facts: dict[int, tuple[int, int]], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     for batch in slices(batches):
         ids = batch.column("doc_id")
         for row, features in shingle_sets(batch):
             if not ids[row].is_valid:
                 continue
-            keys, flags = signatures(features, hot)
+            keys, flags, (band, own, after) = signatures(features, hot)
             if len(keys):
-                yield keys, np.full(len(keys), set_id(features), np.int64), flags
+                sid = set_id(features)
+                facts[sid] = (band << 32 | own + (1 << 31), after)
+                yield keys, np.full(len(keys), sid, np.int64), flags
 
 
-def _combine(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
-    """A chunk's entries once each; of a group many of its sets share, one pivot goes on and all meet it.
+def _combine(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[tuple[np.ndarray, ...], ...]:
+    """A chunk's entries once each; of a group many of its sets share, one pivot goes on and the others meet it.
 
-    Returns the entries that go on, and key, owner and pivot of the others.
+    Returns the entries that go on, the members of such groups, and their pairs with the pivots.
     """
     order = np.lexsort((owners, keys))
     keys, owners, flags = keys[order], owners[order], flags[order]
@@ -195,14 +233,14 @@ def _combine(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[t
     start, size = packed.groups(keys)
     big = np.repeat(size > LOCAL_GROUP, size)
     if not big.any():
-        return (keys, owners, flags), (keys[:0], owners[:0], owners[:0])
-    k, o = keys[big], owners[big]
-    pivot = _pivot(k, o, *packed.groups(k))
-    flags = flags.copy()
-    flags[big] |= BIG | OWN
-    go = ~big
-    go[np.flatnonzero(big)[o == pivot]] = True
-    return (keys[go], owners[go], flags[go]), (k, o, pivot)
+        return (keys, owners, flags), (keys[:0], owners[:0], flags[:0]), (owners[:0], owners[:0])
+    k, o, f = keys[big], owners[big], flags[big]
+    at, counts = _star(k, o, f)
+    go, marked = ~big, flags.copy()
+    chosen = np.flatnonzero(big)[np.unique(at)]
+    go[chosen] = True
+    marked[chosen] |= BIG
+    return (keys[go], owners[go], marked[go]), (k, o, f), (o[counts], o[at[counts]])
 
 
 def profile(docs: DataFrame, hot_docs: int = HOT_DOCS) -> DataFrame:
@@ -245,18 +283,22 @@ def profile(docs: DataFrame, hot_docs: int = HOT_DOCS) -> DataFrame:
 
 
 def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
-    """``kind, a, b, key``: pairs of set ids that share a signature, and members of large groups."""
+    """``kind, a, b, key``: pairs of set ids with the entries they share (0), members of large groups by key (1), and of
+    each set its band and the entries a partner of that band shares at least (``b``) or of the next one (``key``) (2)."""
     shared, buckets = docs.sparkSession.sparkContext.broadcast(hot), packed.bucket_count(entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in packed.chunks(_entries(shared.value, batches)):
-            go, (key, owner, pivot) = _combine(*chunk)
+        facts: dict[int, tuple[int, int]] = {}
+        for chunk in packed.chunks(_entries(shared.value, facts, batches)):
+            sids, (packed_band, after) = np.array(list(facts), np.int64), np.array(list(facts.values()), np.int64).T
+            facts.clear()
+            yield _tagged(_blob(2, sids, packed_band, after), 1)
+            go, (key, owner, flag), (a, b) = _combine(*chunk)
             yield _tagged(packed.pack(*go, buckets), 0)
             if len(key):
                 # Members and their pivots travel as entries of their own, to any bucket.
-                a, b = _unique_pairs(owner, pivot)
-                yield _tagged(_blob(0, a, b, np.zeros(len(a), np.int64)), 1)
-                yield _tagged(_blob(1, owner, owner, key), 1)
+                yield _tagged(_blob(0, *_counted(a, b, np.full(len(a), ENOUGH))), 1)
+                yield _tagged(_blob(1, owner, flag, key), 1)
 
     def each(group: pa.Table) -> pa.Table:
         plain = np.asarray(group.column("tag")) == 0
@@ -281,6 +323,26 @@ def _blob(kind: int, a: np.ndarray, b: np.ndarray, key: np.ndarray, size: int =
     return pa.RecordBatch.from_arrays(columns, names=["bucket", "n", "owners", "block"])
 
 
+def _promising(found: DataFrame, big: DataFrame) -> DataFrame:
+    """Pairs that share as many entries as linked sets must: the non-empty parts of either, less the most they differ in.
+
+    Entries in large groups are not counted by pairs, so as many as either set has there may be missing.
+    """
+    facts = found.where("kind = 2").groupBy(F.col("a").alias("sid")).agg(F.max("b").alias("b"), F.max("key").alias("after"))
+    missing = big.groupBy("sid").agg(F.count("*").alias("missing"))
+    facts = facts.join(missing, "sid", "left").select(
+        "sid", F.shiftright("b", 32).alias("band"), (F.col("b") % (1 << 32) - (1 << 31)).alias("own"), "after", F.coalesce("missing", F.lit(0)).alias("missing")
+    )
+    facts = materialize(facts.sparkSession, facts, "ngram")
+    side = lambda s: facts.select(*[F.col(c).alias(s if c == "sid" else f"{s}_{c}") for c in facts.columns])
+    pairs = found.where("kind = 0").groupBy("a", "b").agg(F.sum("key").alias("times")).join(side("a"), "a").join(side("b"), "b")
+    least = lambda s, o: F.when(F.col(f"{s}_band") >= F.col(f"{o}_band"), F.col(f"{s}_own")).otherwise(F.col(f"{s}_after"))
+    a, b = least("a", "b"), least("b", "a")
+    least_shared = F.when((a <= 0) & (b <= 0), -F.least(a, b)).otherwise(F.greatest(a, b))
+    enough = F.col("times") + F.least("a_missing", "b_missing") >= least_shared
+    return pairs.where(enough).select("a", "b")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``sid, features`` for the wanted ``sid, rep``: the sets of their texts, as sorted 48-bit hashes."""
 
@@ -295,7 +357,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([sids, pa.array(list(found.values()), pa.binary())], names=["sid", "features"])
 
     rows = texts(docs).join(wanted.select(F.col("rep").alias("doc_id"), "sid"), "doc_id")
-    return rows.select("sid", "text").mapInArrow(run, "sid bigint, features binary").dropDuplicates(["sid"])
+    return rows.select("sid", "text").mapInArrow(run, "sid bigint, features binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -347,37 +409,38 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     entries = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = materialize(spark, candidates(docs, hot, entries), "ngram")
 
-    pairs = materialize(spark, found.where("kind = 0").select("a", "b").distinct(), "ngram")
-    big = found.where("kind = 1").select(F.col("a").alias("sid"), "key").distinct()
+    flag = F.col("b").cast("int")
+    big = found.where("kind = 1").select(F.col("a").alias("sid"), "key", flag.bitwiseAND(OWN).alias("own"), flag.bitwiseAND(LIGHT).alias("light"))
+    big = materialize(spark, big.groupBy("sid", "key").agg(F.max("own").alias("own"), F.max("light").alias("light")), "ngram")
+    pairs = materialize(spark, _promising(found, big), "ngram")
     ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(big.select("sid")).distinct()
     sets = materialize(spark, _sets(docs, classes.join(ends, "sid").select("sid", "rep")), "ngram")
     links = materialize(spark, _verified(pairs, sets), "ngram")
     joined = materialize(spark, components(links), "ngram")
 
-    # Groups that met one pivot each: sets still apart meet more of them, until none is left.
-    big = materialize(spark, big, "ngram")
-    counts = big.groupBy("key").agg(F.count("*").alias("size"))
-    big = materialize(spark, big.join(counts, "key"), "ngram") if big.take(1) else big.limit(0).withColumn("size", F.lit(0))
-    share, pivots = 0.0, PIVOTS
-    while share < 1.0 and big.take(1):
-        placed = big.join(joined, big.sid == joined.node, "left").select("key", "sid", "size", F.coalesce("component", "sid").alias("part"))
+    # Groups that met one pivot each: light sets still apart from others meet all of them, some in each round.
+    counts = big.groupBy("key").agg(F.sum((F.col("light") > 0).cast("int")).alias("lights"), F.max("own").alias("any"))
+    big = materialize(spark, big.join(counts.where("lights > 0 and any > 0").select("key", "lights"), "key"), "ngram")
+    done, pivots = 0, PIVOTS
+    while most := big.agg(F.coalesce(F.max("lights"), F.lit(0))).first()[0]:
+        placed = big.join(joined, big.sid == joined.node, "left").select(*big.columns, F.coalesce("component", "sid").alias("part"))
         open_ = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
         placed = materialize(spark, placed.join(open_, "key"), "ngram")
-        most = placed.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
-        if not most:
-            break
-        # A set is a pivot where its hash is among the first; those before were met by all.
-        chance = lambda n: F.least(F.lit(1.0), F.lit(float(n)) / F.col("size"))
-        rank = F.pmod(F.xxhash64("key", "sid"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-        low = chance(pivots // 4) if share else F.lit(0.0)
-        pivot = placed.where((rank < chance(pivots)) & (rank >= low)).select("key", F.col("sid").alias("p_sid"), F.col("part").alias("p_part"))
-        more = placed.join(pivot, "key").where("part <> p_part")
+        # A set is a pivot in all its groups or in none; those before were met by all.
+        rank = F.pmod(F.xxhash64("sid"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        chance = lambda n: F.least(F.lit(1.0), F.lit(float(n)) / F.col("lights")) if n else F.lit(0.0)
+        pivot = placed.where((F.col("light") > 0) & (rank < chance(pivots)) & (rank >= chance(done)))
+        pivot = pivot.select("key", F.col("sid").alias("p_sid"), F.col("part").alias("p_part"), F.col("own").alias("p_own"))
+        more = placed.join(pivot, "key").where("part <> p_part and own + p_own > 0")
         more = more.select(F.least("sid", "p_sid").alias("a"), F.greatest("sid", "p_sid").alias("b")).distinct()
         more = materialize(spark, more.join(pairs, ["a", "b"], "left_anti"), "ngram")
-        links = materialize(spark, links.union(_verified(more, sets)), "ngram")
-        joined = materialize(spark, components(links), "ngram")
-        pairs = pairs.union(more)
-        big, share, pivots = placed.select("key", "sid", "size"), min(1.0, pivots / most), pivots * 4
+        if more.take(1):
+            links = materialize(spark, links.union(_verified(more, sets)), "ngram")
+            joined = materialize(spark, components(links), "ngram")
+            pairs = pairs.union(more)
+        if pivots >= most:
+            break
+        big, done, pivots = placed.select(*big.columns), pivots, pivots * 4
 
     parts = classes.join(joined, classes.sid == joined.node, "left").select("sid", "rep", F.coalesce("component", "sid").alias("part"))
     first = parts.groupBy("part").agg(F.min("rep").alias("component_id"))

@@ -18,9 +18,10 @@ share no rare feature differ in all of theirs, so of two linked ones one is
 light: it has at most k / 2 of them. Pairs without a light set are left out
 where all features sign.
 
-Signatures many sets share are not expanded into pairs: each set meets pivots,
-and only sets that stay in different components meet further pivots, four times
-as many in each round, until all were met.
+Signatures many sets share are not expanded into pairs: each set meets a pivot,
+and only sets that stay in different components meet further pivots, more in each
+round, until all light ones were met. Pairs whose sizes, rare features and counts
+of frequent features in cells already differ too much are not verified.
 """
 
 from __future__ import annotations
@@ -43,8 +44,8 @@ SPREAD = 1.6  # parts for each difference
 HOT_DOCS = 48  # documents from which a feature is frequent
 HOT_LIST = 100_000  # frequent features at most; any choice of them keeps the join exact
 LOCAL_GROUP, GROUP = 64, 64  # sets from which a signature's group meets pivots only, in a chunk and in a bucket
-PIVOTS = 4  # in the first round after the star
-OWN, BIG, LIGHT = 1, 2, 4  # flags of an entry
+PIVOTS = 16  # in the first round after the star
+OWN, BIG, LIGHT, FULL = 1, 2, 4, 8  # flags of an entry
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 ENOUGH = 1 << 30  # shared entries of a pair that need not be counted
 
@@ -96,8 +97,9 @@ def _parts(features: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return used, total[used].astype(np.uint64)
 
 
-def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int, int]]:
-    """Keys and flags of one set's entries, its band, and how many entries a partner of its own and of the next band shares at least.
+def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int, int, int]]:
+    """Keys and flags of one set's entries, its band, how many entries a partner of its own and of the next band shares at least,
+    and how many of its features are rare.
 
     That number is negative where the set relies on single features, which only a partner that does so too has signed with.
     """
@@ -128,13 +130,13 @@ def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.nd
             if len(rare) <= k:
                 light = LIGHT if 2 * len(rare) <= k else 0
                 used, total = _parts(features, n)
-                sign(total * _ODD + (used.astype(np.uint64) << np.uint64(20)) + seed[1], mine | light)
+                sign(total * _ODD + (used.astype(np.uint64) << np.uint64(20)) + seed[1], mine | light | FULL)
                 if len(used) <= k:
-                    sign(features ^ mix(seed[3:4]), mine | light)
+                    sign(features ^ mix(seed[3:4]), mine | light | FULL)
         shared[band - own] = need
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), (own, 0, 0)
-    return packed.key_of(np.concatenate(keys)), np.concatenate(flags), (own, *shared)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), (own, 0, 0, len(rare))
+    return packed.key_of(np.concatenate(keys)), np.concatenate(flags), (own, *shared, len(rare))
 
 
 def _star(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,16 +210,37 @@ def _bucket_pairs(group: pa.Table) -> pa.Table:
     return pa.concat_tables([_rows(0, *pairs), _rows(1, owners[big], flags[big], keys[big])])
 
 
-def _entries(hot: np.ndarray, facts: dict[int, tuple[int, int]], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+def _cells(features: np.ndarray, hot: np.ndarray) -> list[int]:
+    """How many frequent features fall in each of 32 cells, up to 255, as four numbers of eight bytes."""
+    if not len(hot):
+        return [0] * 4
+    own = features[hot[np.minimum(np.searchsorted(hot, features), len(hot) - 1)] == features]
+    count = np.bincount((own >> np.uint64(59)).astype(np.int64), minlength=32)
+    return np.minimum(count, 255).astype(np.uint8).view(np.int64).tolist()
+
+
+def _apart(a: str, b: str) -> str:
+    """At least so many frequent features differ in two sets: the sum over cells of the differences of their counts."""
+    cell = lambda side, w, i: f"(shiftrightunsigned({side}cells{w}, {8 * i}) & 255)"
+    return "(" + " + ".join(f"abs({cell(a, w, i)} - {cell(b, w, i)})" for w in range(4) for i in range(8)) + ")"
+
+
+def _near(a: str, b: str, more: str = "0") -> str:
+    """What linked sets fulfil: sizes in proportion, and differences of no more than a seventh of both sizes."""
+    sizes = f"{DEN} * least({a}n, {b}n) >= {NUM} * greatest({a}n, {b}n)"
+    return f"{sizes} and {DEN + NUM} * ({more} + {_apart(a, b)}) <= {DEN - NUM} * ({a}n + {b}n)"
+
+
+def _entries(hot: np.ndarray, facts: dict[int, tuple[int, ...]], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     for batch in slices(batches):
         ids = batch.column("doc_id")
         for row, features in shingle_sets(batch):
             if not ids[row].is_valid:
                 continue
-            keys, flags, (band, own, after) = signatures(features, hot)
+            keys, flags, (band, own, after, rare) = signatures(features, hot)
             if len(keys):
                 sid = set_id(features)
-                facts[sid] = (band << 32 | own + (1 << 31), after)
+                facts[sid] = (band << 32 | own + (1 << 31), after, rare, len(features), *_cells(features, hot))
                 yield keys, np.full(len(keys), sid, np.int64), flags
 
 
@@ -284,15 +307,19 @@ def profile(docs: DataFrame, hot_docs: int = HOT_DOCS) -> DataFrame:
 
 def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
     """``kind, a, b, key``: pairs of set ids with the entries they share (0), members of large groups by key (1), and of
-    each set its band and the entries a partner of that band shares at least (``b``) or of the next one (``key``) (2)."""
+    each set its band and the entries a partner of that band shares at least (``b``) or of the next one (``key``) (2),
+    its rare features (``b``) and size (``key``) (3), and the cells of its frequent features (4, 5)."""
     shared, buckets = docs.sparkSession.sparkContext.broadcast(hot), packed.bucket_count(entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        facts: dict[int, tuple[int, int]] = {}
+        facts: dict[int, tuple[int, ...]] = {}
         for chunk in packed.chunks(_entries(shared.value, facts, batches)):
-            sids, (packed_band, after) = np.array(list(facts), np.int64), np.array(list(facts.values()), np.int64).T
+            sids, (packed_band, after, rare, size, *cells) = np.array(list(facts), np.int64), np.array(list(facts.values()), np.int64).T
             facts.clear()
             yield _tagged(_blob(2, sids, packed_band, after), 1)
+            yield _tagged(_blob(3, sids, rare, size), 1)
+            yield _tagged(_blob(4, sids, cells[0], cells[1]), 1)
+            yield _tagged(_blob(5, sids, cells[2], cells[3]), 1)
             go, (key, owner, flag), (a, b) = _combine(*chunk)
             yield _tagged(packed.pack(*go, buckets), 0)
             if len(key):
@@ -323,24 +350,29 @@ def _blob(kind: int, a: np.ndarray, b: np.ndarray, key: np.ndarray, size: int =
     return pa.RecordBatch.from_arrays(columns, names=["bucket", "n", "owners", "block"])
 
 
-def _promising(found: DataFrame, big: DataFrame) -> DataFrame:
+def _facts(found: DataFrame) -> DataFrame:
+    """``sid, band, own, after, rare, n, cells0 .. cells3`` of each set."""
+    of = lambda kind, column: F.max(F.when(F.col("kind") == kind, F.col(column)))
+    names = {"packed": (2, "b"), "after": (2, "key"), "rare": (3, "b"), "n": (3, "key"), "cells0": (4, "b"), "cells1": (4, "key"), "cells2": (5, "b"), "cells3": (5, "key")}
+    facts = found.where("kind >= 2").groupBy(F.col("a").alias("sid")).agg(*[of(*v).alias(k) for k, v in names.items()])
+    band, own = F.shiftright("packed", 32), F.col("packed") % (1 << 32) - (1 << 31)
+    return facts.withColumn("band", band).withColumn("own", own).drop("packed")
+
+
+def _promising(found: DataFrame, big: DataFrame, facts: DataFrame) -> DataFrame:
     """Pairs that share as many entries as linked sets must: the non-empty parts of either, less the most they differ in.
 
     Entries in large groups are not counted by pairs, so as many as either set has there may be missing.
     """
-    facts = found.where("kind = 2").groupBy(F.col("a").alias("sid")).agg(F.max("b").alias("b"), F.max("key").alias("after"))
     missing = big.groupBy("sid").agg(F.count("*").alias("missing"))
-    facts = facts.join(missing, "sid", "left").select(
-        "sid", F.shiftright("b", 32).alias("band"), (F.col("b") % (1 << 32) - (1 << 31)).alias("own"), "after", F.coalesce("missing", F.lit(0)).alias("missing")
-    )
-    facts = materialize(facts.sparkSession, facts, "ngram")
+    facts = facts.join(missing, "sid", "left").withColumn("missing", F.coalesce("missing", F.lit(0)))
     side = lambda s: facts.select(*[F.col(c).alias(s if c == "sid" else f"{s}_{c}") for c in facts.columns])
     pairs = found.where("kind = 0").groupBy("a", "b").agg(F.sum("key").alias("times")).join(side("a"), "a").join(side("b"), "b")
     least = lambda s, o: F.when(F.col(f"{s}_band") >= F.col(f"{o}_band"), F.col(f"{s}_own")).otherwise(F.col(f"{s}_after"))
     a, b = least("a", "b"), least("b", "a")
     least_shared = F.when((a <= 0) & (b <= 0), -F.least(a, b)).otherwise(F.greatest(a, b))
     enough = F.col("times") + F.least("a_missing", "b_missing") >= least_shared
-    return pairs.where(enough).select("a", "b")
+    return pairs.where(enough).where(_near("a_", "b_")).select("a", "b")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -410,9 +442,11 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     found = materialize(spark, candidates(docs, hot, entries), "ngram")
 
     flag = F.col("b").cast("int")
-    big = found.where("kind = 1").select(F.col("a").alias("sid"), "key", flag.bitwiseAND(OWN).alias("own"), flag.bitwiseAND(LIGHT).alias("light"))
-    big = materialize(spark, big.groupBy("sid", "key").agg(F.max("own").alias("own"), F.max("light").alias("light")), "ngram")
-    pairs = materialize(spark, _promising(found, big), "ngram")
+    big = found.where("kind = 1").select(F.col("a").alias("sid"), "key", flag.bitwiseAND(OWN).alias("own"), flag.bitwiseAND(LIGHT).alias("light"), flag.bitwiseAND(FULL).alias("full"))
+    big = big.groupBy("sid", "key").agg(*[F.max(c).alias(c) for c in ("own", "light", "full")])
+    facts = materialize(spark, _facts(found), "ngram")
+    big = materialize(spark, big.join(facts.drop("own", "after", "band"), "sid"), "ngram")
+    pairs = materialize(spark, _promising(found, big, facts), "ngram")
     ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(big.select("sid")).distinct()
     sets = materialize(spark, _sets(docs, classes.join(ends, "sid").select("sid", "rep")), "ngram")
     links = materialize(spark, _verified(pairs, sets), "ngram")
@@ -430,8 +464,10 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         rank = F.pmod(F.xxhash64("sid"), F.lit(1 << 40)) / F.lit(float(1 << 40))
         chance = lambda n: F.least(F.lit(1.0), F.lit(float(n)) / F.col("lights")) if n else F.lit(0.0)
         pivot = placed.where((F.col("light") > 0) & (rank < chance(pivots)) & (rank >= chance(done)))
-        pivot = pivot.select("key", F.col("sid").alias("p_sid"), F.col("part").alias("p_part"), F.col("own").alias("p_own"))
-        more = placed.join(pivot, "key").where("part <> p_part and own + p_own > 0")
+        pivot = pivot.select("key", *[F.col(c).alias(f"p_{c}") for c in pivot.columns if c != "key"])
+        # Sets that share no rare feature differ in all of them; those that do share one meet by it.
+        near = _near("", "p_", "if(full > 0, rare + p_rare, 0)")
+        more = placed.join(pivot, "key").where(f"part <> p_part and own + p_own > 0 and {near}")
         more = more.select(F.least("sid", "p_sid").alias("a"), F.greatest("sid", "p_sid").alias("b")).distinct()
         more = materialize(spark, more.join(pairs, ["a", "b"], "left_anti"), "ngram")
         if more.take(1):
@@ -440,7 +476,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
             pairs = pairs.union(more)
         if pivots >= most:
             break
-        big, done, pivots = placed.select(*big.columns), pivots, pivots * 4
+        big, done, pivots = placed.select(*big.columns), pivots, pivots * 16
 
     parts = classes.join(joined, classes.sid == joined.node, "left").select("sid", "rep", F.coalesce("component", "sid").alias("part"))
     first = parts.groupBy("part").agg(F.min("rep").alias("component_id"))

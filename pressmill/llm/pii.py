@@ -149,6 +149,18 @@ def _spans(no: int, kind: Kind) -> Column:
     return F.filter(F.zip_with(both, F.col(f"_b{no}"), span), keep).cast(_SPANS)
 
 
+def _piece(no: int, kind: Kind):
+    """The gap before a match, and the match or its label."""
+
+    def piece(m: Column, y: Column) -> Column:
+        good = CHECKS[kind.confirm](m)
+        if no >= N_BASE:
+            good &= _score(kind, y["a"], y["b"]) >= LEAST_SCORE
+        return F.concat(y["a"], F.when(good, F.lit(kind.mask)).otherwise(m))
+
+    return piece
+
+
 def mask_pii(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``docs`` with every confirmed match in ``text_col`` replaced by its kind's label; all columns stay.
 
@@ -164,12 +176,6 @@ def mask_pii(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] =
         df = df.withColumn("_g", F.when(F.size("_m") > 0, F.split("_t", kind.pattern, -1)))
         n = F.size("_m")
         around = F.zip_with(F.slice("_g", F.lit(1), n), F.slice("_g", F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        check, label, no_ = CHECKS[kind.confirm], F.lit(kind.mask), no
-
-        def piece(m: Column, y: Column, kind=kind, check=check, label=label, no_=no_) -> Column:
-            good = check(m) if no_ < N_BASE else check(m) & (_score(kind, y["a"], y["b"]) >= LEAST_SCORE)
-            return F.concat(y["a"], F.when(good, label).otherwise(m))
-
-        masked = F.concat(F.array_join(F.zip_with("_m", around, piece), ""), F.element_at("_g", -1))
+        masked = F.concat(F.array_join(F.zip_with("_m", around, _piece(no, kind)), ""), F.element_at("_g", -1))
         df = df.withColumn("_t", F.when(F.size("_m") > 0, masked).otherwise(F.col("_t"))).drop("_m", "_g", "_d")
     return df.select(*[F.col("_t").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names])

@@ -98,7 +98,7 @@ def _parts(features: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int, int, int]]:
-    """Keys and flags of one set's entries, its band, how many entries a partner of its own and of the next band shares at least,
+    """Hashes and flags of one set's entries, its band, how many entries a partner of its own and of the next band shares at least,
     and how many of its features are rare.
 
     That number is negative where the set relies on single features, which only a partner that does so too has signed with.
@@ -136,7 +136,7 @@ def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.nd
         shared[band - own] = need
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint8), (own, 0, 0, len(rare))
-    return packed.key_of(np.concatenate(keys)), np.concatenate(flags), (own, *shared, len(rare))
+    return np.concatenate(keys), np.concatenate(flags), (own, *shared, len(rare))
 
 
 def _star(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,9 +179,9 @@ def _counted(a: np.ndarray, b: np.ndarray, times: np.ndarray) -> tuple[np.ndarra
     return a[start], b[start], np.add.reduceat(times, start)
 
 
-def _bucket_pairs(group: pa.Table) -> pa.Table:
+def _bucket_pairs(group: pa.Table, width: int) -> pa.Table:
     """Candidate pairs of one bucket with the number of entries they share (kind 0), and members of groups that meet pivots only (kind 1)."""
-    keys, owners, flags = packed.unpack(group)
+    keys, owners, flags = packed.unpack(group, width)
     start, size = packed.groups(keys)
     some = np.repeat(size > 1, size) | (flags & BIG > 0)
     keys, owners, flags = keys[some], owners[some], flags[some]
@@ -231,7 +231,7 @@ def _near(a: str, b: str, more: str = "0") -> str:
     return f"{sizes} and {DEN + NUM} * ({more} + {_apart(a, b)}) <= {DEN - NUM} * ({a}n + {b}n)"
 
 
-def _entries(hot: np.ndarray, facts: dict[int, tuple[int, ...]], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+def _entries(hot: np.ndarray, width: int, facts: dict[int, tuple[int, ...]], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     for batch in slices(batches):
         ids = batch.column("doc_id")
         for row, features in shingle_sets(batch):
@@ -241,7 +241,7 @@ def _entries(hot: np.ndarray, facts: dict[int, tuple[int, ...]], batches: Iterat
             if len(keys):
                 sid = set_id(features)
                 facts[sid] = (band << 32 | own + (1 << 31), after, rare, len(features), *_cells(features, hot))
-                yield keys, np.full(len(keys), sid, np.int64), flags
+                yield packed.key_of(keys, width), np.full(len(keys), sid, np.int64), flags
 
 
 def _combine(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[tuple[np.ndarray, ...], ...]:
@@ -310,10 +310,11 @@ def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
     each set its band and the entries a partner of that band shares at least (``b``) or of the next one (``key``) (2),
     its rare features (``b``) and size (``key``) (3), and the cells of its frequent features (4, 5)."""
     shared, buckets = docs.sparkSession.sparkContext.broadcast(hot), packed.bucket_count(entries)
+    width = packed.key_width(entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts: dict[int, tuple[int, ...]] = {}
-        for chunk in packed.chunks(_entries(shared.value, facts, batches)):
+        for chunk in packed.chunks(_entries(shared.value, width, facts, batches)):
             sids, (packed_band, after, rare, size, *cells) = np.array(list(facts), np.int64), np.array(list(facts.values()), np.int64).T
             facts.clear()
             yield _tagged(_blob(2, sids, packed_band, after), 1)
@@ -321,7 +322,7 @@ def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
             yield _tagged(_blob(4, sids, cells[0], cells[1]), 1)
             yield _tagged(_blob(5, sids, cells[2], cells[3]), 1)
             go, (key, owner, flag), (a, b) = _combine(*chunk)
-            yield _tagged(packed.pack(*go, buckets), 0)
+            yield _tagged(packed.pack(*go, buckets, width), 0)
             if len(key):
                 # Members and their pivots travel as entries of their own, to any bucket.
                 yield _tagged(_blob(0, *_counted(a, b, np.full(len(a), ENOUGH))), 1)
@@ -329,7 +330,7 @@ def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
 
     def each(group: pa.Table) -> pa.Table:
         plain = np.asarray(group.column("tag")) == 0
-        out = [_bucket_pairs(group.filter(pa.array(plain)))] if plain.any() else []
+        out = [_bucket_pairs(group.filter(pa.array(plain)), width)] if plain.any() else []
         for tag, kind, blob in zip(*(group.column(c).to_pylist() for c in ("tag", "n", "block"))):
             if tag:
                 out.append(_rows(kind, *np.frombuffer(blob, np.int64).reshape(3, -1)))

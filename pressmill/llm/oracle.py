@@ -1,3 +1,82 @@
 """Results of the queries in SQL, where SQL can express them over whole tables."""
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+#: Escapes: one character more for each of these in a conversation that needs them.
+_EXTRA = "(length({c}) - length(replace(replace(replace({c}, '\\', ''), '#', ''), '<', '')))"
+
+OP9_CHAT_FORMAT = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), one AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+    max(CASE WHEN contains(text, '###') OR contains(text, '</turn>') THEN 1 ELSE 0 END) AS escaped,
+    sum(14 + length(role) + length(text)) AS plain,
+    sum({_EXTRA.format(c="text")} + {_EXTRA.format(c="role")}) AS extra
+  FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(5 + plain + escaped * extra AS BIGINT) AS formatted_chars
+FROM one"""
+
+OP10_NEAR_VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS v, vec_id AS c FROM embeddings
+  UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.v
+)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, min(r.c) AS component_id,
+  e.vec_id = min(r.c) AS kept
+FROM embeddings e JOIN reach r ON r.v = e.vec_id GROUP BY e.vec_id"""
+
+OP5_SUBSTRING_DEDUP = f"""
+WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM words),
+grams AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM starts),
+firsts AS (SELECT g, min(doc_id) AS first FROM grams GROUP BY g),
+hit AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM grams JOIN firsts USING (g) WHERE first < doc_id),
+gone AS (SELECT doc_id, list(i) AS gone FROM hit GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+    [w[k] FOR k IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, k)] AS kept
+  FROM words LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
+FROM kept"""
+
+OP4_NGRAM_JOIN = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN sizes s ON s.doc_id = x.doc_id JOIN sizes t ON t.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, s.n, t.n HAVING 100 * count(*) >= 75 * (s.n + t.n - count(*))
+), reach AS (
+  SELECT doc_id AS v, doc_id AS c FROM documents
+  UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.v
+)
+SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r.c) AS component_id
+FROM documents d JOIN reach r ON r.v = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+ORACLE: dict[str, str] = {
+    "op4_ngram_join": OP4_NGRAM_JOIN,
+    "op5_substring_dedup": OP5_SUBSTRING_DEDUP,
+    "op9_chat_format": OP9_CHAT_FORMAT,
+    "op10_near_vectors": OP10_NEAR_VECTORS,
+}

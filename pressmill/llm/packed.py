@@ -1,6 +1,6 @@
 """Keyed entries in packed blocks: few bytes each through a shuffle, whole buckets in numpy.
 
-An entry is a key of 48 or 64 bits, the 64-bit id of its owner and a byte of flags. A task
+An entry is a key of a few bytes, the 64-bit id of its owner and a byte of flags. A task
 sorts a chunk of entries by key and cuts it into buckets by key range; in a block
 owners are places in a table, and bytes lie in planes, which compress well. The
 number of buckets follows the number of entries, so a bucket stays the same size.
@@ -24,8 +24,13 @@ def bucket_count(entries: int) -> int:
     return max(64, -(-entries // BUCKET))
 
 
-def key_of(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - KEY_BITS)
+def key_width(entries: int) -> int:
+    """Bytes a key needs so that few different ones of so many entries fall together by chance."""
+    return min(8, max(4, -(-(max(1, entries).bit_length() + 12) // 8)))
+
+
+def key_of(hashes: np.ndarray, key_bytes: int = KEY_BITS // 8) -> np.ndarray:
+    return hashes >> np.uint64(64 - 8 * key_bytes)
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:

@@ -20,9 +20,13 @@ EmbedBatch = Callable[[list[str]], np.ndarray]
 _LOADERS: dict[str, Callable[[int], EmbedBatch]] = {"hash": lambda dim: partial(hash_vectors, dim=dim)}
 
 
+_REGISTERED: dict[str, int] = {}
+
+
 def register_embedder(name: str, loader: Callable[[int], EmbedBatch]) -> None:
-    """Add a provider. ``loader(dim)`` runs once per Python worker process."""
+    """Add or replace a provider. ``loader(dim)`` runs once per Python worker process and registration."""
     _LOADERS[name] = loader
+    _REGISTERED[name] = _REGISTERED.get(name, 0) + 1
 
 
 def embedder(provider: str) -> Callable[[int], EmbedBatch]:
@@ -56,27 +60,33 @@ def embed_each(embed: EmbedBatch, texts: list[str], dim: int) -> list[np.ndarray
 
 
 def embedding_of(
-    text: Column, provider: str = "hash", dim: int = DIMENSION, keep_failures: bool = False
+    text: Column, provider: str = "hash", dim: int = DIMENSION, keep_failures: bool = False, batch_size: int | None = None
 ) -> Column:
     """Embedding expression. Only the text crosses to Python, in Arrow batches
     that span items, and the model is loaded once per worker process.
 
     An error of the provider fails the job; with ``keep_failures`` the texts
-    it fails on get a null vector instead.
+    it fails on get a null vector instead. ``batch_size`` bounds the texts a
+    provider gets at once; without it they come by whole Arrow batches.
     """
     loader = embedder(provider)
+    key = (provider, dim, _REGISTERED.get(provider, 0))
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache = process_cache()
-        if (provider, dim) not in cache:
-            cache[provider, dim] = loader(dim)
+        if key not in cache:
+            cache[key] = loader(dim)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.to_pylist()]
+            step = batch_size or max(1, len(texts))
+            parts = [texts[i : i + step] for i in range(0, len(texts), step)]
             if keep_failures:
-                yield pa.array(embed_each(cache[provider, dim], texts, dim), pa.list_(pa.float32()))
+                each = [v for part in parts for v in embed_each(cache[key], part, dim)]
+                yield pa.array(each, pa.list_(pa.float32()))
                 continue
-            vectors = embed_batch(cache[provider, dim], texts, dim)
+            done = [embed_batch(cache[key], part, dim) for part in parts]
+            vectors = np.concatenate(done) if done else np.zeros((0, dim), np.float32)
             offsets = pa.array(np.arange(0, vectors.size + 1, dim, dtype=np.int32))
             yield pa.ListArray.from_arrays(offsets, pa.array(vectors.reshape(-1)))
 
@@ -90,6 +100,7 @@ def embed(
     dim: int = DIMENSION,
     partitions: int | None = None,
     keep_failures: bool = False,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Adds ``embedding``.
 
@@ -97,7 +108,7 @@ def embed(
     ``partitions`` to even them out first. A cheap model is faster without.
     """
     balanced = rows.repartition(partitions) if partitions else rows
-    return balanced.withColumn("embedding", embedding_of(F.col(text), provider, dim, keep_failures))
+    return balanced.withColumn("embedding", embedding_of(F.col(text), provider, dim, keep_failures, batch_size))
 
 
 def require_dimension(rows: DataFrame, dim: int, column: str = "embedding", nullable: bool = False) -> DataFrame:

@@ -43,7 +43,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     Executors must be able to read it, so the cluster's setting wins; a local
     folder is made only where the setting is absent (single-machine tests).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _fallback_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _fallback_root()
     return f"{root.rstrip('/')}/pressmill/{name}-{uuid.uuid4().hex}"
 
 

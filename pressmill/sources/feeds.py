@@ -169,8 +169,13 @@ def parse_feeds(payloads: DataFrame, sources: DataFrame, fetched_at: int) -> Dat
     ).select(*ITEM.fieldNames())
 
 
-def feed_rejects(payloads: DataFrame) -> DataFrame:
-    """Payloads that are no XML document: ``value_sample, reason``."""
+def feed_rejects(payloads: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Payloads that are no XML document, or come from a source that ``sources`` lacks: ``value_sample, reason``."""
+    if sources is not None:
+        known = sources.select(F.col("id").alias("source_id")).distinct()
+        strange = payloads.join(known, "source_id", "left_anti")
+        unknown = strange.select(sample(F.col("payload")).alias("value_sample"), F.lit("unknown_source").alias("reason"))
+        return feed_rejects(payloads.join(known, "source_id", "left_semi")).unionByName(unknown)
     malformed = F.col("payload").isNull() | F.col("_feed")["_malformed"].isNotNull()
     return (
         _parse(payloads)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from pressmill.operators.files import Files
 from pressmill.operators.chunking import chunk_items
 from pressmill.operators.normalize import normalize_items
 from pressmill.operators.records import ingest_summary, summary_json
@@ -54,7 +55,9 @@ def write_chunks(
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        written = store_chunks(batch, table, options, writer=checkpoint, batch_id=batch_id)
+        # The query's own id: a fresh checkpoint at an old path numbers its batches anew.
+        writer = Files(batch.sparkSession, checkpoint).load(f"{checkpoint.rstrip('/')}/metadata")["id"]
+        written = store_chunks(batch, table, options, writer=writer, batch_id=batch_id)
         if summaries and written:
             lines = summary_json(ingest_summary(table.last_batch(), []))
             lines.write.mode("overwrite").text(f"{summaries}/batch={batch_id}")

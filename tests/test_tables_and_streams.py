@@ -360,3 +360,36 @@ def test_many_batches_compact_themselves(spark, table, tmp_path, monkeypatch):
 def test_print_stream(spark, tmp_path):
     drop(str(tmp_path / "in"), "1", ["x"])
     run(print_stream(stream_records(spark, str(tmp_path / "in")), str(tmp_path / "cp"), once=True))
+
+
+def test_a_torn_snapshot_is_not_seen(spark, tmp_path):
+    from pressmill.operators.files import Files
+
+    files = Files(spark, str(tmp_path))
+    files.create(f"{tmp_path}/s/1.json", {"a": 1})
+    (tmp_path / "s" / ".2.json.torn").write_text("")
+    assert files.names(f"{tmp_path}/s") == ["1.json"]
+    with pytest.raises(FileExistsError):
+        files.create(f"{tmp_path}/s/1.json", {"a": 2})
+    assert files.load(f"{tmp_path}/s/1.json") == {"a": 1}
+
+
+def test_a_new_registration_replaces_a_cached_model(spark):
+    import numpy as np
+
+    from pressmill.operators.embedding import embed, register_embedder
+
+    rows = spark.createDataFrame([("x",), ("y",), ("z",)], "chunk_text string").coalesce(1)
+    for value in (1.0, 2.0):
+        register_embedder("constant", lambda dim, value=value: lambda texts: np.full((len(texts), dim), value if len(texts) <= 2 else -1.0))
+        got = embed(rows, provider="constant", dim=3, batch_size=2).collect()
+        assert [list(r.embedding) for r in got] == [[value] * 3] * 3
+
+
+def test_unregistered_sources_are_refused(spark):
+    from pressmill.sources.feeds import feed_rejects
+
+    feed = "<rss><channel><item><link>https://a.test</link></item></channel></rss>"
+    payloads = spark.createDataFrame([("known", feed), ("strange", feed), ("known", "no xml")], "source_id string, payload string")
+    sources = spark.createDataFrame([("known",)], "id string")
+    assert sorted(r.reason for r in feed_rejects(payloads, sources).collect()) == ["invalid_feed", "unknown_source"]

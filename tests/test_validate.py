@@ -26,6 +26,15 @@ CASES = [
     ('{"source_id":"s","url":"u"},null', "invalid_json"),
     ('{"source_id":"s","url":"u"}] [1', "invalid_json"),
     ('{"source_id":"s","url":"u"}],[{}', "invalid_json"),
+    ('{"source_id":"s","url":"u","title":"a","title":"b"}', None),
+    ('{"source_id":"s","url":"u","tags":["a"],"tags":[null]}', "normalize_failed"),
+    ('{"source_id":"s","url":"u","title":"a","title":5}', "bad_type"),
+    ('{"source_id":"s","url":"u","title":5,"title":"a"}', None),
+    ('{"source_id":"s","url":"u","x":1,"x":2}', "unknown_key"),
+    ('{"url":"u","url":"v"}', "missing_key"),
+    ('{"source_id":"s","url":"u","url":"v"} trailing', "invalid_json"),
+    ('{"source_id":"s","url":"u","url":"v"}] [1', "invalid_json"),
+    ('{"source_id":"s","url":"u","url":"v"},{"source_id":"s","url":"u"}', "invalid_json"),
     ([1], "not_object"),
     ('"text"', "not_object"),
     ("5", "not_object"),
@@ -90,6 +99,29 @@ def test_wrapped_values(spark):
         assert [r.url for r in accepted(decode_records(df)).collect()] == ["u"]
 
 
+def test_of_repeated_keys_the_last_counts(spark):
+    row = accepted(decode_records(values(spark, '{"source_id":"s","url":"u","title":"a","title":"b","title":"c"}'))).first()
+    assert (row.title, row.url, row.tags, row.fetched_at) == ("c", "u", [], 0)
+
+
+@pytest.mark.parametrize("mebibytes", [25, 130])
+def test_records_of_any_size(spark, mebibytes):
+    # The id keeps the optimizer from folding the text into the plan.
+    body = F.expr(f"repeat(concat('word', left(cast(id as string), 0)), {mebibytes << 18})")
+    record = F.concat(F.lit('{"source_id":"s","url":"u","fetched_at":7,"content":"é\\n'), body, F.lit('"}'))
+    records = spark.range(1).select(record.alias("value"))
+    row = accepted(decode_records(records)).select("url", "fetched_at", F.length("content").alias("n"), F.left("content", F.lit(3)).alias("c")).first()
+    assert tuple(row) == ("u", 7, 2 + (mebibytes << 20), "é\nw")
+    if mebibytes < 100:
+        refused = rejects(decode_records(records.select(F.concat("value", F.lit("x")).alias("value")))).first()
+        assert refused.reason == "invalid_json"
+
+
+def test_a_map_is_a_record(spark):
+    df = spark.createDataFrame([({"source_id": "s", "url": "u", "title": None},)], "value map<string,string>")
+    assert [(r.url, r.title) for r in accepted(decode_records(df)).collect()] == [("u", None)]
+
+
 def test_roundtrip(spark):
     df = items(
         spark,

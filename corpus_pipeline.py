@@ -18,8 +18,11 @@ from pressmill.session import materialize
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality model, fitted on the labelled ones among them, does not reject."""
     model = quality_model.fit_quality(docs, table(spark, sf_dir, "labels"))
-    more = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return quality_model.score_quality(docs, model, *more).where(F.col("score") >= quality_model.THRESHOLD).select(*docs.columns)
+    # The other columns travel under numbers, so that none clashes with the score.
+    more = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    numbered = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in more.items()])
+    kept = quality_model.score_quality(numbered, model, *more.values()).where(F.col("score") >= quality_model.THRESHOLD)
+    return kept.select(*[F.col(more.get(c, c)).alias(c) for c in docs.columns])
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +38,12 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mixing.mix_sources(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    mixed = materialize(spark, mixed.where(F.col("_copies") > 0), "mixed")
-    copies = F.sequence(F.lit(1), F.col("_copies").cast("int"))
-    return docs.join(mixed, "doc_id").withColumn("_copy", F.explode(copies)).select(*docs.columns)
+    """Each document as often as the mix takes it; rows of one id, or without an id, as often as any of them."""
+    mixed = mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").cast("int").alias("copies"))
+    mixed = materialize(spark, mixed.where(F.col("copies") > 0), "mixed")
+    whole = docs.select(F.struct(*docs.columns).alias("doc"))
+    taken = whole.join(mixed, F.col("doc.doc_id").eqNullSafe(F.col("id")))
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -248,6 +248,8 @@ def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unzipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        if not batch.num_rows:
+            continue
         sizes = np.asarray(batch.column("size"))
         group = (np.cumsum(sizes) - sizes) // (4 << 20)
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]

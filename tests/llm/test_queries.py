@@ -35,3 +35,24 @@ def test_pipeline_stages(spark):
     assert set(rows[2]) == set(rows[1]) and not any(spans_by_rule(t or "") for t in rows[2].values())
     assert set(rows[3]) <= set(rows[2]) and kept[5].count() == kept[4].count()
     assert all(r.ids_sha256 for r in kept[5].collect())
+
+
+def test_pipeline_stages_on_odd_rows(spark, documents):
+    """Clashing names, nulls, repeated rows and rows without an id pass every stage; an empty table gives an empty one."""
+    from pyspark.sql import functions as F
+    from test_operators import ODD, prose
+
+    rows = [(i, prose(80, i) + ".", "ab"[i % 2]) for i in range(100, 140)]
+    docs = documents(*ODD, *rows, rows[0], (None, prose(80, 1), "a"), (None, prose(80, 2), None))
+    docs = docs.withColumns({"lang": F.lit(None).cast("string"), "n_chars": F.length("text").cast("bigint"), "_copies": F.lit(0)})
+    for table in (docs, docs.limit(0)):
+        kept = table
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            after = materialize(spark, stage(spark, kept, FOLDER), "odd")
+            if name == "n-gram Jaccard join":
+                assert after.where("doc_id is null").count() == table.where("doc_id is null").count()
+            if name == "mixing sources" and table is docs:
+                assert after.where("doc_id is null and length(text) > 99").count() > 0
+            kept = after
+        scored = corpus_pipeline.keep_quality(spark, table, FOLDER)
+        assert scored.columns == table.columns and scored.count() <= table.count()

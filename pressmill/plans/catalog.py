@@ -229,12 +229,12 @@ def _atom(docs: DataFrame) -> DataFrame:
 
 def parse_rss(spark: SparkSession, folder: str) -> DataFrame:
     payloads = _rss(_documents(spark, folder))
-    return _flat_tags(parse_feeds(payloads, _registry(spark, folder), fetched_at=9)).drop("language")
+    return _flat_tags(parse_feeds(payloads, _registry(spark, folder), fetched_at=9))
 
 
 def parse_atom(spark: SparkSession, folder: str) -> DataFrame:
     payloads = _atom(_documents(spark, folder))
-    return _flat_tags(parse_feeds(payloads, _registry(spark, folder), fetched_at=9)).drop("language")
+    return _flat_tags(parse_feeds(payloads, _registry(spark, folder), fetched_at=9))
 
 
 def refused_feeds(spark: SparkSession, folder: str) -> DataFrame:
@@ -440,7 +440,7 @@ def topk_threshold(spark: SparkSession, folder: str) -> DataFrame:
 def topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The same answer by the block plan that serves very many questions."""
     asked = _centroids(spark, folder).drop("top_k")
-    return _hits(top_k_ids(asked, _embeddings(spark, folder), max_questions=4, vectors_per_cell=256))
+    return _hits(top_k_ids(asked, _embeddings(spark, folder), max_questions=4))
 
 
 def hit_projection(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,29 +463,11 @@ def hit_projection(spark: SparkSession, folder: str) -> DataFrame:
 # -- answers -----------------------------------------------------------------
 
 
-def _title_hits(spark: SparkSession, folder: str) -> DataFrame:
-    """The three longest documents of each source as its hits, untitled where
-    the language is not English."""
-    from pyspark.sql import Window as W
-
-    docs = table(spark, folder, "documents")
-    order = W.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id")
-    ranked = docs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 3)
-    return ranked.select(
-        F.xxhash64("source").alias("question_id"),
-        "source",
-        "rank",
-        F.concat(F.lit("https://docs.example/"), F.col("doc_id")).alias("url"),
-        F.when(F.col("lang") == "en", F.concat(F.lit("Document "), F.col("doc_id"))).alias("title"),
-        F.col("text").alias("chunk_text"),
-    )
-
-
 def context_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    hits = _title_hits(spark, folder)
-    named = hits.select("question_id", "source").distinct()
-    found = contexts(hits).join(named, "question_id").drop("question_id")
-    return found.withColumn("sources", F.array_join("sources", " "))
+    """Contexts of three hits per question; the second one has no title."""
+    asked = embed(_benchmark_questions(spark, folder), "text", dim=DIM)
+    hits = search(asked, document_vectors(spark, folder), k=3).withColumn("title", F.when(F.col("rank") != 2, F.col("title")))
+    return contexts(hits).withColumn("sources", F.array_join("sources", " "))
 
 
 def prompt_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -555,6 +537,20 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(unique.schema).parquet(out)
 
 
+def stream_dedup_expiry(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document seen again 71, 73 and 140 hours after its first sight, a batch each, with 72 hours to live."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("url"), "doc_id")
+    inbox, out, checkpoint = work_dir(spark, "sightings"), work_dir(spark, "expiry"), work_dir(spark, "checkpoint")
+    for hours in (0, 71, 73, 140):
+        at = (F.lit((1000 + hours) * 3600) + F.pmod("doc_id", F.lit(1800))).cast("bigint")
+        sighted = docs.select("url", F.lit(hours).alias("after"), at.alias("fetched_at"))
+        sighted.write.mode("append").parquet(inbox)
+        unique = dedup_stream(spark.readStream.schema(sighted.schema).parquet(inbox), "72 hours", event_time="fetched_at")
+        query = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(unique.schema).parquet(out)
+
+
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Event properties are JSON but no items; all are refused."""
     records = _stream(spark, folder, "events").select(F.col("props").alias("value"))
@@ -610,6 +606,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         no_hit_answers,
         stream_ingest,
         stream_dedup,
+        stream_dedup_expiry,
         stream_rejects,
     )
 }

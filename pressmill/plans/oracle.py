@@ -259,10 +259,10 @@ FROM judged GROUP BY 1""",
     "parse_rss": f"""WITH {_LINES}
 SELECT source AS source_id, 'https://docs.example/' || doc_id || '#' || i AS url, 'Line ' || i AS title,
   {_TRIMMED.format('line')} AS summary, {_TRIMMED.format('line')} AS content, lang AS author,
-  1704067200 + doc_id AS published_at, source AS tags, 9::BIGINT AS fetched_at FROM lines""",
+  1704067200 + doc_id AS published_at, min(lang) OVER (PARTITION BY source) AS language, source AS tags, 9::BIGINT AS fetched_at FROM lines""",
     "parse_atom": f"""SELECT source AS source_id, 'https://docs.example/' || doc_id AS url, 'Doc ' || doc_id AS title,
   source AS summary, {_TRIMMED.format('text')} AS content, lang AS author, 1704067200::BIGINT AS published_at,
-  source AS tags, 9::BIGINT AS fetched_at FROM documents""",
+  min(lang) OVER (PARTITION BY source) AS language, source AS tags, 9::BIGINT AS fetched_at FROM documents""",
     "refused_feeds": """SELECT CASE WHEN length(text) > 200 THEN text[1:200] || '...' ELSE text END AS value_sample,
   'invalid_feed' AS reason FROM documents""",
     "sentence_split": rf"""WITH {ITEMS}, cut AS (
@@ -302,11 +302,9 @@ SELECT {_HITS} FROM found""",
     "topk_blocks": f"WITH {CENTROIDS}, {ranked('qv', 'cv', '5')} {_IDS}",
     "hit_projection": """SELECT page_id AS question_id, 1 AS rank, md5(url) AS chunk_id, '' AS url, NULL::VARCHAR AS title,
   url AS chunk_text, 0.0::DOUBLE AS score FROM pages""",
-    "context_blocks": f"""WITH found AS (
-  SELECT source, (row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id))::INT AS rank,
-    'https://docs.example/' || doc_id AS url, CASE WHEN lang = 'en' THEN 'Document ' || doc_id END AS title,
-    text AS chunk_text FROM documents QUALIFY rank <= 3)
-SELECT source, {_DOCS} FROM found GROUP BY source""",
+    "context_blocks": f"""WITH RECURSIVE {retrieval(BENCHMARK, 3)},
+named AS (SELECT question_id, rank, url, chunk_text, CASE WHEN rank <> 2 THEN title END AS title FROM found)
+SELECT question_id, {_DOCS} FROM named GROUP BY question_id""",
     "prompt_texts": f"""WITH RECURSIVE {retrieval(BENCHMARK, 2)},
 blocks AS (SELECT question_id, {_DOCS} FROM found GROUP BY question_id)
 SELECT question_id, text, {_text(SYSTEM_PROMPT)} AS system,
@@ -317,5 +315,7 @@ FROM asked LEFT JOIN blocks USING (question_id)""",
     "no_hit_answers": f"SELECT item_id AS question_id, {_text(NO_ANSWER)} AS answer, '' AS sources FROM benchmark",
     "stream_ingest": f"WITH RECURSIVE {SMALL_CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
     "stream_dedup": "SELECT DISTINCT md5(text) AS url, text AS content FROM documents",
+    "stream_dedup_expiry": """SELECT doc_id::VARCHAR AS url, h::INT AS after, ((1000 + h) * 3600 + doc_id % 1800)::BIGINT AS fetched_at
+FROM documents, (VALUES (0), (73)) AS kept(h)""",
     "stream_rejects": "SELECT props AS value_sample, 'unknown_key' AS reason FROM events",
 }

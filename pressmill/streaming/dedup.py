@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 TTL = "72 hours"
 
 
-def first_in_batch(rows: DataFrame, key: str) -> DataFrame:
+def first_in_batch(rows: DataFrame, *key: str) -> DataFrame:
     """Drop repeats of a key inside each Arrow batch, before any shuffle.
 
     A map-side reduction for streams, where a rank is not allowed: a hot key
@@ -22,21 +25,51 @@ def first_in_batch(rows: DataFrame, key: str) -> DataFrame:
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = pa.array(range(batch.num_rows), pa.int64())
-            keys = pa.table({"k": batch.column(batch.schema.get_field_index(key)), "at": at})
-            first = keys.group_by("k").aggregate([("at", "min")]).column("at_min").combine_chunks()
+            keys = pa.table({**{k: batch.column(batch.schema.get_field_index(k)) for k in key}, "_at": at})
+            first = keys.group_by(list(key)).aggregate([("_at", "min")]).column("_at_min").combine_chunks()
             yield batch.take(pc.take(first, pc.array_sort_indices(first)))
 
     return rows.mapInArrow(reduce, rows.schema)
 
 
 def dedup_stream(items: DataFrame, ttl: str = TTL, event_time: str | None = None) -> DataFrame:
-    """Keep one item per url for ``ttl``.
+    """Keep one item per url for ``ttl``: an item passes if none of its url passed in the ``ttl`` before it.
 
     The clock is the batch time, which a replayed batch keeps; no item can be
     late, so none but repeats are dropped. With ``event_time``, a column of
     epoch seconds, the time to live follows that column instead, and rows more
-    than ``ttl`` behind the newest one count as late.
+    than ``ttl`` behind the newest one count as late. State holds one time per
+    url and goes when its time to live is over. A task holds one row for each
+    url and time of a micro-batch, so a hot url costs by its distinct times.
     """
+    life = int(pd.Timedelta(ttl).total_seconds() * 1_000_000)
     seen = F.timestamp_seconds(event_time) if event_time else F.current_timestamp()
-    timed = first_in_batch(items, "url").withColumn("_seen", seen).withWatermark("_seen", ttl)
-    return timed.dropDuplicatesWithinWatermark(["url"]).drop("_seen")
+    timed = items.withColumn("_seen", seen)
+    timed = first_in_batch(timed.withColumn("_micros", F.unix_micros("_seen")), "url", "_micros")
+    # Numbers cross to pandas as text, where a null stays a null and a long stays whole.
+    plain = [F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.NumericType) else F.col(f.name) for f in items.schema]
+    sent = timed.select(*plain, "_micros", "_seen")
+    out = sent.drop("_micros", "_seen").schema
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = None
+        for frame in frames:
+            rows = frame if rows is None else pd.concat([rows, frame])
+            rows = rows.drop_duplicates("_micros")
+        rows = rows.sort_values("_micros", kind="stable")
+        last, kept = state.get[0] if state.exists else None, []
+        for at, t in enumerate(rows["_micros"].tolist()):
+            if last is None or t >= last + life:
+                kept.append(at)
+                last = t
+        state.update((last,))
+        state.setTimeoutTimestamp(max((last + life) // 1000, state.getCurrentWatermarkMs() + 1))
+        yield rows.iloc[kept].drop(columns=["_micros", "_seen"])
+
+    # The watermark trails the clock and only frees state: times alone decide what passes.
+    groups = sent.withWatermark("_seen", ttl).groupBy("url")
+    unique = groups.applyInPandasWithState(run, out, "last bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    return unique.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in items.schema])

@@ -56,7 +56,7 @@ def test_both_plans_match_brute_force(spark, data, k, threshold):
     want = brute(questions, vectors, ids, k, threshold)
     table = stored(spark, vectors).repartition(5)
     assert result(top_k_ids(asked(spark, questions), table, k, threshold)) == want
-    blocks = top_k_ids(asked(spark, questions), table, k, threshold, max_questions=4, vectors_per_cell=50)
+    blocks = top_k_ids(asked(spark, questions), table, k, threshold, max_questions=4)
     assert result(blocks) == want
 
 

@@ -144,8 +144,10 @@ class VectorTable:
             latest, stale = self._replaced(latest, order_by)
             added.append(self._write(self._stored(stale, seq, removed=True)))
         stored = self._write(self._stored(latest, seq, removed=False))
+        refused = None
         if drop_failed:
-            stored, failed = self._without_failed(stored)
+            stored, refused = self._without_failed(stored)
+            failed = refused["rows"] if refused else 0
         added.append(stored)
         writers = {**before["writers"], writer: batch_id} if guarded else before["writers"]
         if not before["base"] and not before["deltas"]:
@@ -154,19 +156,28 @@ class VectorTable:
         else:
             change = {"deltas": before["deltas"] + [{**a, "seq": seq} for a in added if a["rows"]]}
         failed += before["failed_urls"]
+        if guarded:
+            change["failed"] = {**before.get("failed", {}), writer: refused and refused["folder"]}
         self._publish(before, writers=writers, last=stored["folder"], failed_urls=failed, **change)
         return stored["rows"]
 
-    def _without_failed(self, stored: dict) -> tuple[dict, int]:
-        """The folder without the urls that have a row lacking its vector. The
-        usual case, no such row, costs one scan of the vector column."""
+    def _without_failed(self, stored: dict) -> tuple[dict, dict | None]:
+        """The folder without the urls that have a row lacking its vector, and
+        a folder of these urls. The usual case, no such row, costs one scan of
+        the vector column."""
         rows = self._scan([stored["folder"]])
         failed = rows.where(F.col("embedding").isNull()).select("url").distinct()
-        count = failed.count()
-        if not count:
-            return stored, 0
+        if failed.isEmpty():
+            return stored, None
+        refused = self._write(failed)
+        failed = self.spark.read.schema(failed.schema).parquet(refused["folder"])
         marked = lookup_join(rows, failed.withColumn("_failed", F.lit(True)), "url", ["chunk_id"], how="left")
-        return self._write(marked.where(F.col("_failed").isNull()).select(*_STORED.fieldNames())), count
+        return self._write(marked.where(F.col("_failed").isNull()).select(*_STORED.fieldNames())), refused
+
+    def last_failed(self, writer: str) -> DataFrame | None:
+        """The urls that ``writer``'s last batch left out, None where it left out none."""
+        folder = self.snapshot().get("failed", {}).get(writer)
+        return self.spark.read.schema("url string").parquet(folder) if folder else None
 
     def last_batch(self) -> DataFrame:
         """The rows of the last upsert."""

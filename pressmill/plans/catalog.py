@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import clean_text
+from pressmill.functions.vectors import hash_vectors
 from pressmill.operators.answers import answers, contexts, prompts
 from pressmill.operators.chunking import chunk_items, split_items
 from pressmill.operators.dedup import dedup_by_url
-from pressmill.operators.embedding import embed
+from pressmill.operators.embedding import embed, register_embedder
 from pressmill.operators.language import allow_languages, detect_language, language_scores
 from pressmill.operators.normalize import normalize_items
 from pressmill.operators.records import (
@@ -28,6 +30,7 @@ from pressmill.operators.vector_table import VectorTable
 from pressmill.plans.adapters import document_items, spread, table
 from pressmill.plans.ask import ask
 from pressmill.plans.ingest import IngestOptions, embedded_items, ingest_items, ingest_records, stage_counts
+from pressmill.schemas import EMBEDDED_CHUNK
 from pressmill.session import work_dir
 from pressmill.sources.feeds import feed_rejects, parse_feeds
 from pressmill.sources.pages import page_items
@@ -140,7 +143,7 @@ def validate_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def validate_accepted(spark: SparkSession, folder: str) -> DataFrame:
-    return _flat_tags(accepted(decode_records(_raw_records(spark, folder)))).drop("summary", "author")
+    return _flat_tags(accepted(decode_records(_raw_records(spark, folder))))
 
 
 def record_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,18 +283,17 @@ def _vector_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def embedded_output(spark: SparkSession, folder: str) -> DataFrame:
-    """Embedded chunks as written for consumers; the vector as its length."""
+    """Embedded chunks as written for consumers; the vector's elements as whole ten-thousandths."""
     rows = embedded_chunks(_vector_rows(spark, folder))
-    squares = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return _flat_tags(rows).withColumn("embedding", F.round(F.sqrt(squares), 4)).drop("published_at")
+    whole = F.transform("embedding", lambda x: F.round(x.cast("double") * 10_000).cast("bigint").cast("string"))
+    return _flat_tags(rows).withColumn("embedding", F.array_join(whole, " ")).drop("published_at")
 
 
 def embedded_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Embedded chunks as JSON records, read back without the vector."""
+    """Embedded chunks as JSON records, read back; the vector as its number of elements."""
     records = embedded_chunk_records(_vector_rows(spark, folder))
-    return records.select("key", F.from_json("value", "chunk_id string, url string, chunk_index int").alias("r")).select(
-        "key", "r.*"
-    )
+    rows = records.select("key", F.from_json("value", EMBEDDED_CHUNK).alias("r")).select("key", "r.*")
+    return _flat_tags(rows).withColumn("embedding", F.size("embedding"))
 
 
 def chunk_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -521,6 +523,42 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return store.read().select(*CHUNK_COLUMNS)
 
 
+def stream_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """The line of each item of a stream with two versions of each url."""
+    items = document_items(_stream(spark, folder, "documents"))
+    later = items.withColumn("fetched_at", F.lit(1).cast("bigint")).withColumn("content", F.col("title"))
+    records = to_records(items.unionByName(later)).select("value")
+    lines = work_dir(spark, "summaries")
+    query = ingest_stream(
+        records, _new_table(spark, "summed"), work_dir(spark, "checkpoint"), OPTIONS, summaries=lines, once=True
+    )
+    query.awaitTermination()
+    return spark.read.text(lines).select(F.from_json("value", "url string, chunks bigint").alias("s")).select("s.*")
+
+
+def _no_sevens(dim: int) -> Callable:
+    """A provider that fails on texts with a 7."""
+
+    def run(texts: list[str]):
+        if any("7" in t for t in texts):
+            raise ValueError("a text holds a 7")
+        return hash_vectors(texts, dim)
+
+    return run
+
+
+def stream_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream whose embedder fails on some texts: each url with its reason, null where it is stored."""
+    register_embedder("no_sevens", _no_sevens)
+    store, failures = _new_table(spark, "failing"), work_dir(spark, "failures")
+    records = to_records(document_items(_stream(spark, folder, "documents"))).select("value")
+    options = replace(OPTIONS, provider="no_sevens")
+    query = ingest_stream(records, store, work_dir(spark, "checkpoint"), options, failures=failures, once=True)
+    query.awaitTermination()
+    stored = store.read().select("url", F.lit(None).cast("string").alias("reason")).distinct()
+    return stored.unionByName(spark.read.schema("url string, reason string").parquet(failures).select("url", "reason"))
+
+
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Stream dedup of content-addressed documents."""
     items = document_items(_stream(spark, folder, "documents"))
@@ -605,6 +643,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         turn_answers,
         no_hit_answers,
         stream_ingest,
+        stream_summaries,
+        stream_failures,
         stream_dedup,
         stream_dedup_expiry,
         stream_rejects,

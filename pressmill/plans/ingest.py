@@ -25,7 +25,8 @@ class IngestOptions:
 
     The defaults are the plain job: normalize, chunk, embed, upsert. Batch
     dedup and the language step are off unless asked for. ``drop_failed``
-    leaves out items the embedder fails on instead of failing the job.
+    leaves out items the embedder fails on instead of failing the job; where
+    it is not set, streams leave them out and batch jobs fail.
     """
 
     max_tokens: int = MAX_TOKENS
@@ -37,14 +38,18 @@ class IngestOptions:
     languages: tuple[str, ...] | None = None
     replace_url: bool = False
     embed_partitions: int | None = None
-    drop_failed: bool = False
+    drop_failed: bool | None = None
 
 
 def refine_items(items: DataFrame, options: IngestOptions) -> DataFrame:
     """Normalize, then the optional dedup and language steps.
 
-    Dedup runs after the url trim, so it compares the urls that are stored.
+    Dedup runs after the url trim, so it compares the urls that are stored. A
+    stored language is filtered first, where the scan can skip rows, unless
+    dedup has to see the other versions.
     """
+    if options.languages and not options.detect and not options.dedup:
+        return normalize_items(items.where(F.col("language").isin(list(options.languages))))
     out = normalize_items(items)
     if options.dedup:
         out = dedup_by_url(out)
@@ -73,7 +78,7 @@ def embedded_items(items: DataFrame, options: IngestOptions) -> DataFrame:
 
 
 def embed_chunks(chunks: DataFrame, options: IngestOptions) -> DataFrame:
-    return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions, options.drop_failed)
+    return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions, bool(options.drop_failed))
 
 
 def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions, **batch) -> int:
@@ -86,7 +91,7 @@ def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions,
         order_by=VERSION,
         unique=True,
         replace_url=options.replace_url,
-        drop_failed=options.drop_failed,
+        drop_failed=bool(options.drop_failed),
         **batch,
     )
 
@@ -97,13 +102,28 @@ def ingest_items(items: DataFrame, table: VectorTable, options: IngestOptions =
 
 
 def ingest_records(
-    records: DataFrame, table: VectorTable, reject_path: str | None = None, options: IngestOptions = IngestOptions()
+    records: DataFrame,
+    table: VectorTable,
+    reject_path: str | None = None,
+    options: IngestOptions = IngestOptions(),
+    writer: str | None = None,
+    batch_id: int | None = None,
 ) -> int:
-    """As :func:`ingest_items`, from JSON records; refused ones go to a table."""
+    """As :func:`ingest_items`, from JSON records; refused ones go to a table.
+
+    A job that may be retried names its ``writer`` and ``batch_id``: its rejects
+    then have a folder of their own, which a retry writes again, and its rows
+    are upserted once. Without them, rejects are appended.
+    """
     decoded = decode_records(records)
-    if reject_path:
+    named = writer is not None and batch_id is not None
+    if reject_path and named:
+        rejects(decoded).write.mode("overwrite").parquet(f"{reject_path}/writer={writer}/batch={batch_id}")
+    elif reject_path:
         rejects(decoded).write.mode("append").parquet(reject_path)
-    return ingest_items(accepted(decoded), table, options)
+    written = ingest_items(accepted(decoded), table, options, writer=writer, batch_id=batch_id)
+    table.maintain()
+    return written
 
 
 def record_outcomes(records: DataFrame) -> DataFrame:

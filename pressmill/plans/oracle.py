@@ -241,7 +241,7 @@ SELECT CASE WHEN length(value) > 200 THEN value[1:200] || '...' ELSE value END A
 FROM judged WHERE reason IS NOT NULL""",
     "validate_accepted": f"""WITH {RECORDS}
 SELECT j->>'$.source_id' AS source_id, j->>'$.url' AS url, j->>'$.title' AS title, j->>'$.content' AS content,
-  (j->>'$.published_at')::BIGINT AS published_at, j->>'$.language' AS language,
+  j->>'$.summary' AS summary, j->>'$.author' AS author, (j->>'$.published_at')::BIGINT AS published_at, j->>'$.language' AS language,
   coalesce(array_to_string(CAST(j->'$.tags' AS VARCHAR[]), ','), '') AS tags,
   coalesce((j->>'$.fetched_at')::BIGINT, 0) AS fetched_at
 FROM judged WHERE reason IS NULL""",
@@ -276,9 +276,11 @@ SELECT *, len(list_filter(string_split_regex(sentence, '\s+'), lambda w: w <> ''
     "hash_embedding": f"""WITH {vectors('documents', 'doc_id', 'text', 'dv')}
 SELECT k AS doc_id, b::INT AS bucket, round(w, 6) AS weight FROM dv_d WHERE w <> 0""",
     "embedded_output": f"""WITH RECURSIVE {SMALL_CHUNKS}, {vectors('chunks', 'chunk_id', 'chunk_text', 'cv')}
-SELECT {CHUNK_COLUMNS}, tags, round(coalesce(sqrt(list_dot_product(e, e)), 0), 4) AS embedding
+SELECT {CHUNK_COLUMNS}, tags, array_to_string(
+  list_transform(coalesce(e, list_transform(range({DIM}), lambda i: 0.0::DOUBLE)), lambda x: round(x * 10000)::BIGINT), ' ') AS embedding
 FROM chunks LEFT JOIN cv ON k = chunk_id""",
-    "embedded_records": f"WITH RECURSIVE {SMALL_CHUNKS} SELECT url AS key, chunk_id, url, chunk_index FROM chunks",
+    "embedded_records": f"""WITH RECURSIVE {SMALL_CHUNKS}
+SELECT url AS key, {CHUNK_COLUMNS}, tags, NULL::BIGINT AS published_at, {DIM}::INT AS embedding FROM chunks""",
     "chunk_summary": f"""WITH RECURSIVE {SMALL_CHUNKS}
 SELECT url, 0::BIGINT AS fetched_at, count(*) AS chunks FROM chunks GROUP BY url
 UNION ALL SELECT url, 1, 1 FROM items""",
@@ -314,6 +316,10 @@ FROM asked LEFT JOIN blocks USING (question_id)""",
     "turn_answers": answered(TURNS, 3, 0.65, "language = 'en'"),
     "no_hit_answers": f"SELECT item_id AS question_id, {_text(NO_ANSWER)} AS answer, '' AS sources FROM benchmark",
     "stream_ingest": f"WITH RECURSIVE {SMALL_CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
+    "stream_summaries": f"""WITH RECURSIVE {SMALL_CHUNKS}
+SELECT url, count(*) AS chunks FROM chunks GROUP BY url UNION ALL SELECT url, 1 FROM items""",
+    "stream_failures": f"""WITH RECURSIVE {SMALL_CHUNKS}
+SELECT url, CASE WHEN bool_or(contains(chunk_text, '7')) THEN 'embedding_failed' END AS reason FROM chunks GROUP BY url""",
     "stream_dedup": "SELECT DISTINCT md5(text) AS url, text AS content FROM documents",
     "stream_dedup_expiry": """SELECT doc_id::VARCHAR AS url, h::INT AS after, ((1000 + h) * 3600 + doc_id % 1800)::BIGINT AS fetched_at
 FROM documents, (VALUES (0), (73)) AS kept(h)""",

@@ -34,8 +34,6 @@ CHUNK = T.StructType([
     T.StructField("tags", _STRINGS),
 ])
 
-PAYLOAD_COLUMNS = [f.name for f in CHUNK.fields if f.name != "chunk_id"]
-
 EMBEDDED_CHUNK = T.StructType(CHUNK.fields + [T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
 SOURCE = T.StructType([
@@ -52,30 +50,3 @@ FEED_PAYLOAD = T.StructType([
     T.StructField("source_id", T.StringType(), False),
     T.StructField("payload", T.StringType()),
 ])
-
-QUESTION = T.StructType([
-    T.StructField("question_id", T.LongType(), False),
-    T.StructField("text", T.StringType(), False),
-    T.StructField("top_k", T.IntegerType()),
-    T.StructField("provider", T.StringType()),
-])
-
-HIT = T.StructType([
-    T.StructField("question_id", T.LongType(), False),
-    T.StructField("rank", T.IntegerType(), False),
-    T.StructField("url", T.StringType(), False),
-    T.StructField("title", T.StringType()),
-    T.StructField("chunk_text", T.StringType(), False),
-    T.StructField("score", T.DoubleType(), False),
-])
-
-ANSWER = T.StructType([
-    T.StructField("question_id", T.LongType(), False),
-    T.StructField("answer", T.StringType()),
-    T.StructField("sources", _STRINGS),
-])
-
-REJECT = T.StructType([
-    T.StructField("value_sample", T.StringType()),
-    T.StructField("reason", T.StringType(), False),
-])

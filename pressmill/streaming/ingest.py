@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,21 +49,35 @@ def write_chunks(
     summaries: str | None = None,
     name: str | None = None,
     once: bool = False,
+    failures: str | None = None,
 ) -> StreamingQuery:
     """Embed and upsert a stream of chunks. A batch that is replayed after a
-    failure finds its own commit and does nothing.
+    failure finds its own commit and leaves the table alone.
 
     ``summaries`` names a folder for the ``{"url":…,"chunks":…}`` line of each
-    ingested url, one sub-folder per batch.
+    processed item, two versions of a url apart; ``failures`` one for
+    ``url, reason`` of the items the embedder failed on. Both get a sub-folder
+    per query and batch, which a replay writes again.
     """
+    if options.drop_failed is None:
+        options = replace(options, drop_failed=True)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # The query's own id: a fresh checkpoint at an old path numbers its batches anew.
         writer = Files(batch.sparkSession, checkpoint).load(f"{checkpoint.rstrip('/')}/metadata")["id"]
-        written = store_chunks(batch, table, options, writer=writer, batch_id=batch_id)
-        if summaries and written:
-            lines = summary_json(ingest_summary(table.last_batch(), []))
-            lines.write.mode("overwrite").text(f"{summaries}/batch={batch_id}")
+        folder = f"query={writer}/batch={batch_id}"
+        if summaries:
+            batch = batch.persist(StorageLevel.DISK_ONLY)
+        store_chunks(batch, table, options, writer=writer, batch_id=batch_id)
+        failed = table.last_failed(writer)
+        if failures and failed is not None:
+            reasons = failed.withColumn("reason", F.lit("embedding_failed"))
+            reasons.write.mode("overwrite").parquet(f"{failures}/{folder}")
+        if summaries:
+            done = ingest_summary(batch, list(VERSION))
+            done = done if failed is None else done.join(failed, "url", "left_anti")
+            summary_json(done).write.mode("overwrite").text(f"{summaries}/{folder}")
+            batch.unpersist()
         table.maintain()
 
     return _start(chunks.writeStream.foreachBatch(upsert), checkpoint, name, once)
@@ -75,6 +92,7 @@ def ingest_stream(
     summaries: str | None = None,
     name: str | None = None,
     once: bool = False,
+    failures: str | None = None,
 ) -> StreamingQuery:
     """Decode, normalize, chunk, embed and upsert a stream of records.
 
@@ -93,7 +111,7 @@ def ingest_stream(
     refined = language_step(items, options).observe("refine", F.count("*").alias("kept"))
     chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
     chunks = chunks.observe("chunk", F.count("*").alias("chunks"))
-    return write_chunks(chunks, table, checkpoint, options, summaries, name, once)
+    return write_chunks(chunks, table, checkpoint, options, summaries, name, once, failures)
 
 
 def reject_stream(

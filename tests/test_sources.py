@@ -45,7 +45,7 @@ def test_empty_channel_gives_nothing(spark, registry):
 
 
 CONTENT = [
-    ("<description>HTML <b>bold</b> text</description>", "HTML bold text"),
+    ("<description>Wheat <em>rose</em> again</description>", "Wheat rose again"),
     ("<description>Short</description><content:encoded><![CDATA[All <p>of</p> it]]></content:encoded>", "All of it"),
     ("<description>A &amp; B &lt;tags C&nbsp;D E&F</description>", "A & B <tags C\u00a0D E&F"),
     ("<content:encoded><![CDATA[text with stray <mark>]]></content:encoded>", "text with stray"),
@@ -146,13 +146,13 @@ def test_registry(spark, tmp_path):
 
 
 PAGES = [
-    ("<html><head><title>Top</title></head>\n<body><article>\n<p>First one.</p>\n<p>Second one.</p>\n</article><p>out</p></body></html>",
-     "Top", "First one. Second one."),
-    ("<html><head><title>T</title></head><body><p>Body only</p></body></html>", "T", "Body only"),
-    ("<html><body><p>No title</p></body></html>", None, "No title"),
+    ("<title>Harbour log</title><p>skip me</p><article><h2>no</h2><p>Two ships left.</p> <p>One came.</p></article>",
+     "Harbour log", "Two ships left. One came."),
+    ("<head><title>Tides</title></head><p>High at noon</p>", "Tides", "High at noon"),
+    ("<body><section><p>Calm sea</p></section></body>", None, "Calm sea"),
     ("<html></html>", None, None),
     ("", None, None),
-    ("<p>one <b>bold</b> and <a href='u'>link</a></p>", None, "one bold and link"),
+    ("<p>a <i>slow</i> boat <a href='u'>home</a></p>", None, "a slow boat home"),
     ("<p>open<p>next</p>", None, "open next"),
     ("<p>open<div>block</div><p>next", None, "open next"),
     ('<article><p>a<script>"</p>x"</script>b</p></article>', None, "a b"),

@@ -12,7 +12,7 @@ from pressmill.operators.records import embedded_chunks, ingest_summary, items_p
 from pressmill.operators.chunking import chunk_items
 from pressmill.operators.vector_table import VectorTable
 from pressmill.plans.ask import ask
-from pressmill.plans.ingest import IngestOptions, ingest_items, ingest_records
+from pressmill.plans.ingest import IngestOptions, ingest_items, ingest_records, refine_items
 from pressmill.schemas import EMBEDDED_CHUNK
 from pressmill.session import materialize, work_dir
 from pressmill.sources.records import stream_records
@@ -201,6 +201,28 @@ def test_batch_ingest_counts(spark, table, tmp_path):
     assert ingest_records(values(spark, "bad"), table, None, SMALL) == 0
 
 
+def test_rejects_of_a_retried_batch_are_written_once(spark, table, tmp_path):
+    refused = str(tmp_path / "refused")
+    records = to_records(items(spark, doc("a", "One."))).select("value").union(values(spark, "bad"))
+    assert ingest_records(records, table, refused, SMALL, writer="w", batch_id=0) == 1
+    assert ingest_records(records, table, refused, SMALL, writer="w", batch_id=0) == 0
+    assert ingest_records(values(spark, "[1]"), table, refused, SMALL, writer="w", batch_id=1) == 0
+    got = sorted((r.reason, r.writer, r.batch) for r in spark.read.parquet(refused).collect())
+    assert got == [("invalid_json", "w", 0), ("not_object", "w", 1)] and texts(table) == [("a", 0, "One.")]
+
+
+def test_stored_language_is_filtered_in_the_scan(spark, tmp_path):
+    path = str(tmp_path / "items")
+    rows = [doc(" a ", "x.", language="en"), doc("a", "y.", 2, language="fr"), doc("b", "z.", language="fr"), doc("c", "z.")]
+    items(spark, *rows).write.parquet(path)
+    stored = spark.read.parquet(path)
+    found = refine_items(stored, IngestOptions(languages=("en", "es")))
+    assert [(r.url, r.content) for r in found.collect()] == [("a", "x.")]
+    assert "In(language, [en,es])" in found._jdf.queryExecution().executedPlan().toString()
+    first = refine_items(stored, IngestOptions(languages=("fr",), dedup=True))
+    assert [r.url for r in first.collect()] == ["b"]
+
+
 def test_ingest_options(spark, table):
     full = IngestOptions(max_tokens=50, overlap_tokens=0, dim=8, dedup=True, detect=True)
     df = items(
@@ -285,6 +307,37 @@ def test_stream_equals_batch_across_restarts(spark, table, tmp_path):
     assert texts(batch) == want
 
 
+def test_summaries_and_failures_survive_a_replay(spark, table, tmp_path):
+    def load(dim):
+        def run(texts):
+            if any("poison" in t for t in texts):
+                raise RuntimeError("model failed")
+            return [[1.0] * dim for _ in texts]
+
+        return run
+
+    register_embedder("brittle", load)
+    options = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, provider="brittle")
+    inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    long = "One two three four. Five six seven eight. Nine."
+    drop(inbox, "1", [record("a", long), record("a", "New.", 2), record("b", "All fine."), record("c", "Some poison here.")])
+
+    def once(n):
+        sums, failures = str(tmp_path / f"sums{n}"), str(tmp_path / f"failures{n}")
+        run(ingest_stream(stream_records(spark, inbox), table, checkpoint, options, summaries=sums, failures=failures, once=True))
+        lines = [json.loads(r.value) for r in spark.read.text(sums).collect()]
+        failed = spark.read.parquet(failures).collect()
+        return sorted((s["url"], s["chunks"]) for s in lines), [(r.url, r.reason) for r in failed]
+
+    want = [("a", 1), ("a", 3), ("b", 1)], [("c", "embedding_failed")]
+    assert once(1) == want
+    stored = texts(table)
+    assert {t[0] for t in stored} == {"a", "b"}
+    for name in ("0", ".0.crc"):  # as if the query had stopped before its commit
+        os.remove(f"{checkpoint}/commits/{name}")
+    assert once(2) == want and texts(table) == stored
+
+
 def test_rejects_do_not_stop_the_stream(spark, tmp_path):
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
     drop(inbox, "1", ["bad", record("a", "ok"), '{"url":"x"}'])

@@ -170,7 +170,7 @@ def test_page_items_flow_into_normalize(spark):
     df = spark.createDataFrame([("s", " u ", PAGES[0][0], "en", ["B", "a"])],
                                "source_id string, url string, html string, language string, tags array<string>")
     (got,) = normalize_items(page_items(df, fetched_at=3)).collect()
-    assert (got.url, got.title, got.tags, got.fetched_at) == ("u", "Top", ["a", "b"], 3)
+    assert (got.url, got.title, got.tags, got.fetched_at) == ("u", "Harbour log", ["a", "b"], 3)
 
 
 def test_read_records(spark, tmp_path):

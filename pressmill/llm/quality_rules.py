@@ -35,6 +35,7 @@ class LineRules:
 
 
 SEPARATORS = frozenset(("|", "»", "•", "·", ">", "::", "/"))
+_APART, _SYMBOLS = ({x.encode() for x in some} for some in (SEPARATORS, SYMBOLS))
 _LOWER, _UPPER = re.compile("[a-z]"), re.compile("[A-Z]")
 _MARKED = re.compile(r"[!?](?=[ \t-\r]|$)")
 
@@ -48,12 +49,12 @@ def line_fault(line: str, seen: set[str], rules: LineRules) -> str:
     low = line.lower()
     if any(x in low for x in BOILERPLATE):
         return "boilerplate"
-    if sum(map(line.count, SYMBOLS)) >= rules.symbol_share * n:
-        apart = sum(w.decode("utf-8", "surrogatepass") in SEPARATORS for w in words)
-        if apart >= rules.separators and apart >= rules.separator_share * n:
-            return "navigation"
-        if sum(map(line.count, SYMBOLS)) - apart >= rules.symbol_share * n:
-            return "symbols"
+    apart = [w for w in words if w in _APART] if any(x in line for x in SEPARATORS) else []
+    if len(apart) >= rules.separators and len(apart) >= rules.separator_share * n:
+        return "navigation"
+    # Stand-alone separators are judged above, so those that are symbols too don't count twice.
+    if sum(map(line.count, SYMBOLS)) - sum(w in _SYMBOLS for w in apart) >= rules.symbol_share * n:
+        return "symbols"
     if n >= rules.shout_words and _UPPER.search(line) and not _LOWER.search(line):
         return "shouting"
     if n >= rules.shout_words and len(_MARKED.findall(line)) >= rules.mark_share * n:

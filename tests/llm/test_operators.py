@@ -43,6 +43,23 @@ def test_rules_measure_and_judge(documents):
     assert quality_rules.repeated_words(words) == 6 and quality_rules.repeated_words(words[:4]) == 0
 
 
+@pytest.mark.parametrize("mark", sorted(quality_rules.SEPARATORS))
+def test_every_separator_makes_navigation(documents, mark):
+    menus = "\n".join(f" {mark} ".join(prose(6, k).split()) for k in range(12))
+    assert quality_rules.line_fault(menus.split("\n")[0], set(), quality_rules.LineRules()) == "navigation"
+    got = by_id(quality_rules.apply_rules(documents((1, menus), (2, prose(80, 1) + f" a{mark}b {mark} c"))))
+    assert got[1].kept_words == 0 and not got[1].kept and not got[1].base_failed and got[2].kept
+
+
+def test_separator_share_counts_by_itself():
+    fault = lambda line: quality_rules.line_fault(line, set(), quality_rules.LineRules())
+    for mark in sorted(quality_rules.SEPARATORS):
+        assert fault(f" {mark} ".join(["About us", "Contact", "Read the latest news", "Jobs here now"])) == "navigation"  # 3 of 13
+        assert fault(f" {mark} ".join([prose(5, k) for k in range(4)])) == ""  # 3 of 23
+        assert fault(f"a {mark} b {mark} c") == ""
+    assert fault("a #b $c d e $%") == "symbols" and fault("« » # $ one two three four") == ""
+
+
 def test_rules_on_an_empty_table(documents):
     assert quality_rules.apply_rules(documents(*ODD).limit(0)).count() == 0
 

@@ -32,10 +32,12 @@ class LineRules:
     repeat_words: int = 10  # words from which repetition counts
     distinct_share: float = 0.2  # fewer distinct words than this share fail
     kept_share: float = 0.5  # a document that keeps fewer of its words goes
+    boilerplate_share: float = 0.25  # words inside phrases of BOILERPLATE
 
 
 SEPARATORS = frozenset(("|", "»", "•", "·", ">", "::", "/"))
 _APART, _SYMBOLS = ({x.encode() for x in some} for some in (SEPARATORS, SYMBOLS))
+_PHRASES = re.compile(rf"\b(?:{'|'.join(BOILERPLATE)})\b")
 _LOWER, _UPPER = re.compile("[a-z]"), re.compile("[A-Z]")
 _MARKED = re.compile(r"[!?](?=[ \t-\r]|$)")
 
@@ -48,7 +50,8 @@ def line_fault(line: str, seen: set[str], rules: LineRules) -> str:
         return "duplicate"
     low = line.lower()
     if any(x in low for x in BOILERPLATE):
-        return "boilerplate"
+        if sum(len(x.split()) for x in _PHRASES.findall(low)) >= rules.boilerplate_share * n:
+            return "boilerplate"
     apart = [w for w in words if w in _APART] if any(x in line for x in SEPARATORS) else []
     if len(apart) >= rules.separators and len(apart) >= rules.separator_share * n:
         return "navigation"

@@ -60,6 +60,17 @@ def test_separator_share_counts_by_itself():
     assert fault("a #b $c d e $%") == "symbols" and fault("« » # $ one two three four") == ""
 
 
+def test_boilerplate_must_be_a_share_of_the_line(documents):
+    fault = lambda line: quality_rules.line_fault(line, set(), quality_rules.LineRules())
+    rows = [(k, f"{prose(250, k)} {phrase} {prose(250, 90 + k)}") for k, phrase in enumerate(quality_rules.BOILERPLATE)]
+    got = by_id(quality_rules.apply_rules(documents(*rows)))
+    assert all(got[k].kept and got[k].clean_text == text and got[k].kept_words == got[k].n_words for k, text in rows)
+    for phrase in quality_rules.BOILERPLATE:
+        assert fault(f"({phrase.title()}.)") == fault(f"Here: {phrase} & {phrase}!") == "boilerplate"
+    assert fault("Copyright 2020 Example Inc. All rights reserved.") == fault("Please click here to read more") == "boilerplate"
+    assert fault("They spread more butter") == fault("A thread more") == fault("Design upwards") == ""
+
+
 def test_rules_on_an_empty_table(documents):
     assert quality_rules.apply_rules(documents(*ODD).limit(0)).count() == 0
 

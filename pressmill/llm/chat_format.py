@@ -15,6 +15,8 @@ that second trip always succeeds; a difference would still stop the job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +107,11 @@ def format_chats(
     return chats.select("conv_id", "formatted", "escaped", "turns", _loss(F.col("formatted"), F.col("escaped")).alias("loss"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, where the value is computed once, also if lambdas inside use it often."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _loss(formatted: Column, escaped: Column) -> Column:
     """Where the assistant's texts lie in ``formatted``; a running sum over the turns' lengths."""
     body = F.substring(formatted, MODE_CHARS + 1, 2147483647)
@@ -117,18 +124,32 @@ def _loss(formatted: Column, escaped: Column) -> Column:
             F.startswith(p, F.lit(f"{HEAD}assistant{AFTER_ROLE}")).alias("own"),
         ),
     )
-    begin = running_sums(F.transform(turn, lambda t: t["n"] + len(END)))
-    spans = F.zip_with(
-        turn,
-        begin,
-        lambda t, b: F.when(
-            t["own"],
-            F.struct((b + MODE_CHARS + t["at"]).alias("start"), (b + MODE_CHARS + t["n"]).alias("end")),
-        ),
-    )
-    return F.filter(spans, lambda s: s.isNotNull())
 
+    def spans(turn: Column) -> Column:
+        begin = _bound(F.transform(turn, lambda t: t["n"] + len(END)), lambda n: running_sums(n))
+        return F.zip_with(
+            turn,
+            begin,
+            lambda t, b: F.when(
+                t["own"],
+                F.struct((b + MODE_CHARS + t["at"]).alias("start"), (b + MODE_CHARS + t["n"]).alias("end")),
+            ),
+        )
+
+    return F.filter(_bound(turn, spans), lambda s: s.isNotNull())
+
+
+def loss_text(formatted: Column, escaped: Column, loss: Column) -> Column:
+    """All text under the loss mask: ``formatted`` cut at each span of ``loss``, without escapes.
+
+    Cuts are made in four bytes a character, where a place is found without counting from the start.
+    """
+
+    def cut(chat: Column) -> Column:
+        def one(span: Column) -> Column:
+            at, n = 4 * span["start"] + 1, 4 * (span["end"] - span["start"])
+            return unescape_text(F.decode(F.substring(chat["wide"], at.cast("int"), n.cast("int")), "UTF-32"), chat["escaped"])
+
+        return F.array_join(F.transform(loss, one), "")
 
-def loss_text(turns: Column) -> Column:
-    """All text under the loss mask, as read back: the assistant's texts in order."""
-    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    return _bound(F.struct(F.encode(formatted, "UTF-32").alias("wide"), escaped.alias("escaped")), cut)

@@ -87,7 +87,7 @@ def chat_query(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     chats = chat_format.format_chats(rows.union(spark.createDataFrame(EXTRA_CHAT, rows.schema)))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = chat_format.loss_text(F.col("turns"))
+    loss = chat_format.loss_text(F.col("formatted"), F.col("escaped"), F.col("loss"))
     return chats.select(
         "conv_id",
         F.size("turns").cast("bigint").alias("n_turns"),

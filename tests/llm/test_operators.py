@@ -317,3 +317,28 @@ def test_isotonic_rises():
     z, y = RANDOM.standard_normal(500), RANDOM.randint(0, 2, 500)
     out = boosting.fit_isotonic(z, y)(np.sort(z))
     assert (np.diff(out) >= 0).all() and 0 <= out.min() and out.max() <= 1
+
+
+def test_loss_text_is_cut_at_the_spans(spark, monkeypatch, tmp_path):
+    texts = ["plain", "", "\\### Assistant: </turn> ok", "a\\h#<\\", "🙂é ### 日本", "\\\\l\\</turn>\\c:"]
+    rows = [(c, t, r, texts[(c + t) % len(texts)]) for c in range(6) for t, r in enumerate(["user", "assistant", "assistant", "a: b"])]
+    rows += [(90, t, "user" if t % 3 else "assistant", f"x{t} é" * 9) for t in range(700)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat_format.format_chats(df)
+    got = by_id(chats.withColumn("own", chat_format.loss_text(chats.formatted, chats.escaped, chats.loss)), "conv_id")
+    assert {r.escaped for r in got.values()} == {True, False}
+    for c, row in got.items():
+        own = [x for k, _, r, x in rows if k == c and r == "assistant"]
+        cut = [row.formatted[s.start : s.end] for s in row.loss]
+        plain = [re.sub(r"\\(.)", lambda m: {"h": "#", "l": "<", "c": ":"}.get(m[1], m[1]), x) if row.escaped else x for x in cut]
+        assert plain == own and row.own == "".join(own)
+
+    from pyspark.sql import functions as F
+    from pressmill.llm.queries import chat_query
+
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    right, loss = by_id(chat_query(spark, str(tmp_path)), "conv_id"), chat_format._loss
+    shifted = lambda *a: F.transform(loss(*a), lambda s: F.struct((s["start"] + 1).alias("start"), s["end"].alias("end")))
+    monkeypatch.setattr(chat_format, "_loss", shifted)
+    wrong = by_id(chat_query(spark, str(tmp_path)), "conv_id")
+    assert right[90].loss_sha256 == sha(got[90].own) and wrong[90].loss_sha256 != right[90].loss_sha256

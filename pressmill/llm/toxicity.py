@@ -35,6 +35,9 @@ NEAR = 6  # words
 _LEET = str.maketrans("013457@$!|", "oieastasil")
 _WORD = re.compile(r"[^\s.,;:!?\"()\[\]]+")
 _MIXED = re.compile(r"[^\W\d_](?:[\d@$*!|]+[^\W\d_]|(?:[-._*][^\W\d_]){2,})")
+#: A substitute at the start or end of a word of three letters or more; "!" at the end is a mark.
+_EDGE = r"(?<![\w@$|!])(?:[013457]|[@$|!]+)[^\W\d_]{3,}|(?<=[^\W\d_]{3})(?:[013457]|[@$|]+)(?!\w)"
+_ODD = re.compile(f"{_MIXED.pattern}|{_EDGE}")
 _LONG = re.compile(r"([^\W\d_])\1\1")
 FEATURES = (
     "log_words", "insult_rate", "insults", "learned_rate", "learned_most", "learned_words", "near_second", "second_rate", "capital_rate",
@@ -83,12 +86,10 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
             insult_at.append(k)
         elif w in SECOND_PERSON:
             second_at.append(k)
-    odd = _MIXED.findall(text)
-    if odd:
-        for w in words:
-            if not w.isalpha():
-                plain = w.translate(_LEET)
-                hidden += plain != w and (plain in INSULTS or re.sub(r"[^\w]|_", "", plain) in INSULTS)
+        elif not w.isalpha():
+            plain = w.translate(_LEET)
+            hidden += plain != w and (plain in INSULTS or re.sub(r"[^\w]|_", "", plain) in INSULTS)
+    odd = _ODD.findall(text)
     near = 0
     if second_at and insult_at:
         a, b = np.array(insult_at), np.array(second_at)

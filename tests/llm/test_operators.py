@@ -342,3 +342,13 @@ def test_loss_text_is_cut_at_the_spans(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(chat_format, "_loss", shifted)
     wrong = by_id(chat_query(spark, str(tmp_path)), "conv_id")
     assert right[90].loss_sha256 == sha(got[90].own) and wrong[90].loss_sha256 != right[90].loss_sha256
+
+
+def test_substitutes_at_the_edge_of_a_word_count():
+    at = {name: k for k, name in enumerate(toxicity.FEATURES)}
+    for text in ("you are $tupid", "ein 7rottel", "tu eres 1diota hoy", "i hat3 it", "so st*pid of an 1d1ota"):
+        x = toxicity.features(text, {})
+        assert x[at["obfuscated_rate"]] > 0 and (x[at["hidden_insults"]] > 0 or "*" in text)
+    for text in ("on the 20th of 100 at 5pm, 1st!", "fine words!! $5 10km (good)", "idiot!", "mp3 in 1984"):
+        x = toxicity.features(text, {})
+        assert x[at["obfuscated_rate"]] == x[at["hidden_insults"]] == 0

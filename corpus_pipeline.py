@@ -26,10 +26,22 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by n-gram similarity, the one with the smallest id."""
+    """Of each group of documents linked by n-gram similarity, the one with the smallest id.
+
+    An id names one document: of several rows with it the one with the smallest text stays. Rows without an
+    id can't be named, so they are never grouped and all stay.
+    """
     grouped = ngram_join.ngram_join(docs)
     gone = materialize(spark, grouped.where("component_id <> doc_id").select("doc_id"), "near_copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = grouped.where("doc_id is not null and component_id = doc_id").groupBy("doc_id").count().where("count > 1")
+    repeated = materialize(spark, repeated.select("doc_id"), "repeated_ids")
+    if not repeated.take(1):
+        return kept
+    # Rows of repeated ids alone move, one for each id and task.
+    first = F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("doc")
+    several = kept.join(repeated, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(first).select("doc.*")
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(several.select(*docs.columns))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

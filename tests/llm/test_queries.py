@@ -56,3 +56,16 @@ def test_pipeline_stages_on_odd_rows(spark, documents):
             kept = after
         scored = corpus_pipeline.keep_quality(spark, table, FOLDER)
         assert scored.columns == table.columns and scored.count() <= table.count()
+
+
+def test_one_row_of_each_near_copy_stays(spark, documents):
+    """Repeated rows are one document, also where their id is the smallest of a group; rows without an id stay."""
+    from test_operators import prose
+
+    rows = [(i, prose(80, i), "a") for i in range(100, 110)]
+    copies = [(200, rows[0][1], "a"), (None, rows[0][1], "a"), (None, rows[0][1], "a")]
+    docs = documents(*rows, rows[0], rows[0], rows[3], *copies, (300, None, None), (300, None, None))
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text, r.source) for r in kept.collect()), key=repr)
+    assert got == sorted([*rows, (None, rows[0][1], "a"), (None, rows[0][1], "a"), (300, None, None)], key=repr)

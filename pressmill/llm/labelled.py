@@ -24,13 +24,16 @@ def held_out(doc_id: Column) -> Column:
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, y, text`` of at most ``rows`` labelled documents outside the held-out fold.
 
-    The sample is the first rows by a hash of the id. It is broadcast to the
-    documents (its size is bounded by ``rows``), so texts do not move.
+    The sample is the first ids by a hash of the id, each with one label (that of
+    most of its label rows, 0 in a tie) and one text (the smallest of its document
+    rows). It is broadcast to the documents, so texts outside it do not move, and
+    of a repeated id one text for each task does.
     """
     some = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y"))
     some = some.where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    some = some.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
-    return texts(docs).join(F.broadcast(some), "doc_id").select("doc_id", "y", "text")
+    some = some.groupBy("doc_id").agg((F.avg("y") > 0.5).cast("int").alias("y"))
+    some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return texts(docs).join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def sample_features(sample: DataFrame, features: Callable[[str | None], list[float]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

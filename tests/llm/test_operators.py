@@ -352,3 +352,16 @@ def test_substitutes_at_the_edge_of_a_word_count():
     for text in ("on the 20th of 100 at 5pm, 1st!", "fine words!! $5 10km (good)", "idiot!", "mp3 in 1984"):
         x = toxicity.features(text, {})
         assert x[at["obfuscated_rate"]] == x[at["hidden_insults"]] == 0
+
+
+def test_sample_has_one_row_for_each_id(spark, documents):
+    from pressmill.llm import labelled
+
+    docs = documents(*[(1, prose(9, 1))] * 500, *[(i, prose(9, i)) for i in range(2, 40)], (5, prose(9, 5)), (6, None), (40, None))
+    labels = [(1, 1)] * 300 + [(i, i % 2) for i in range(2, 41)] + [(7, 0), (7, 0), (8, 1)]
+    got = labelled.training_texts(docs, labels_of(spark, labels, "quality"), "quality").collect()
+    held = {r.doc_id for r in docs.where(labelled.held_out(docs.doc_id)).collect()}
+    assert sorted(r.doc_id for r in got) == sorted(set(range(1, 41)) - held)
+    assert all(r.y == (0 if r.doc_id == 7 else r.doc_id % 2) and r.text == (None if r.doc_id == 40 else prose(9, r.doc_id)) for r in got)
+    few = labelled.training_texts(docs, labels_of(spark, labels, "quality"), "quality", rows=5)
+    assert few.count() == 5

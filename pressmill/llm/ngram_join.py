@@ -317,16 +317,16 @@ def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
         for chunk in packed.chunks(_entries(shared.value, width, facts, batches)):
             sids, (packed_band, after, rare, size, *cells) = np.array(list(facts), np.int64), np.array(list(facts.values()), np.int64).T
             facts.clear()
-            yield _tagged(_blob(2, sids, packed_band, after), 1)
-            yield _tagged(_blob(3, sids, rare, size), 1)
-            yield _tagged(_blob(4, sids, cells[0], cells[1]), 1)
-            yield _tagged(_blob(5, sids, cells[2], cells[3]), 1)
+            yield _tagged(_blob(buckets, 2, sids, packed_band, after), 1)
+            yield _tagged(_blob(buckets, 3, sids, rare, size), 1)
+            yield _tagged(_blob(buckets, 4, sids, cells[0], cells[1]), 1)
+            yield _tagged(_blob(buckets, 5, sids, cells[2], cells[3]), 1)
             go, (key, owner, flag), (a, b) = _combine(*chunk)
             yield _tagged(packed.pack(*go, buckets, width), 0)
             if len(key):
                 # Members and their pivots travel as entries of their own, to any bucket.
-                yield _tagged(_blob(0, *_counted(a, b, np.full(len(a), ENOUGH))), 1)
-                yield _tagged(_blob(1, owner, flag, key), 1)
+                yield _tagged(_blob(buckets, 0, *_counted(a, b, np.full(len(a), ENOUGH))), 1)
+                yield _tagged(_blob(buckets, 1, owner, flag, key), 1)
 
     def each(group: pa.Table) -> pa.Table:
         plain = np.asarray(group.column("tag")) == 0
@@ -344,9 +344,9 @@ def _tagged(batch: pa.RecordBatch, tag: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, tag, np.int32)), *batch.columns], names=["tag", *batch.schema.names])
 
 
-def _blob(kind: int, a: np.ndarray, b: np.ndarray, key: np.ndarray, size: int = 50_000) -> pa.RecordBatch:
+def _blob(buckets: int, kind: int, a: np.ndarray, b: np.ndarray, key: np.ndarray, size: int = 50_000) -> pa.RecordBatch:
     blocks = [np.stack([x[i : i + size].astype(np.int64) for x in (a, b, key)]).tobytes() for i in range(0, len(a), size)]
-    to = [int(x) for x in mix(np.arange(len(blocks), dtype=np.uint64) + key[:1].sum().astype(np.uint64)) % np.uint64(64)]
+    to = [int(x) for x in mix(np.arange(len(blocks), dtype=np.uint64) + key[:1].sum().astype(np.uint64)) % np.uint64(buckets)]
     columns = [pa.array(to, pa.int32()), pa.array([kind] * len(to), pa.int32()), pa.array([0] * len(to), pa.int32()), pa.array(blocks, pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=["bucket", "n", "owners", "block"])
 

@@ -365,3 +365,9 @@ def test_sample_has_one_row_for_each_id(spark, documents):
     assert all(r.y == (0 if r.doc_id == 7 else r.doc_id % 2) and r.text == (None if r.doc_id == 40 else prose(9, r.doc_id)) for r in got)
     few = labelled.training_texts(docs, labels_of(spark, labels, "quality"), "quality", rows=5)
     assert few.count() == 5
+
+
+def test_blobs_go_to_as_many_buckets_as_entries():
+    x = np.arange(4000)
+    to = ngram_join._blob(1000, 1, x, x, x, size=1).column("bucket").to_pylist()
+    assert min(to) >= 0 and max(to) < 1000 and len(set(to)) > 900 and max(Counter(to).values()) < 25

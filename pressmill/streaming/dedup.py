@@ -37,19 +37,22 @@ def dedup_stream(items: DataFrame, ttl: str = TTL, event_time: str | None = None
 
     The clock is the batch time, which a replayed batch keeps; no item can be
     late, so none but repeats are dropped. With ``event_time``, a column of
-    epoch seconds, the time to live follows that column instead, and rows more
-    than ``ttl`` behind the newest one count as late. State holds one time per
-    url and goes when its time to live is over. A task holds one row for each
+    epoch seconds, the time to live follows that column instead; rows may come
+    in any order and none is late, but a row older than the last of its url
+    that passed is a repeat, and one without a time has its batch's. State holds one time per url and goes when its
+    time to live is over, by ``event_time`` when no row of the url came for
+    ``ttl`` of the batch clock. A task holds one row for each
     url and time of a micro-batch, so a hot url costs by its distinct times.
     """
     life = int(pd.Timedelta(ttl).total_seconds() * 1_000_000)
-    seen = F.timestamp_seconds(event_time) if event_time else F.current_timestamp()
-    timed = items.withColumn("_seen", seen)
-    timed = first_in_batch(timed.withColumn("_micros", F.unix_micros("_seen")), "url", "_micros")
+    timed = items.withColumn("_seen", F.current_timestamp())
+    time = F.coalesce(F.timestamp_seconds(event_time), F.col("_seen")) if event_time else F.col("_seen")
+    timed = timed.withColumns({"_micros": F.unix_micros(time), "_clock": F.unix_micros("_seen")})
+    timed = first_in_batch(timed, "url", "_micros")
     # Numbers cross to pandas as text, where a null stays a null and a long stays whole.
     plain = [F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.NumericType) else F.col(f.name) for f in items.schema]
-    sent = timed.select(*plain, "_micros", "_seen")
-    out = sent.drop("_micros", "_seen").schema
+    sent = timed.select(*plain, "_micros", "_clock", "_seen")
+    out = sent.drop("_micros", "_clock", "_seen").schema
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -66,10 +69,12 @@ def dedup_stream(items: DataFrame, ttl: str = TTL, event_time: str | None = None
                 kept.append(at)
                 last = t
         state.update((last,))
-        state.setTimeoutTimestamp(max((last + life) // 1000, state.getCurrentWatermarkMs() + 1))
-        yield rows.iloc[kept].drop(columns=["_micros", "_seen"])
+        free = int(rows["_clock"].max()) if event_time else last + life
+        state.setTimeoutTimestamp(max(free // 1000, state.getCurrentWatermarkMs() + 1))
+        yield rows.iloc[kept].drop(columns=["_micros", "_clock", "_seen"])
 
-    # The watermark trails the clock and only frees state: times alone decide what passes.
+    # The watermark trails the batch clock, so no row is behind it, and only frees state: times alone decide
+    # what passes. (A processing-time timeout would keep a run over all available rows from ending.)
     groups = sent.withWatermark("_seen", ttl).groupBy("url")
     unique = groups.applyInPandasWithState(run, out, "last bigint", "append", GroupStateTimeout.EventTimeTimeout)
     return unique.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in items.schema])

@@ -446,3 +446,20 @@ def test_unregistered_sources_are_refused(spark):
     payloads = spark.createDataFrame([("known", feed), ("strange", feed), ("known", "no xml")], "source_id string, payload string")
     sources = spark.createDataFrame([("known",)], "id string")
     assert sorted(r.reason for r in feed_rejects(payloads, sources).collect()) == ["invalid_feed", "unknown_source"]
+
+
+def test_stream_dedup_passes_old_times_of_new_urls(spark, tmp_path):
+    inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    hour, schema = 3600, "url string, content string, fetched_at long"
+
+    def once(*rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(inbox)
+        kept = dedup_stream(spark.readStream.schema(schema).parquet(inbox), "72 hours", event_time="fetched_at")
+        query = kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        run(query.trigger(availableNow=True).start())
+        return sorted(r.content for r in spark.read.parquet(out).collect())
+
+    assert once(("a", "a1", 1000 * hour)) == ["a1"]
+    assert once(("b", "b1", 1001 * hour)) == ["a1", "b1"]
+    assert once(("c", "c1", 10 * hour), ("c", "c2", 20 * hour), ("c", "c3", 90 * hour), ("d", "d1", None)) == ["a1", "b1", "c1", "c3", "d1"]
+    assert once(("a", "a2", 1071 * hour), ("b", "b2", 1073 * hour), ("c", "c4", 100 * hour)) == ["a1", "b1", "b2", "c1", "c3", "d1"]

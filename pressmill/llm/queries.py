@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, chat_format, mixing, near_vectors, ngram_join, pii, quality_model, quality_rules, substring_dedup, toxicity
+from pressmill.llm import bpe, chat_format, mixing, near_vectors, ngram_join, pii, quality_model, quality_rules, resampling, substring_dedup, toxicity
 from pressmill.llm.common import table
 from pressmill.llm.labelled import held_out
 
@@ -102,6 +102,11 @@ def near_vectors_query(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, folder, "embeddings"))
 
 
+def resampling_query(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules_query,
     "op2_byte_bpe": bpe_query,
@@ -113,4 +118,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity_query,
     "op9_chat_format": chat_query,
     "op10_near_vectors": near_vectors_query,
+    "op11_resampling": resampling_query,
 }

@@ -74,9 +74,49 @@ links AS (
 SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r.c) AS component_id
 FROM documents d JOIN reach r ON r.v = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
 
+def _op13_clustering(k: int = 40, rounds: int = 5) -> str:
+    """Lloyd rounds unrolled: one assignment and one update per round, then a last assignment."""
+
+    def assign(c: str) -> str:
+        return f"""SELECT v.rid, v.vec_id, min(list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - {c}.c[i]) * (v.x[i] - {c}.c[i]))) * 64 + {c}.cid) AS m
+      FROM v, {c} GROUP BY v.rid, v.vec_id"""
+
+    steps = [
+        """v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS cid, x AS c
+  FROM (SELECT sha256('2:' || vec_id) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT {k})
+)""",
+    ]
+    for r in range(rounds):
+        steps.append(f"""a{r} AS ({assign(f"c{r}")})""")
+        steps.append(f"""c{r + 1} AS (
+  SELECT c.cid, coalesce(u.c, c.c) AS c FROM c{r} c LEFT JOIN (
+    SELECT cid, list(y ORDER BY i) AS c FROM (
+      SELECT a.m % 64 AS cid, i, CAST(floor(sum(v.x[i]) / count(*)) AS BIGINT) AS y
+      FROM a{r} a JOIN v USING (rid), range(1, 65) t(i) GROUP BY a.m % 64, i
+    ) GROUP BY cid
+  ) u USING (cid)
+)""")
+    steps.append(f"""fin AS ({assign(f"c{rounds}")})""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT f.vec_id, CAST(f.m % 64 AS INTEGER) AS cluster, CAST(f.m // 64 AS BIGINT) AS distance,
+  CAST(sum(f.m // 64) OVER (PARTITION BY f.m % 64) AS BIGINT) AS cluster_inertia,
+  CAST(sum(f.m // 64) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM fin f JOIN c{rounds} c ON c.cid = f.m % 64"""
+
+
+OP13_CLUSTERING = _op13_clustering()
+
 ORACLE: dict[str, str] = {
     "op4_ngram_join": OP4_NGRAM_JOIN,
     "op5_substring_dedup": OP5_SUBSTRING_DEDUP,
     "op9_chat_format": OP9_CHAT_FORMAT,
     "op10_near_vectors": OP10_NEAR_VECTORS,
+    "op13_clustering": OP13_CLUSTERING,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, chat_format, clustering, mixing, near_vectors, ngram_join, pii, quality_model, quality_rules, resampling, substring_dedup, toxicity
+from pressmill.llm import bpe, chat_format, clustering, html_extract, mixing, near_vectors, ngram_join, pii, quality_model, quality_rules, resampling, substring_dedup, toxicity
 from pressmill.llm.common import table
 from pressmill.llm.labelled import held_out
 
@@ -107,6 +107,10 @@ def resampling_query(spark: SparkSession, folder: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
 
 
+def html_extract_query(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, folder, "pages"))
+
+
 def clustering_query(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.cluster_vectors(table(spark, folder, "embeddings"))
 
@@ -123,5 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": chat_query,
     "op10_near_vectors": near_vectors_query,
     "op11_resampling": resampling_query,
+    "op12_html_extract": html_extract_query,
     "op13_clustering": clustering_query,
 }

@@ -4,6 +4,18 @@ An upsert appends one folder and never rewrites the table, so its cost follows
 the batch. A snapshot file names the folders of the base and of the batches
 since (the deltas); writing the next snapshot publishes a batch as a whole.
 Reads take the newest row per id out of the deltas and the rest from the base.
+
+Every folder is laid out by a bucket of the chunk id (``partitionBy``), and
+the snapshot knows the rows of each delta per bucket. A read pairs base and
+deltas bucket group by bucket group, each group holding at most
+``BROADCAST_DELTA_ROWS`` delta rows, so the ids of a group are broadcast and
+base rows, vectors and all, are filtered where they lie: no shuffle of the base
+at any delta size, as long as one bucket's deltas fit the bound.
+
+A narrow url index (url, extent: one past the highest chunk index stored),
+laid out by a bucket of the url, lets ``replace_url`` find the ids past a new
+total from the batch's urls alone: it opens the index buckets of those urls
+and never scans the vector table.
 """
 
 from __future__ import annotations
@@ -15,6 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
+from functools import reduce
+
+from pressmill.functions.ids import chunk_id
 from pressmill.operators.embedding import DIMENSION, require_dimension
 from pressmill.operators.files import Files
 from pressmill.operators.joins import fits_broadcast, lookup_join
@@ -23,10 +38,15 @@ from pressmill.schemas import EMBEDDED_CHUNK
 MAX_DELTAS = 32
 COMPACT_SHARE = 10  # compact once the deltas hold a tenth of the base
 BROADCAST_DELTA_ROWS = 500_000
+#: Buckets of chunk ids and of urls in a new collection.
+BUCKETS = 64
+URL_BUCKETS = 64
 
 _ROW = T.StructType([T.StructField(f.name, f.dataType) for f in EMBEDDED_CHUNK.fields])
 _STORED = T.StructType(_ROW.fields + [T.StructField("_seq", T.LongType()), T.StructField("_removed", T.BooleanType())])
-_EMPTY = {"seq": 0, "base": [], "base_rows": 0, "clustered": False, "deltas": [], "writers": {}, "last": None, "failed_urls": 0}
+_URLS = T.StructType([T.StructField("url", T.StringType()), T.StructField("extent", T.IntegerType()),
+                      T.StructField("_seq", T.LongType()), T.StructField("_replace", T.BooleanType()), T.StructField("_ubucket", T.IntegerType())])
+_EMPTY = {"seq": 0, "base": [], "base_rows": 0, "clustered": False, "deltas": [], "writers": {}, "last": None, "failed_urls": 0, "urls": []}
 
 
 def latest_per_chunk(rows: DataFrame, order: list[Column]) -> DataFrame:
@@ -36,6 +56,20 @@ def latest_per_chunk(rows: DataFrame, order: list[Column]) -> DataFrame:
     return rows.withColumn("_nth", F.row_number().over(window)).where(F.col("_nth") == 1).drop("_nth")
 
 
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _extents(records: DataFrame) -> DataFrame:
+    """``url, extent`` from index records: the last replacing record, raised by later ones.
+
+    A url has one record per batch since the last fold, so its list stays short.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("_seq", "_replace", "extent")))
+    step = lambda acc, r: F.when(r["_replace"], r["extent"]).otherwise(F.greatest(acc, r["extent"]))
+    return records.groupBy("url").agg(F.aggregate(ordered, F.lit(0), step).cast("int").alias("extent"))
+
+
 class VectorTable:
     """Collection of embedded chunks, keyed by ``chunk_id``, cosine distance.
 
@@ -50,7 +84,8 @@ class VectorTable:
     def ensure(self, dim: int = DIMENSION) -> VectorTable:
         """Create the collection if missing; a different size is an error."""
         if "collection.json" not in self._files.names(self.path):
-            self._files.create(f"{self.path}/collection.json", {"size": dim, "distance": "cosine"})
+            layout = {"buckets": BUCKETS, "url_buckets": URL_BUCKETS}
+            self._files.create(f"{self.path}/collection.json", {"size": dim, "distance": "cosine", **layout})
         if self.dimension() != dim:
             raise ValueError(f"the collection holds vectors of {self.dimension()} elements, not {dim}")
         return self
@@ -58,6 +93,11 @@ class VectorTable:
     def dimension(self) -> int:
         return self._files.load(f"{self.path}/collection.json")["size"]
 
+    def buckets(self) -> tuple[int, int]:
+        """Buckets of chunk ids and of urls; a collection from before the layout has one of each."""
+        meta = self._files.load(f"{self.path}/collection.json")
+        return meta.get("buckets", 1), meta.get("url_buckets", 1)
+
     # -- snapshots ----------------------------------------------------------
 
     def snapshot(self) -> dict:
@@ -68,15 +108,27 @@ class VectorTable:
         after = {**before, **changes, "seq": before["seq"] + 1}
         self._files.create(f"{self.path}/snapshots/{after['seq']:012d}.json", after)
 
-    def _write(self, rows: DataFrame) -> dict:
+    def _write_plain(self, rows: DataFrame) -> dict:
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         rows.write.parquet(folder)
         return {"folder": folder, "rows": self.spark.read.schema(rows.schema).parquet(folder).count()}
 
+    def _write(self, rows: DataFrame, clustered: bool = False) -> dict:
+        """Stored rows in folders by bucket of the chunk id; the count of each bucket comes back (one row a bucket)."""
+        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        bucketed = rows.select(*_STORED.fieldNames()).withColumn("_bucket", _bucket(F.col("chunk_id"), self.buckets()[0]))
+        if clustered:
+            bucketed = bucketed.repartitionByRange("_bucket", "chunk_id").sortWithinPartitions("chunk_id")
+        bucketed.write.partitionBy("_bucket").parquet(folder)
+        counts = {str(r["_bucket"]): r["n"] for r in self._scan([folder]).groupBy("_bucket").agg(F.count("*").alias("n")).collect()}
+        return {"folder": folder, "rows": sum(counts.values()), "buckets": counts}
+
     def _scan(self, folders: list[str]) -> DataFrame:
+        schema = T.StructType(_STORED.fields + [T.StructField("_bucket", T.IntegerType())])
         if not folders:
-            return self.spark.createDataFrame([], _STORED)
-        return self.spark.read.schema(_STORED).parquet(*folders)
+            return self.spark.createDataFrame([], schema)
+        # Each folder is a table of its own partitions, so each is read by itself.
+        return reduce(lambda a, b: a.unionByName(b), [self.spark.read.schema(schema).parquet(f) for f in folders])
 
     # -- reads --------------------------------------------------------------
 
@@ -94,16 +146,46 @@ class VectorTable:
         base = self._scan(snapshot["base"])
         if not snapshot["deltas"]:
             return base
-        newest = self._newest(snapshot)
-        kept = newest.where(~F.col("_removed"))
-        if not snapshot["base"]:
-            return kept
-        # The snapshot knows the row count, so a broadcast needs no guess; the
-        # base, vectors and all, is then filtered where it lies.
-        touched = newest.select("chunk_id")
-        if self._delta_rows(snapshot) <= BROADCAST_DELTA_ROWS:
-            touched = F.broadcast(touched)
-        return base.join(touched, "chunk_id", "left_anti").unionByName(kept)
+        deltas = self._scan([d["folder"] for d in snapshot["deltas"]])
+        versions = len({d["seq"] for d in snapshot["deltas"]}) > 1
+        parts = []
+        for group, fits in self._groups(snapshot, self.buckets()[0]):
+            # The snapshot knows the rows of every bucket, so a broadcast needs
+            # no guess; base and delta rows, vectors and all, stay where they lie.
+            mine = (lambda df: df) if group is None else (lambda df, g=group: df.where(F.col("_bucket").isin(g)))
+            delta = mine(deltas)
+            ids = delta.groupBy("chunk_id").agg(F.max("_seq").alias("_seq")) if versions else delta.select("chunk_id", "_seq")
+            ids = F.broadcast(ids) if fits else ids
+            newest = delta.join(ids, ["chunk_id", "_seq"], "left_semi") if versions else delta
+            kept = newest.where(~F.col("_removed"))
+            if snapshot["base"]:
+                kept = mine(base).join(ids.select("chunk_id"), "chunk_id", "left_anti").unionByName(kept)
+            parts.append(kept)
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    @staticmethod
+    def _groups(snapshot: dict, buckets: int) -> list[tuple[list[int] | None, bool]]:
+        """All buckets dealt in order into groups of at most ``BROADCAST_DELTA_ROWS`` delta rows.
+
+        One group (``None``: all buckets) while all deltas fit. A bucket above
+        the bound stands alone and is joined by a shuffle: more buckets at
+        creation keep that away.
+        """
+        total = sum(d["rows"] for d in snapshot["deltas"])
+        if total <= BROADCAST_DELTA_ROWS or any("buckets" not in d for d in snapshot["deltas"]):
+            return [(None, total <= BROADCAST_DELTA_ROWS)]
+        counts = dict.fromkeys(range(buckets), 0)
+        for d in snapshot["deltas"]:
+            for b, n in d["buckets"].items():
+                counts[int(b)] = counts.get(int(b), 0) + n
+        groups, now, rows = [], [], 0
+        for b in sorted(counts):
+            if now and rows + counts[b] > BROADCAST_DELTA_ROWS:
+                groups.append((now, rows <= BROADCAST_DELTA_ROWS))
+                now, rows = [], 0
+            now.append(b)
+            rows += counts[b]
+        return groups + [(now, rows <= BROADCAST_DELTA_ROWS)]
 
     @staticmethod
     def _delta_rows(snapshot: dict) -> int:
@@ -139,9 +221,10 @@ class VectorTable:
         newest_first = [F.col(c).desc_nulls_last() for c in order_by] or [F.col("total_chunks").desc(), F.col("chunk_text")]
         latest = rows if unique else latest_per_chunk(rows, newest_first)
         latest = require_dimension(latest, self.dimension(), nullable=drop_failed)
-        added, failed = [], 0
+        added, failed, totals = [], 0, None
+        urls = self._url_folders(before)
         if replace_url:
-            latest, stale = self._replaced(latest, order_by)
+            latest, stale, totals = self._replaced(latest, order_by, urls)
             added.append(self._write(self._stored(stale, seq, removed=True)))
         stored = self._write(self._stored(latest, seq, removed=False))
         refused = None
@@ -156,6 +239,7 @@ class VectorTable:
         else:
             change = {"deltas": before["deltas"] + [{**a, "seq": seq} for a in added if a["rows"]]}
         failed += before["failed_urls"]
+        change["urls"] = urls + [self._index_batch(stored["folder"], totals, seq)]
         if guarded:
             change["failed"] = {**before.get("failed", {}), writer: refused and refused["folder"]}
         self._publish(before, writers=writers, last=stored["folder"], failed_urls=failed, **change)
@@ -169,7 +253,7 @@ class VectorTable:
         failed = rows.where(F.col("embedding").isNull()).select("url").distinct()
         if failed.isEmpty():
             return stored, None
-        refused = self._write(failed)
+        refused = self._write_plain(failed)
         failed = self.spark.read.schema(failed.schema).parquet(refused["folder"])
         marked = lookup_join(rows, failed.withColumn("_failed", F.lit(True)), "url", ["chunk_id"], how="left")
         return self._write(marked.where(F.col("_failed").isNull()).select(*_STORED.fieldNames())), refused
@@ -184,19 +268,69 @@ class VectorTable:
         last = self.snapshot()["last"]
         return self._scan([last] if last else []).select(*_ROW.fieldNames())
 
-    def _replaced(self, latest: DataFrame, order_by: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-        """The batch without rows past each url's last total, and the stored
-        ids past it. The batch is written out once, as it is used three times."""
+    def _replaced(self, latest: DataFrame, order_by: tuple[str, ...], urls: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The batch without rows past each url's last total, the stored ids
+        past it, and the totals. The batch is written out once, as it is used
+        three times.
+
+        Stored ids past a total come from the url index: chunk ids are made
+        from url and index (``chunk_id``), so ``[total, extent)`` names them.
+        Only the index buckets of the batch's urls are opened.
+        """
         staged = latest.select(*dict.fromkeys([*_ROW.fieldNames(), *order_by]))
-        batch = self.spark.read.schema(staged.schema).parquet(self._write(staged)["folder"])
+        batch = self.spark.read.schema(staged.schema).parquet(self._write_plain(staged)["folder"])
         version = F.struct(*[F.col(c) for c in (*order_by, "total_chunks")])
-        totals = batch.groupBy("url").agg(F.max_by("total_chunks", version).alias("_total"))
+        totals = self.spark.read.schema("url string, _total int").parquet(
+            self._write_plain(batch.groupBy("url").agg(F.max_by("total_chunks", version).cast("int").alias("_total")))["folder"]
+        )
         small = fits_broadcast(totals)
         past = F.col("chunk_index") >= F.col("_total")
-        stored = self.read().select("chunk_id", "url", "chunk_index")
-        stale = lookup_join(stored, totals, "url", ["chunk_id"], broadcast=small).where(past)
         kept = lookup_join(batch, totals, "url", ["chunk_id"], broadcast=small).where(~past)
-        return kept, stale.select("chunk_id")
+        mine = [r[0] for r in totals.select(_bucket(F.col("url"), self.buckets()[1])).distinct().collect()]  # at most url_buckets rows
+        index = self._scan_urls(urls).where(F.col("_ubucket").isin(mine))
+        index = index.join(F.broadcast(totals.select("url")) if small else totals.select("url"), "url", "left_semi")
+        extents = lookup_join(_extents(index), totals, "url", ["url"], broadcast=small).where(F.col("extent") > F.col("_total"))
+        place = F.explode(F.sequence(F.col("_total"), F.col("extent") - 1))
+        stale = extents.select("url", place.alias("chunk_index")).select(chunk_id(F.col("url"), F.col("chunk_index")).alias("chunk_id"))
+        return kept, stale, totals
+
+    # -- url index ------------------------------------------------------------
+
+    def _scan_urls(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], _URLS)
+        return reduce(lambda a, b: a.unionByName(b), [self.spark.read.schema(_URLS).parquet(f) for f in folders])
+
+    def _write_urls(self, records: DataFrame) -> str:
+        folder = f"{self.path}/urls/{uuid.uuid4().hex}"
+        cols = [c for c in _URLS.fieldNames() if c != "_ubucket"]
+        records.select(*cols).withColumn("_ubucket", _bucket(F.col("url"), self.buckets()[1])).write.partitionBy("_ubucket").parquet(folder)
+        return folder
+
+    def _url_folders(self, snapshot: dict) -> list[str]:
+        """The snapshot's index folders; a table from before the index gets one, from one scan, once."""
+        if "urls" in snapshot:
+            return list(snapshot["urls"])
+        rows = self._current(snapshot).where(F.col("url").isNotNull())
+        first = rows.groupBy("url").agg((F.max("chunk_index") + 1).cast("int").alias("extent"))
+        return [self._write_urls(first.withColumns({"_seq": F.lit(snapshot["seq"]).cast("bigint"), "_replace": F.lit(True)}))]
+
+    def _index_batch(self, folder: str, totals: DataFrame | None, seq: int) -> str:
+        """One index record per url of a batch: its new extent, or, replacing, its total."""
+        if totals is not None:
+            records = totals.select("url", F.col("_total").alias("extent"), F.lit(True).alias("_replace"))
+        else:
+            rows = self._scan([folder]).where(F.col("url").isNotNull())
+            records = rows.groupBy("url").agg((F.max("chunk_index") + 1).cast("int").alias("extent")).withColumn("_replace", F.lit(False))
+        return self._write_urls(records.where(F.col("url").isNotNull()).withColumn("_seq", F.lit(seq).cast("bigint")))
+
+    def fold_urls(self) -> None:
+        """Fold the index records into one per url."""
+        before = self.snapshot()
+        urls = self._url_folders(before)
+        if len(urls) > 1:
+            now = _extents(self._scan_urls(urls)).withColumns({"_seq": F.lit(before["seq"]).cast("bigint"), "_replace": F.lit(True)})
+            self._publish(before, urls=[self._write_urls(now)])
 
     @staticmethod
     def _stored(rows: DataFrame, seq: int, removed: bool) -> DataFrame:
@@ -216,7 +350,7 @@ class VectorTable:
         """Fold the deltas into one, leaving the base alone."""
         before = self.snapshot()
         if len(before["deltas"]) > 1:
-            merged = self._write(self._newest(before).select(*_STORED.fieldNames()))
+            merged = self._write(self._newest(before))
             self._publish(before, deltas=[{**merged, "seq": before["seq"]}])
 
     def compact(self) -> None:
@@ -224,14 +358,16 @@ class VectorTable:
         lookup of few ids opens few files. Old folders stay for open readers."""
         before = self.snapshot()
         if before["deltas"] or not before["clustered"]:
-            rows = self._current(before).select(*_STORED.fieldNames())
-            base = self._write(rows.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id"))
+            base = self._write(self._current(before), clustered=True)
             self._publish(before, base=[base["folder"]], base_rows=base["rows"], clustered=True, deltas=[])
 
     def maintain(self) -> None:
         """Keep the number of deltas low. The base is rewritten only when the
         deltas have grown to a fair share of it."""
         now = self.snapshot()
+        if len(now.get("urls", [])) >= MAX_DELTAS:
+            self.fold_urls()
+            now = self.snapshot()
         if len(now["deltas"]) >= MAX_DELTAS:
             if self._delta_rows(now) * COMPACT_SHARE >= now["base_rows"]:
                 self.compact()

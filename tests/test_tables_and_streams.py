@@ -463,3 +463,59 @@ def test_stream_dedup_passes_old_times_of_new_urls(spark, tmp_path):
     assert once(("b", "b1", 1001 * hour)) == ["a1", "b1"]
     assert once(("c", "c1", 10 * hour), ("c", "c2", 20 * hour), ("c", "c3", 90 * hour), ("d", "d1", None)) == ["a1", "b1", "c1", "c3", "d1"]
     assert once(("a", "a2", 1071 * hour), ("b", "b2", 1073 * hour), ("c", "c4", 100 * hour)) == ["a1", "b1", "b2", "c1", "c3", "d1"]
+
+
+# -- bucketed layout and url index ------------------------------------------------
+
+
+def test_reads_above_the_broadcast_bound_pair_buckets_without_moving_the_base(spark, table, monkeypatch):
+    monkeypatch.setattr("pressmill.operators.vector_table.BROADCAST_DELTA_ROWS", 40)
+    ingest_items(items(spark, *[doc(f"u{i}", f"first {i}.") for i in range(300)]), table, SMALL)
+    ingest_items(items(spark, *[doc(f"u{i}", f"second {i}.", 2) for i in range(0, 300, 2)]), table, SMALL)
+    ingest_items(items(spark, *[doc(f"u{i}", f"third {i}.", 3) for i in range(0, 300, 3)]), table, SMALL)
+    now = table.snapshot()
+    groups = table._groups(now, table.buckets()[0])
+    assert len(groups) > 1 and all(fits for _, fits in groups)
+    assert sorted(b for g, _ in groups for b in g) == list(range(table.buckets()[0]))
+    got = {r.url: r.chunk_text for r in table.read().collect()}
+    want = {f"u{i}": f"{'third' if i % 3 == 0 else 'second' if i % 2 == 0 else 'first'} {i}." for i in range(300)}
+    assert got == want
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastExchange" in plan
+    assert "PartitionFilters: [isnotnull(_bucket" in plan or "PartitionFilters: [_bucket" in plan
+
+
+def test_replace_url_follows_extents_through_every_kind_of_upsert(spark, table):
+    replace = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, replace_url=True)
+
+    def version(tag, n):
+        return " ".join(f"{tag}{k} x y z." for k in range(n))
+
+    def chunks(url):
+        return [t for t in texts(table) if t[0] == url]
+
+    ingest_items(items(spark, doc("a", version("c", 5)), doc("b", version("c", 5))), table, SMALL)
+    ingest_items(items(spark, doc("a", version("d", 3), 2)), table, replace)
+    assert [t[1] for t in chunks("a")] == [0, 1, 2]
+    ingest_items(items(spark, doc("a", version("e", 4), 3)), table, SMALL)
+    assert [t[1] for t in chunks("a")] == [0, 1, 2, 3]
+    table.compact()
+    ingest_items(items(spark, doc("a", version("f", 2), 4), doc("c", version("g", 1), 4)), table, replace)
+    assert chunks("a") == [("a", 0, "f0 x y z."), ("a", 1, "f1 x y z.")]
+    assert [t[1] for t in chunks("b")] == [0, 1, 2, 3, 4] and chunks("c") == [("c", 0, "g0 x y z.")]
+    table.fold_urls()
+    assert len(table.snapshot()["urls"]) == 1
+    ingest_items(items(spark, doc("b", version("h", 1), 5)), table, replace)
+    assert chunks("b") == [("b", 0, "h0 x y z.")]
+
+
+def test_replace_url_opens_only_the_index_buckets_of_its_urls(spark, table):
+    replace = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, replace_url=True)
+    ingest_items(items(spark, *[doc(f"u{i}", "a0 x y z. a1 x y z.") for i in range(200)]), table, SMALL)
+    batch = table.spark.createDataFrame([("u7", 1)], "url string, _total int")
+    mine = [r[0] for r in batch.select(F.pmod(F.xxhash64("url"), F.lit(table.buckets()[1]))).collect()]
+    scan = table._scan_urls(table.snapshot()["urls"]).where(F.col("_ubucket").isin(mine))
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_ubucket" in plan and 0 < scan.count() < 200 and scan.where("url = 'u7'").count() == 1
+    ingest_items(items(spark, doc("u7", "b0 x y z.", 2)), table, replace)
+    assert [t for t in texts(table) if t[0] == "u7"] == [("u7", 0, "b0 x y z.")] and len(texts(table)) == 399

@@ -38,9 +38,12 @@ from pressmill.schemas import EMBEDDED_CHUNK
 MAX_DELTAS = 32
 COMPACT_SHARE = 10  # compact once the deltas hold a tenth of the base
 BROADCAST_DELTA_ROWS = 500_000
-#: Buckets of chunk ids and of urls in a new collection.
-BUCKETS = 64
-URL_BUCKETS = 64
+#: Buckets of chunk ids and of urls in a new collection (``ensure`` takes others). Each
+#: writing task makes one file per bucket, and one bucket's deltas must fit the
+#: broadcast bound, so a collection expecting D delta rows at most wants
+#: D / BROADCAST_DELTA_ROWS buckets or more.
+BUCKETS = 8
+URL_BUCKETS = 8
 
 _ROW = T.StructType([T.StructField(f.name, f.dataType) for f in EMBEDDED_CHUNK.fields])
 _STORED = T.StructType(_ROW.fields + [T.StructField("_seq", T.LongType()), T.StructField("_removed", T.BooleanType())])
@@ -81,10 +84,10 @@ class VectorTable:
         self.path = path.rstrip("/")
         self._files = Files(spark, self.path)
 
-    def ensure(self, dim: int = DIMENSION) -> VectorTable:
-        """Create the collection if missing; a different size is an error."""
+    def ensure(self, dim: int = DIMENSION, buckets: int = BUCKETS, url_buckets: int = URL_BUCKETS) -> VectorTable:
+        """Create the collection if missing; a different size is an error. Buckets are fixed at creation."""
         if "collection.json" not in self._files.names(self.path):
-            layout = {"buckets": BUCKETS, "url_buckets": URL_BUCKETS}
+            layout = {"buckets": buckets, "url_buckets": url_buckets}
             self._files.create(f"{self.path}/collection.json", {"size": dim, "distance": "cosine", **layout})
         if self.dimension() != dim:
             raise ValueError(f"the collection holds vectors of {self.dimension()} elements, not {dim}")

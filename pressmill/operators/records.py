@@ -34,10 +34,11 @@ def ingest_summary(items_chunked: DataFrame, item_key: list[str]) -> DataFrame:
     """``url, chunks`` once per processed item.
 
     ``item_key`` names the columns that tell two versions of one url apart.
+    Chunks are counted by position, so an item read twice counts once.
     """
     return (
         items_chunked.groupBy("url", *item_key)
-        .agg(F.count("*").alias("chunks"))
+        .agg(F.count_distinct("chunk_index").alias("chunks"))
         .select("url", *item_key, "chunks")
     )
 

@@ -536,6 +536,18 @@ def stream_summaries(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(lines).select(F.from_json("value", "url string, chunks bigint").alias("s")).select("s.*")
 
 
+def stream_summaries_same_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Two records of each url with one fetch time: each gets its own line."""
+    items = document_items(_stream(spark, folder, "documents"))
+    records = to_records(items.unionByName(items.withColumn("content", F.col("title")))).select("value")
+    lines = work_dir(spark, "summaries")
+    query = ingest_stream(
+        records, _new_table(spark, "same"), work_dir(spark, "checkpoint"), OPTIONS, summaries=lines, once=True
+    )
+    query.awaitTermination()
+    return spark.read.text(lines).select(F.from_json("value", "url string, chunks bigint").alias("s")).select("s.*")
+
+
 def _no_sevens(dim: int) -> Callable:
     """A provider that fails on texts with a 7."""
 
@@ -644,6 +656,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         no_hit_answers,
         stream_ingest,
         stream_summaries,
+        stream_summaries_same_time,
         stream_failures,
         stream_dedup,
         stream_dedup_expiry,

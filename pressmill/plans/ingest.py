@@ -17,6 +17,20 @@ from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepte
 from pressmill.operators.vector_table import VectorTable, latest_per_chunk
 
 VERSION = ("fetched_at",)  # orders the versions of one url
+ITEM_ID = "item_id"  # tells apart items of one url and fetch time; later records win ties
+
+
+def with_item_id(items: DataFrame) -> DataFrame:
+    """An id per item: a hash of all its fields, so a retried task, a replayed
+    batch and a stream (where positions are not at hand) give the same ids.
+    Two records that differ in any field are two items; byte-equal ones are one."""
+    return items if ITEM_ID in items.columns else items.withColumn(ITEM_ID, F.xxhash64(*items.columns))
+
+
+def newest_first(columns: list[str]) -> list:
+    """Order of versions: fetch time, then the item read last."""
+    keys = [*VERSION, *([ITEM_ID] if ITEM_ID in columns else [])]
+    return [F.col(c).desc_nulls_last() for c in keys]
 
 
 @dataclass(frozen=True)
@@ -68,8 +82,8 @@ def language_step(items: DataFrame, options: IngestOptions) -> DataFrame:
 
 def chunked_items(items: DataFrame, options: IngestOptions) -> DataFrame:
     """Items to chunk rows that still carry their fetch time."""
-    refined = refine_items(items, options)
-    return chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
+    refined = with_item_id(refine_items(items, options))
+    return chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=(*VERSION, ITEM_ID))
 
 
 def embedded_items(items: DataFrame, options: IngestOptions) -> DataFrame:
@@ -84,11 +98,11 @@ def embed_chunks(chunks: DataFrame, options: IngestOptions) -> DataFrame:
 def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions, **batch) -> int:
     """Embed and upsert. Superseded versions are dropped first, while a row is
     still text: no vector is computed or shuffled for them."""
-    latest = latest_per_chunk(chunks, [F.col(c).desc_nulls_last() for c in VERSION])
+    latest = latest_per_chunk(chunks, newest_first(chunks.columns))
     rows = embed_chunks(latest, options)
     return table.upsert(
         rows,
-        order_by=VERSION,
+        order_by=(*VERSION, *([ITEM_ID] if ITEM_ID in chunks.columns else [])),
         unique=True,
         replace_url=options.replace_url,
         drop_failed=bool(options.drop_failed),
@@ -97,8 +111,10 @@ def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions,
 
 
 def ingest_items(items: DataFrame, table: VectorTable, options: IngestOptions = IngestOptions(), **batch) -> int:
-    """Run the whole job; returns the chunks written."""
-    return store_chunks(chunked_items(items, options), table.ensure(options.dim), options, **batch)
+    """Run the whole job, then keep the table's deltas few; returns the chunks written."""
+    written = store_chunks(chunked_items(items, options), table.ensure(options.dim), options, **batch)
+    table.maintain()
+    return written
 
 
 def ingest_records(
@@ -121,9 +137,7 @@ def ingest_records(
         rejects(decoded).write.mode("overwrite").parquet(f"{reject_path}/writer={writer}/batch={batch_id}")
     elif reject_path:
         rejects(decoded).write.mode("append").parquet(reject_path)
-    written = ingest_items(accepted(decoded), table, options, writer=writer, batch_id=batch_id)
-    table.maintain()
-    return written
+    return ingest_items(accepted(decoded), table, options, writer=writer, batch_id=batch_id)
 
 
 def record_outcomes(records: DataFrame) -> DataFrame:

@@ -317,6 +317,8 @@ FROM asked LEFT JOIN blocks USING (question_id)""",
     "no_hit_answers": f"SELECT item_id AS question_id, {_text(NO_ANSWER)} AS answer, '' AS sources FROM benchmark",
     "stream_ingest": f"WITH RECURSIVE {SMALL_CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
     "stream_summaries": f"""WITH RECURSIVE {SMALL_CHUNKS}
+SELECT url, count(*) AS chunks FROM chunks GROUP BY url UNION ALL SELECT url, 1 FROM items""",
+    "stream_summaries_same_time": f"""WITH RECURSIVE {SMALL_CHUNKS}
 SELECT url, count(*) AS chunks FROM chunks GROUP BY url UNION ALL SELECT url, 1 FROM items""",
     "stream_failures": f"""WITH RECURSIVE {SMALL_CHUNKS}
 SELECT url, CASE WHEN bool_or(contains(chunk_text, '7')) THEN 'embedding_failed' END AS reason FROM chunks GROUP BY url""",

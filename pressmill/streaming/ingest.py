@@ -16,7 +16,7 @@ from pressmill.operators.normalize import normalize_items
 from pressmill.operators.records import ingest_summary, summary_json
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
 from pressmill.operators.vector_table import VectorTable
-from pressmill.plans.ingest import VERSION, IngestOptions, language_step, store_chunks
+from pressmill.plans.ingest import ITEM_ID, VERSION, IngestOptions, language_step, store_chunks, with_item_id
 from pressmill.streaming.dedup import TTL, dedup_stream
 
 
@@ -55,7 +55,8 @@ def write_chunks(
     failure finds its own commit and leaves the table alone.
 
     ``summaries`` names a folder for the ``{"url":…,"chunks":…}`` line of each
-    processed item, two versions of a url apart; ``failures`` one for
+    processed item, told apart by its ``item_id`` where the chunks carry one
+    (two records of one url and fetch time give two lines); ``failures`` one for
     ``url, reason`` of the items the embedder failed on. Both get a sub-folder
     per query and batch, which a replay writes again.
     """
@@ -74,7 +75,7 @@ def write_chunks(
             reasons = failed.withColumn("reason", F.lit("embedding_failed"))
             reasons.write.mode("overwrite").parquet(f"{failures}/{folder}")
         if summaries:
-            done = ingest_summary(batch, list(VERSION))
+            done = ingest_summary(batch, [*VERSION, *([ITEM_ID] if ITEM_ID in batch.columns else [])])
             done = done if failed is None else done.join(failed, "url", "left_anti")
             summary_json(done).write.mode("overwrite").text(f"{summaries}/{folder}")
             batch.unpersist()
@@ -108,8 +109,8 @@ def ingest_stream(
     items = items.observe("normalize", F.count("*").alias("kept"))
     if ttl:
         items = dedup_stream(items, ttl)
-    refined = language_step(items, options).observe("refine", F.count("*").alias("kept"))
-    chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=VERSION)
+    refined = with_item_id(language_step(items, options).observe("refine", F.count("*").alias("kept")))
+    chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=(*VERSION, ITEM_ID))
     chunks = chunks.observe("chunk", F.count("*").alias("chunks"))
     return write_chunks(chunks, table, checkpoint, options, summaries, name, once, failures)
 

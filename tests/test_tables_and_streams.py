@@ -519,3 +519,32 @@ def test_replace_url_opens_only_the_index_buckets_of_its_urls(spark, table):
     assert "PartitionFilters: [isnotnull(_ubucket" in plan and 0 < scan.count() < 200 and scan.where("url = 'u7'").count() == 1
     ingest_items(items(spark, doc("u7", "b0 x y z.", 2)), table, replace)
     assert [t for t in texts(table) if t[0] == "u7"] == [("u7", 0, "b0 x y z.")] and len(texts(table)) == 399
+
+
+def test_two_items_of_one_url_and_time_get_two_lines_also_in_a_replay(spark, table, tmp_path):
+    inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    three = "One two three four. Five six seven eight. Nine."
+    items_ = [{"source_id": "s", "url": "x", "content": three}, {"source_id": "s", "url": "x", "content": "Short."}]
+    drop(inbox, "1", [*items_, items_[1]])
+
+    def once(n):
+        sums = str(tmp_path / f"sums{n}")
+        run(ingest_stream(stream_records(spark, inbox), table, checkpoint, SMALL, summaries=sums, once=True))
+        return sorted((s["url"], s["chunks"]) for s in (json.loads(r.value) for r in spark.read.text(sums).collect()))
+
+    assert once(1) == [("x", 1), ("x", 3)]
+    stored = texts(table)
+    for name in ("0", ".0.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    assert once(2) == [("x", 1), ("x", 3)] and texts(table) == stored
+
+
+def test_ties_of_fetch_time_go_to_one_item_for_all_its_chunks(spark, tmp_path):
+    for parts in (1, 7):
+        store = VectorTable(spark, str(tmp_path / f"t{parts}"))
+        versions = [doc(f"u{i}", f"v{k}a x y z. v{k}b x y z. v{k}c x y z.", 5) for i in range(30) for k in range(3)]
+        ingest_items(items(spark, *versions).repartition(parts), store, SMALL)
+        got = {}
+        for url, _, text in texts(store):
+            got.setdefault(url, set()).add(text[:2])
+        assert all(len(v) == 1 for v in got.values()) and len(got) == 30

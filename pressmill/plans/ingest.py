@@ -15,6 +15,7 @@ from pressmill.operators.language import allow_languages, detect_language
 from pressmill.operators.normalize import normalize_fields, normalize_items
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
 from pressmill.operators.vector_table import VectorTable, latest_per_chunk
+from pressmill.session import work_dir
 
 VERSION = ("fetched_at",)  # orders the versions of one url
 ITEM_ID = "item_id"  # tells apart items of one url and fetch time; later records win ties
@@ -133,11 +134,35 @@ def ingest_records(
     """
     decoded = decode_records(records)
     named = writer is not None and batch_id is not None
-    if reject_path and named:
-        rejects(decoded).write.mode("overwrite").parquet(f"{reject_path}/writer={writer}/batch={batch_id}")
-    elif reject_path:
-        rejects(decoded).write.mode("append").parquet(reject_path)
-    return ingest_items(accepted(decoded), table, options, writer=writer, batch_id=batch_id)
+    if reject_path:
+        accepted_rows, refused = split_outcomes(decoded)
+        if named:
+            refused.write.mode("overwrite").parquet(f"{reject_path}/writer={writer}/batch={batch_id}")
+        else:
+            refused.write.mode("append").parquet(reject_path)
+    else:
+        accepted_rows = accepted(decoded)
+    return ingest_items(accepted_rows, table, options, writer=writer, batch_id=batch_id)
+
+
+def split_outcomes(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accepted items and the dead-letter rows from one decode.
+
+    One write, laid out by outcome, holds both; each is read back from its own
+    folder (partition pruning), so the records are parsed once for two outputs.
+    """
+    spark = decoded.sparkSession
+    path = work_dir(spark, "decoded")
+    both = decoded.select(
+        "*",
+        F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("refused")).alias("_outcome"),
+    )
+    both = both.withColumn("value", F.when(F.col("_outcome") == "refused", F.col("value")))  # accepted rows need no raw text
+    both.write.partitionBy("_outcome").parquet(path)
+    back = spark.read.schema(both.schema).parquet(path)
+    accepted_rows = back.where(F.col("_outcome") == "accepted").drop("_outcome", "reason", "value")
+    refused_rows = rejects(back.where(F.col("_outcome") == "refused").drop("_outcome"))
+    return accepted_rows, refused_rows
 
 
 def record_outcomes(records: DataFrame) -> DataFrame:

@@ -148,3 +148,18 @@ def test_accepting_parses_each_record_once(spark):
     plan = accepted(decode_records(values(spark, "x")))._jdf.queryExecution().executedPlan().toString()
     # Once for the value, once more in braces for suspicious text only.
     assert plan.count("parse_json") + plan.count("parseJson") <= 4
+
+
+def test_one_decode_gives_both_outputs(spark):
+    from pressmill.operators.validate import accepted, decode_records, rejects
+    from pressmill.plans.ingest import split_outcomes
+
+    good = '{"source_id":"s","url":"u%d","content":"text %d"}'
+    records = spark.createDataFrame([(good % (i, i),) for i in range(50)] + [("bad",), ('{"url":"x"}',), (None,)], "value string")
+    decoded = decode_records(records)
+    ok, refused = split_outcomes(decoded)
+    assert sorted(map(tuple, ok.collect())) == sorted(map(tuple, accepted(decoded).collect()))
+    assert sorted(map(tuple, refused.collect()), key=repr) == sorted(map(tuple, rejects(decoded).collect()), key=repr)
+    for df in (ok, refused):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "parse_json" not in plan and "from_json" not in plan and "PartitionFilters: [isnotnull(_outcome" in plan

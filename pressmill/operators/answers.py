@@ -80,49 +80,71 @@ def stub_completion(prompt: Column) -> Column:
     return F.concat(F.lit(STUB_BANNER + "\n\n"), prompt)
 
 
+_RESULT = T.StructType([T.StructField("answer", T.StringType()), T.StructField("error", T.StringType())])
+#: Characters of an error message kept in the error column.
+ERROR_CHARS = 500
+
+
 def completion_of(system: Column, prompt: Column, provider: Column) -> Column:
-    """Completion by provider name; an unknown name is an error.
+    """``struct<answer, error>`` by provider name; an unknown name is an error of the job.
 
     Registered providers are called with Arrow batches of their own rows only.
     """
-    out = F.when(provider == DEFAULT_PROVIDER, stub_completion(prompt))
+    out = F.when(provider == DEFAULT_PROVIDER, F.struct(stub_completion(prompt).alias("answer"), F.lit(None).cast("string").alias("error")))
     for name, complete in _COMPLETERS.items():
         mine = F.when(provider == name, prompt)
         out = out.when(provider == name, _call(complete)(system, mine))
     unknown = F.concat(F.lit("unknown completion provider: '"), provider, F.lit("'"))
-    return out.otherwise(F.raise_error(unknown).cast("string"))
+    return out.otherwise(F.raise_error(unknown).cast(_RESULT))
 
 
 def _call(complete: CompleteBatch):
-    @F.arrow_udf(T.StringType())
+    """A completer over Arrow batches. A batch that fails is halved until the
+    prompts that fail alone are found; those get an error and no answer, the
+    rest their answers."""
+
+    @F.arrow_udf(_RESULT)
     def run(system: pa.Array, prompt: pa.Array) -> pa.Array:
-        at = [i for i, p in enumerate(prompt) if p.is_valid]
         answers: list[str | None] = [None] * len(prompt)
-        if at:
-            given = complete([system[i].as_py() for i in at], [prompt[i].as_py() for i in at])
-            if len(given) != len(at):
-                raise ValueError(f"expected {len(at)} completions, got {len(given)}")
+        errors: list[str | None] = [None] * len(prompt)
+        todo = [[i for i, p in enumerate(prompt) if p.is_valid]]
+        while todo:
+            at = todo.pop()
+            if not at:
+                continue
+            try:
+                given = complete([system[i].as_py() for i in at], [prompt[i].as_py() for i in at])
+                if len(given) != len(at):
+                    raise ValueError(f"expected {len(at)} completions, got {len(given)}")
+            except Exception as error:  # noqa: BLE001 - one prompt's failure must not end the job
+                if len(at) == 1:
+                    errors[at[0]] = f"completion_failed: {type(error).__name__}: {error}"[:ERROR_CHARS]
+                else:
+                    todo += [at[len(at) // 2 :], at[: len(at) // 2]]
+                continue
             for i, text in zip(at, given):
                 answers[i] = text or ""
-        return pa.array(answers, pa.string())
+        return pa.StructArray.from_arrays([pa.array(answers, pa.string()), pa.array(errors, pa.string())], ["answer", "error"])
 
     return run
 
 
-def answers(questions: DataFrame, hits: DataFrame, provider: str = DEFAULT_PROVIDER) -> DataFrame:
-    """``question_id, answer, sources`` for every question.
+def answers(questions: DataFrame, hits: DataFrame, provider: str = DEFAULT_PROVIDER, errors: bool = False) -> DataFrame:
+    """``question_id, answer, sources`` for every question, and ``error`` if asked.
 
     A question's own ``provider`` wins over the default. Without hits no
-    completion is made and the fixed text is given.
+    completion is made and the fixed text is given. A completion that fails
+    costs its question only: answer null, and the reason in ``error``.
     """
     if provider != DEFAULT_PROVIDER and provider not in _COMPLETERS:
         raise ValueError(f"unknown completion provider: {provider!r}")
     asked = prompts(questions, hits)
     own = F.col("provider") if "provider" in asked.columns else F.lit(None).cast("string")
     chosen = F.coalesce(own, F.lit(provider))
-    answer = completion_of(F.col("system"), F.col("prompt"), chosen)
-    return asked.select(
+    done = asked.withColumn("_done", F.when(F.col("prompt").isNotNull(), completion_of(F.col("system"), F.col("prompt"), chosen)))
+    return done.select(
         "question_id",
-        F.when(F.col("prompt").isNull(), F.lit(NO_ANSWER)).otherwise(answer).alias("answer"),
+        F.when(F.col("prompt").isNull(), F.lit(NO_ANSWER)).otherwise(F.col("_done.answer")).alias("answer"),
         "sources",
+        *([F.col("_done.error").alias("error")] if errors else []),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pressmill.functions.text import clean_text
 from pressmill.functions.vectors import hash_vectors
-from pressmill.operators.answers import answers, contexts, prompts
+from pressmill.operators.answers import answers, contexts, prompts, register_completer
 from pressmill.operators.chunking import chunk_items, split_items
 from pressmill.operators.dedup import dedup_by_url
 from pressmill.operators.embedding import embed, register_embedder
@@ -496,6 +496,22 @@ def turn_answers(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("sources", F.array_join("sources", " "))
 
 
+def _odd_fails(system: list[str], prompts_: list[str]) -> list[str]:
+    """A completer that fails on any batch holding a prompt of odd length."""
+    if any(len(p) % 2 for p in prompts_):
+        raise ValueError("odd prompt")
+    return [f"answered {len(p)}" for p in prompts_]
+
+
+register_completer("odd_fails", _odd_fails)
+
+
+def failing_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """A completer that fails on some prompts: those questions get an error, the others their answers."""
+    found = ask(_benchmark_questions(spark, folder), document_vectors(spark, folder), dim=DIM, provider="odd_fails", errors=True)
+    return found.withColumn("sources", F.array_join("sources", " "))
+
+
 def no_hit_answers(spark: SparkSession, folder: str) -> DataFrame:
     """A threshold nothing reaches: the fixed answer for every question."""
     asked = _benchmark_questions(spark, folder)
@@ -653,6 +669,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prompt_texts,
         stub_answers,
         turn_answers,
+        failing_answers,
         no_hit_answers,
         stream_ingest,
         stream_summaries,

@@ -314,6 +314,14 @@ SELECT question_id, text, {_text(SYSTEM_PROMPT)} AS system,
 FROM asked LEFT JOIN blocks USING (question_id)""",
     "stub_answers": answered(BENCHMARK, 5),
     "turn_answers": answered(TURNS, 3, 0.65, "language = 'en'"),
+    "failing_answers": f"""WITH RECURSIVE {retrieval(BENCHMARK, 5)},
+blocks AS (SELECT question_id, {_DOCS} FROM found GROUP BY question_id),
+p AS (SELECT a.question_id, 'Context:' || chr(10) || b.context || chr(10) || chr(10) || 'Question: ' || a.text AS prompt,
+  coalesce(b.sources, '') AS sources FROM asked a LEFT JOIN blocks b USING (question_id))
+SELECT question_id,
+  CASE WHEN prompt IS NULL THEN {_text(NO_ANSWER)} WHEN length(prompt) % 2 = 0 THEN 'answered ' || length(prompt) END AS answer, sources,
+  CASE WHEN length(prompt) % 2 = 1 THEN 'completion_failed: ValueError: odd prompt' END AS error
+FROM p""",
     "no_hit_answers": f"SELECT item_id AS question_id, {_text(NO_ANSWER)} AS answer, '' AS sources FROM benchmark",
     "stream_ingest": f"WITH RECURSIVE {SMALL_CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
     "stream_summaries": f"""WITH RECURSIVE {SMALL_CHUNKS}

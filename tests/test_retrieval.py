@@ -215,3 +215,23 @@ def test_list_matrix_rejects_nulls():
 
     with pytest.raises(ValueError):
         list_matrix(pa.array([[1.0, 2.0], None]), 2)
+
+
+def test_a_failing_completion_costs_its_question_only(spark):
+    calls = []
+
+    def picky(system, user):
+        calls.append(len(user))
+        if any("bad" in u for u in user):
+            raise RuntimeError("model refused")
+        return [f"ok {len(u)}" for u in user]
+
+    register_completer("picky", picky)
+    texts = [(f"{'bad' if i in (3, 11, 12) else 'good'} {i}", None) for i in range(20)]
+    asked = questions(spark, *texts).coalesce(1)
+    found = hits(spark, *[(i, 1, "u", "T", "a") for i in range(20)])
+    got = {r.question_id: (r.answer, r.error) for r in answers(asked, found, provider="picky", errors=True).collect()}
+    assert {i for i, (a, e) in got.items() if e} == {3, 11, 12}
+    assert all(a is None and e == "completion_failed: RuntimeError: model refused" for a, e in (got[i] for i in (3, 11, 12)))
+    assert all(a.startswith("ok ") and e is None for i, (a, e) in got.items() if i not in (3, 11, 12))
+    assert answers(asked, found, provider="picky").columns == ["question_id", "answer", "sources"]

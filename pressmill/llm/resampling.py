@@ -185,6 +185,8 @@ def resample(docs: DataFrame, target: DataFrame, share_percent: int = SHARE_PERC
     small_batches(spark)
     keyed = rows.withColumn("_tie", F.xxhash64("text"))
     weighed = keyed.mapInArrow(_weigher(gain), "_tie bigint, doc_id bigint, n_words bigint, n_features bigint, weight bigint")
+    # Written once (five longs a row): the sort samples its input and then reads it, and would weigh every text twice.
+    weighed = materialize(spark, weighed, "weights")
     scored = weighed.withColumns({"score": (F.col("weight") + gumbel(F.col("doc_id"))).cast("bigint"),
                                   "_eligible": F.col("doc_id").isNotNull() & (F.col("n_words") >= MIN_WORDS)})
     # Eligible rows first, best score first; equal rows are told apart by a seeded draw, so no sort key holds a hot group.

@@ -564,6 +564,19 @@ def stream_summaries_same_time(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(lines).select(F.from_json("value", "url string, chunks bigint").alias("s")).select("s.*")
 
 
+def stream_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of a stream run over all documents: per batch rows added up, and items that gave no chunk."""
+    records = to_records(document_items(_stream(spark, folder, "documents"))).select("value")
+    counted = work_dir(spark, "counters")
+    query = ingest_stream(
+        records, _new_table(spark, "counted"), work_dir(spark, "checkpoint"), OPTIONS, counters=counted, once=True
+    )
+    query.awaitTermination()
+    dropped = sum(p.observedMetrics["refine"]["chunked_dropped"] for p in query.recentProgress if "refine" in p.observedMetrics)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("chunks", "items", "written", "embedding_failed", "upsert_failed")]
+    return spark.read.parquet(counted).agg(*sums).withColumn("chunked_dropped", F.lit(dropped).cast("bigint"))
+
+
 def _no_sevens(dim: int) -> Callable:
     """A provider that fails on texts with a 7."""
 
@@ -674,6 +687,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_ingest,
         stream_summaries,
         stream_summaries_same_time,
+        stream_counters,
         stream_failures,
         stream_dedup,
         stream_dedup_expiry,

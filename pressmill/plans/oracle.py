@@ -328,6 +328,11 @@ FROM p""",
 SELECT url, count(*) AS chunks FROM chunks GROUP BY url UNION ALL SELECT url, 1 FROM items""",
     "stream_summaries_same_time": f"""WITH RECURSIVE {SMALL_CHUNKS}
 SELECT url, count(*) AS chunks FROM chunks GROUP BY url UNION ALL SELECT url, 1 FROM items""",
+    "stream_counters": f"""WITH RECURSIVE {SMALL_CHUNKS}
+SELECT count(*)::BIGINT AS chunks, count(DISTINCT url)::BIGINT AS items, count(*)::BIGINT AS written,
+  0::BIGINT AS embedding_failed, 0::BIGINT AS upsert_failed,
+  (SELECT count(*) FROM items WHERE coalesce(content, title) IS NULL)::BIGINT AS chunked_dropped
+FROM chunks""",
     "stream_failures": f"""WITH RECURSIVE {SMALL_CHUNKS}
 SELECT url, CASE WHEN bool_or(contains(chunk_text, '7')) THEN 'embedding_failed' END AS reason FROM chunks GROUP BY url""",
     "stream_dedup": "SELECT DISTINCT md5(text) AS url, text AS content FROM documents",

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pressmill.operators.files import Files
-from pressmill.operators.chunking import chunk_items
+from pressmill.operators.chunking import chunk_items, pick_text
 from pressmill.operators.normalize import normalize_items
 from pressmill.operators.records import ingest_summary, summary_json
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
@@ -50,6 +50,7 @@ def write_chunks(
     name: str | None = None,
     once: bool = False,
     failures: str | None = None,
+    counters: str | None = None,
 ) -> StreamingQuery:
     """Embed and upsert a stream of chunks. A batch that is replayed after a
     failure finds its own commit and leaves the table alone.
@@ -58,7 +59,10 @@ def write_chunks(
     processed item, told apart by its ``item_id`` where the chunks carry one
     (two records of one url and fetch time give two lines); ``failures`` one for
     ``url, reason`` of the items the embedder failed on. Both get a sub-folder
-    per query and batch, which a replay writes again.
+    per query and batch, which a replay writes again. ``counters`` names a
+    folder for one row per batch: ``batch, chunks, items, written,
+    embedding_failed, upsert_failed`` (a failed upsert writes its row, then
+    fails the batch, which is retried from the checkpoint).
     """
     if options.drop_failed is None:
         options = replace(options, drop_failed=True)
@@ -67,10 +71,19 @@ def write_chunks(
         # The query's own id: a fresh checkpoint at an old path numbers its batches anew.
         writer = Files(batch.sparkSession, checkpoint).load(f"{checkpoint.rstrip('/')}/metadata")["id"]
         folder = f"query={writer}/batch={batch_id}"
-        if summaries:
+        if summaries or counters:
             batch = batch.persist(StorageLevel.DISK_ONLY)
-        store_chunks(batch, table, options, writer=writer, batch_id=batch_id)
+        # A replayed batch upserts nothing; the counter row of its first run stands.
+        counting = counters and table.snapshot()["writers"].get(writer, -1) < batch_id
+        try:
+            written = store_chunks(batch, table, options, writer=writer, batch_id=batch_id)
+        except Exception:
+            if counting:
+                _count(batch, batch_id, -1, None, f"{counters}/{folder}")
+            raise
         failed = table.last_failed(writer)
+        if counting:
+            _count(batch, batch_id, written, failed, f"{counters}/{folder}")
         if failures and failed is not None:
             reasons = failed.withColumn("reason", F.lit("embedding_failed"))
             reasons.write.mode("overwrite").parquet(f"{failures}/{folder}")
@@ -78,12 +91,27 @@ def write_chunks(
             done = ingest_summary(batch, [*VERSION, *([ITEM_ID] if ITEM_ID in batch.columns else [])])
             done = done if failed is None else done.join(failed, "url", "left_anti")
             summary_json(done).write.mode("overwrite").text(f"{summaries}/{folder}")
+        if summaries or counters:
             batch.unpersist()
         table.maintain()
 
     return _start(chunks.writeStream.foreachBatch(upsert), checkpoint, name, once)
 
 
+def _count(batch: DataFrame, batch_id: int, written: int, failed: DataFrame | None, path: str) -> None:
+    """One counter row of a batch; ``written`` below 0 marks a failed upsert."""
+    item = [F.col("url"), *([F.col(ITEM_ID)] if ITEM_ID in batch.columns else [])]
+    row = batch.agg(F.count("*").alias("chunks"), F.count_distinct(*item).alias("items")).select(
+        F.lit(batch_id).cast("bigint").alias("batch"),
+        "chunks",
+        "items",
+        F.lit(max(written, 0)).cast("bigint").alias("written"),
+        F.lit(0 if failed is None else failed.count()).cast("bigint").alias("embedding_failed"),
+        F.lit(1 if written < 0 else 0).cast("bigint").alias("upsert_failed"),
+    )
+    row.write.mode("overwrite").parquet(path)
+
+
 def ingest_stream(
     records: DataFrame,
     table: VectorTable,
@@ -94,6 +122,7 @@ def ingest_stream(
     name: str | None = None,
     once: bool = False,
     failures: str | None = None,
+    counters: str | None = None,
 ) -> StreamingQuery:
     """Decode, normalize, chunk, embed and upsert a stream of records.
 
@@ -109,10 +138,13 @@ def ingest_stream(
     items = items.observe("normalize", F.count("*").alias("kept"))
     if ttl:
         items = dedup_stream(items, ttl)
-    refined = with_item_id(language_step(items, options).observe("refine", F.count("*").alias("kept")))
+    refined = language_step(items, options).observe(
+        "refine", F.count("*").alias("kept"), F.count_if(pick_text().isNull()).alias("chunked_dropped")
+    )
+    refined = with_item_id(refined)
     chunks = chunk_items(refined, options.max_tokens, options.overlap_tokens, carry=(*VERSION, ITEM_ID))
     chunks = chunks.observe("chunk", F.count("*").alias("chunks"))
-    return write_chunks(chunks, table, checkpoint, options, summaries, name, once, failures)
+    return write_chunks(chunks, table, checkpoint, options, summaries, name, once, failures, counters)
 
 
 def reject_stream(

@@ -548,3 +548,30 @@ def test_ties_of_fetch_time_go_to_one_item_for_all_its_chunks(spark, tmp_path):
         for url, _, text in texts(store):
             got.setdefault(url, set()).add(text[:2])
         assert all(len(v) == 1 for v in got.values()) and len(got) == 30
+
+
+def test_counters_per_batch_survive_a_replay(spark, table, tmp_path):
+    def load(dim):
+        def run(texts):
+            if any("poison" in t for t in texts):
+                raise RuntimeError("model failed")
+            return [[1.0] * dim for _ in texts]
+
+        return run
+
+    register_embedder("brittle2", load)
+    options = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, provider="brittle2")
+    inbox, checkpoint, counted = str(tmp_path / "in"), str(tmp_path / "cp"), str(tmp_path / "counters")
+    drop(inbox, "1", [record("a", "One two three four. Five."), record("b", "All fine."), record("c", "Some poison here.")])
+
+    def once():
+        query = run(ingest_stream(stream_records(spark, inbox), table, checkpoint, options, counters=counted, once=True))
+        rows = [tuple(r) for r in spark.read.parquet(counted).select("chunks", "items", "written", "embedding_failed", "upsert_failed").collect()]
+        dropped = [p.observedMetrics["refine"]["chunked_dropped"] for p in query.recentProgress if "refine" in p.observedMetrics]
+        return rows, dropped
+
+    rows, dropped = once()
+    assert rows == [(4, 3, 3, 1, 0)] and dropped == [0]
+    for name in ("0", ".0.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    assert once()[0] == [(4, 3, 3, 1, 0)]

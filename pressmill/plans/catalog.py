@@ -34,6 +34,7 @@ from pressmill.schemas import EMBEDDED_CHUNK
 from pressmill.session import work_dir
 from pressmill.sources.feeds import feed_rejects, parse_feeds
 from pressmill.sources.pages import page_items
+from pressmill.sources.records import read_records, stream_records
 from pressmill.sources.registry import check_sources
 from pressmill.streaming.dedup import dedup_stream
 from pressmill.streaming.ingest import ingest_stream, reject_stream
@@ -146,6 +147,31 @@ def validate_accepted(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_tags(accepted(decode_records(_raw_records(spark, folder))))
 
 
+def _record_files(spark: SparkSession, folder: str) -> str:
+    """All documents as JSON lines in a shared work folder."""
+    path = work_dir(spark, "records")
+    to_records(_items(spark, folder)).select("value").write.text(path)
+    return path
+
+
+_ROUNDTRIP = ("key", "source_id", "url", "title", "content", "language", "tags", "fetched_at")
+
+
+def records_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch source: JSON-line files read back and decoded (the key is the url)."""
+    decoded = accepted(decode_records(read_records(spark, _record_files(spark, folder))))
+    return _flat_tags(decoded.withColumn("key", F.col("url"))).select(*_ROUNDTRIP)
+
+
+def records_from_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The file stream source: the same files as a stream, decoded into a table."""
+    out, checkpoint = work_dir(spark, "decoded"), work_dir(spark, "checkpoint")
+    decoded = accepted(decode_records(stream_records(spark, _record_files(spark, folder))))
+    query = decoded.withColumn("key", F.col("url")).writeStream.format("parquet").option("path", out)
+    query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return _flat_tags(spark.read.parquet(out)).select(*_ROUNDTRIP)
+
+
 def record_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     records = to_records(_items(spark, folder))
     return _flat_tags(accepted(decode_records(records))).select(
@@ -651,6 +677,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         validate_rejects,
         validate_accepted,
         record_roundtrip,
+        records_from_files,
+        records_from_stream,
         outcome_counts,
         source_counts,
         parse_rss,

@@ -247,6 +247,12 @@ SELECT j->>'$.source_id' AS source_id, j->>'$.url' AS url, j->>'$.title' AS titl
 FROM judged WHERE reason IS NULL""",
     "record_roundtrip": """SELECT 'https://docs.example/' || doc_id AS key, source AS source_id,
   'https://docs.example/' || doc_id AS url, 'Document  ' || doc_id || ' ' AS title, text AS content, lang AS language,
+  'Doc,' || upper(lang) || ',doc' AS tags, 0::BIGINT AS fetched_at FROM documents""",
+    "records_from_files": """SELECT 'https://docs.example/' || doc_id AS key, source AS source_id,
+  'https://docs.example/' || doc_id AS url, 'Document  ' || doc_id || ' ' AS title, text AS content, lang AS language,
+  'Doc,' || upper(lang) || ',doc' AS tags, 0::BIGINT AS fetched_at FROM documents""",
+    "records_from_stream": """SELECT 'https://docs.example/' || doc_id AS key, source AS source_id,
+  'https://docs.example/' || doc_id AS url, 'Document  ' || doc_id || ' ' AS title, text AS content, lang AS language,
   'Doc,' || upper(lang) || ',doc' AS tags, 0::BIGINT AS fetched_at FROM documents""",
     "outcome_counts": f"""WITH {RECORDS} SELECT CASE
     WHEN reason IN ('null_value', 'invalid_json') THEN 'schema_invalid'

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressmill.operators.retrieval import limit_error
+
 # The texts an answer is made of.
 SYSTEM_PROMPT = (
     "You are a news analyst. Answer user questions using ONLY the provided context. "
@@ -133,18 +135,21 @@ def answers(questions: DataFrame, hits: DataFrame, provider: str = DEFAULT_PROVI
     """``question_id, answer, sources`` for every question, and ``error`` if asked.
 
     A question's own ``provider`` wins over the default. Without hits no
-    completion is made and the fixed text is given. A completion that fails
-    costs its question only: answer null, and the reason in ``error``.
+    completion is made and the fixed text is given. A completion that fails,
+    or a question's own ``top_k`` outside 1..100, costs that question only:
+    answer null, and the reason in ``error``.
     """
     if provider != DEFAULT_PROVIDER and provider not in _COMPLETERS:
         raise ValueError(f"unknown completion provider: {provider!r}")
     asked = prompts(questions, hits)
     own = F.col("provider") if "provider" in asked.columns else F.lit(None).cast("string")
     chosen = F.coalesce(own, F.lit(provider))
+    refused = limit_error(asked)
     done = asked.withColumn("_done", F.when(F.col("prompt").isNotNull(), completion_of(F.col("system"), F.col("prompt"), chosen)))
+    answer = F.when(refused.isNotNull(), F.lit(None).cast("string")).when(F.col("prompt").isNull(), F.lit(NO_ANSWER))
     return done.select(
         "question_id",
-        F.when(F.col("prompt").isNull(), F.lit(NO_ANSWER)).otherwise(F.col("_done.answer")).alias("answer"),
+        answer.otherwise(F.col("_done.answer")).alias("answer"),
         "sources",
-        *([F.col("_done.error").alias("error")] if errors else []),
+        *([F.coalesce(refused, F.col("_done.error")).alias("error")] if errors else []),
     )

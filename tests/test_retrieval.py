@@ -73,8 +73,17 @@ def test_top_k_range(spark, data, k):
     questions, vectors, _ = data
     with pytest.raises(ValueError, match="between 1 and 100"):
         top_k_ids(asked(spark, questions), stored(spark, vectors), k)
-    with pytest.raises(Exception, match="between 1 and 100"):
-        top_k_ids(asked(spark, questions, top_k=[k] * 9), stored(spark, vectors)).collect()
+    own = [k, 2] + [None] * 7  # a question's own bad top_k refuses that question only
+    got = result(top_k_ids(asked(spark, questions, top_k=own), stored(spark, vectors)))
+    assert {w[0] for w in got} == set(range(1, 9)) and sum(1 for w in got if w[0] == 1) == 2
+
+
+def test_a_bad_top_k_is_an_error_row(spark):
+    found = hits(spark, (0, 1, "u", "T", "a"), (1, 1, "v", "W", "b"))
+    asked = spark.createDataFrame([(0, "q0", 0), (1, "q1", None), (2, "q2", 500)], "question_id bigint, text string, top_k int")
+    got = {r.question_id: (r.answer, r.error) for r in answers(asked, found, errors=True).collect()}
+    assert got[0] == (None, "top_k must be between 1 and 100, got 0") and got[2] == (None, "top_k must be between 1 and 100, got 500")
+    assert got[1][0].startswith("[stub llm]") and got[1][1] is None
 
 
 def test_search_payload_filter_and_defaults(spark, data):

@@ -54,6 +54,8 @@ class IngestOptions:
     replace_url: bool = False
     embed_partitions: int | None = None
     drop_failed: bool | None = None
+    #: Texts a provider gets at once; None: whole Arrow batches.
+    batch_size: int | None = None
 
 
 def refine_items(items: DataFrame, options: IngestOptions) -> DataFrame:
@@ -93,7 +95,7 @@ def embedded_items(items: DataFrame, options: IngestOptions) -> DataFrame:
 
 
 def embed_chunks(chunks: DataFrame, options: IngestOptions) -> DataFrame:
-    return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions, bool(options.drop_failed))
+    return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions, bool(options.drop_failed), options.batch_size)
 
 
 def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions, **batch) -> int:

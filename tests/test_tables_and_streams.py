@@ -575,3 +575,17 @@ def test_counters_per_batch_survive_a_replay(spark, table, tmp_path):
     for name in ("0", ".0.crc"):
         os.remove(f"{checkpoint}/commits/{name}")
     assert once()[0] == [(4, 3, 3, 1, 0)]
+
+
+def test_jobs_set_the_embedding_batch_size(spark, table):
+    def load(dim):
+        def run(texts):  # each vector tells how many texts came at once
+            return [[float(len(texts))] * dim for _ in texts]
+
+        return run
+
+    register_embedder("counted", load)
+    options = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, provider="counted", batch_size=3)
+    assert ingest_items(items(spark, *[doc(f"u{i}", "a b c d.") for i in range(20)]).coalesce(1), table, options) == 20
+    assert len(texts(table)) == 20
+    assert {r.embedding[0] for r in table.read().collect()} <= {1.0, 2.0, 3.0}

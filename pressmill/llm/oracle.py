@@ -113,10 +113,43 @@ FROM fin f JOIN c{rounds} c ON c.cid = f.m % 64"""
 
 OP13_CLUSTERING = _op13_clustering()
 
+#: The base spans of op3: the contract's patterns, leftmost without overlaps, failing matches dropped;
+#: positions are sums of the lengths of the gaps and matches before.
+OP3_PII_BASE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k AS (SELECT * FROM (VALUES
+  (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+  (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  (3, 'card', '[0-9]([ -]?[0-9])+'),
+  (4, 'phone', '\+[0-9][ ().0-9-]+[0-9]')) AS k(o, kind, p)),
+m AS (SELECT d.doc_id, k.o, k.kind, regexp_extract_all(d.t, k.p) AS ms, regexp_split_to_array(d.t, k.p) AS gs FROM d, k),
+e AS (SELECT doc_id, o, kind, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM m WHERE len(ms) > 0),
+s AS (
+  SELECT doc_id, o, kind, ms[i] AS x, regexp_replace(ms[i], '[^0-9]', '', 'g') AS dg,
+    coalesce(list_sum(list_transform(gs[1:i], lambda g: length(g))), 0)
+      + coalesce(list_sum(list_transform(ms[1:i - 1], lambda y: length(y))), 0) AS st
+  FROM e),
+v AS (
+  SELECT * FROM s WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN list_bool_and(list_transform(string_split(x, '.'),
+      lambda q: length(ltrim(q, '0')) <= 3 AND CAST(coalesce(nullif(ltrim(q, '0'), ''), '0') AS INTEGER) <= 255))
+    WHEN 'card' THEN length(dg) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(dg) + 1), lambda j:
+      CASE WHEN j % 2 = 1 THEN CAST(dg[length(dg) - j + 1] AS INTEGER)
+           WHEN 2 * CAST(dg[length(dg) - j + 1] AS INTEGER) > 9 THEN 2 * CAST(dg[length(dg) - j + 1] AS INTEGER) - 9
+           ELSE 2 * CAST(dg[length(dg) - j + 1] AS INTEGER) END)) % 10 = 0
+    ELSE length(dg) BETWEEN 10 AND 15 END)
+SELECT d.doc_id,
+  count(v.x) FILTER (WHERE v.kind = 'email') AS n_email, count(v.x) FILTER (WHERE v.kind = 'ip') AS n_ip,
+  count(v.x) FILTER (WHERE v.kind = 'card') AS n_card, count(v.x) FILTER (WHERE v.kind = 'phone') AS n_phone,
+  sha256(coalesce(string_agg(v.kind || ':' || v.st || ':' || (v.st + length(v.x)), ',' ORDER BY v.st, v.o), '')) AS base_sha256
+FROM d LEFT JOIN v ON v.doc_id = d.doc_id GROUP BY d.doc_id, d.t"""
+
 ORACLE: dict[str, str] = {
     "op4_ngram_join": OP4_NGRAM_JOIN,
     "op5_substring_dedup": OP5_SUBSTRING_DEDUP,
     "op9_chat_format": OP9_CHAT_FORMAT,
     "op10_near_vectors": OP10_NEAR_VECTORS,
     "op13_clustering": OP13_CLUSTERING,
+    "op3_pii_base": OP3_PII_BASE,
 }

@@ -48,6 +48,11 @@ def pii_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pii_base_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The base columns of op3 alone, which SQL can state."""
+    return pii_query(spark, folder).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
 def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, folder, "documents"))
 
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules_query,
     "op2_byte_bpe": bpe_query,
     "op3_pii": pii_query,
+    "op3_pii_base": pii_base_query,
     "op4_ngram_join": ngram_join_query,
     "op5_substring_dedup": substring_dedup_query,
     "op6_quality_model": quality_model_query,

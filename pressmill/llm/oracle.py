@@ -145,6 +145,32 @@ SELECT d.doc_id,
   sha256(coalesce(string_agg(v.kind || ':' || v.st || ':' || (v.st + length(v.x)), ',' ORDER BY v.st, v.o), '')) AS base_sha256
 FROM d LEFT JOIN v ON v.doc_id = d.doc_id GROUP BY d.doc_id, d.t"""
 
+#: Size, source size and target of op7 (not what the mix takes): weights by rank of source, null last,
+#: targets capped at three times the source and the excess reshared until the capped set stops changing.
+OP7_MIXING_TARGETS = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source AS src, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), src AS (
+  SELECT src, source_size, [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY src NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS w,
+    3.0 * source_size AS cap
+  FROM (SELECT src, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY src)
+), tot AS (SELECT CAST(sum(source_size) AS DOUBLE) AS total, sum(w) AS weight FROM src),
+it(step, level, before) AS (
+  SELECT 0, total / weight, 0 FROM tot WHERE weight > 0
+  UNION ALL
+  SELECT step + 1, CASE WHEN ow > 0 THEN (total - held) / ow ELSE 0.0 END, n
+  FROM (
+    SELECT it.step, it.before, min(tot.total) AS total,
+      coalesce(sum(CASE WHEN src.w * it.level > src.cap THEN src.cap END), 0.0) AS held,
+      coalesce(sum(CASE WHEN src.w * it.level <= src.cap THEN src.w END), 0.0) AS ow,
+      count(*) FILTER (WHERE src.w * it.level > src.cap) AS n
+    FROM it, src, tot GROUP BY it.step, it.before
+  ) WHERE n <> before
+), fin AS (SELECT level FROM it ORDER BY step DESC LIMIT 1)
+SELECT s.doc_id, s.size, t.source_size, least(t.w * coalesce((SELECT level FROM fin), 0.0), t.cap) AS target
+FROM sized s JOIN src t ON t.src IS NOT DISTINCT FROM s.src"""
+
+
 ORACLE: dict[str, str] = {
     "op4_ngram_join": OP4_NGRAM_JOIN,
     "op5_substring_dedup": OP5_SUBSTRING_DEDUP,
@@ -152,4 +178,5 @@ ORACLE: dict[str, str] = {
     "op10_near_vectors": OP10_NEAR_VECTORS,
     "op13_clustering": OP13_CLUSTERING,
     "op3_pii_base": OP3_PII_BASE,
+    "op7_mixing_targets": OP7_MIXING_TARGETS,
 }

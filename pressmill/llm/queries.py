@@ -84,6 +84,11 @@ def mixing_query(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mixing_targets_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes and targets of op7 alone, which SQL can state."""
+    return mixing_query(spark, folder).select("doc_id", "size", "source_size", "target")
+
+
 #: One more conversation than the table has.
 EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": substring_dedup_query,
     "op6_quality_model": quality_model_query,
     "op7_mixing": mixing_query,
+    "op7_mixing_targets": mixing_targets_query,
     "op8_toxicity": toxicity_query,
     "op9_chat_format": chat_query,
     "op10_near_vectors": near_vectors_query,

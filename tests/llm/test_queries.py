@@ -69,3 +69,23 @@ def test_one_row_of_each_near_copy_stays(spark, documents):
     assert kept.columns == docs.columns
     got = sorted(((r.doc_id, r.text, r.source) for r in kept.collect()), key=repr)
     assert got == sorted([*rows, (None, rows[0][1], "a"), (None, rows[0][1], "a"), (300, None, None)], key=repr)
+
+
+def test_mixing_targets_sql_where_targets_stop(spark, tmp_path):
+    """A source far larger than the others: its share stops at three times its size and the rest is reshared."""
+    import duckdb
+
+    from pressmill.llm import mixing
+    from pressmill.llm.oracle import OP7_MIXING_TARGETS
+
+    rows = [(i, " ".join(["w"] * (5 + i % 7)), src) for i, src in enumerate(["b"] * 30 + ["a"] * 3 + ["c"] * 200 + [None] * 4 + ["d"] * 2)]
+    rows += [(500, None, "a"), (501, "", None), (None, "x y", "b")]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1).write.parquet(path)
+    got = mixing.mix_sources(spark.read.parquet(path)).select("doc_id", "size", "source_size", "target").toArrow()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    want = con.sql(OP7_MIXING_TARGETS).to_arrow_table()
+    assert difference(got, want) is None
+    capped = {r["source_size"] * 3 for r in want.to_pylist()} & {r["target"] for r in want.to_pylist()}
+    assert capped  # the case is met

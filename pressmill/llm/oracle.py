@@ -145,6 +145,30 @@ SELECT d.doc_id,
   sha256(coalesce(string_agg(v.kind || ':' || v.st || ':' || (v.st + length(v.x)), ',' ORDER BY v.st, v.o), '')) AS base_sha256
 FROM d LEFT JOIN v ON v.doc_id = d.doc_id GROUP BY d.doc_id, d.t"""
 
+#: The base measures of op1 (not the method's verdict): words, their characters, symbols, repeated lines,
+#: and the words covered by 3-word windows seen twice or more.
+OP1_QUALITY_BASE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), r AS (SELECT row_number() OVER () AS rid, * FROM d),
+win AS (
+  SELECT rid, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM r WHERE len(w) >= 3)
+), twice AS (SELECT rid, g FROM win GROUP BY rid, g HAVING count(*) >= 2),
+covered AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM win JOIN twice USING (rid, g), (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid
+), lines AS (
+  SELECT rid, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM r
+)
+SELECT r.doc_id, CAST(len(r.w) AS BIGINT) AS n_words,
+  CAST(coalesce(list_sum(list_transform(r.w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(r.t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(l.ls) - len(list_distinct(l.ls)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+  len(r.w) < 50 OR 100 * coalesce(c.n, 0) > 50 * len(r.w) AS base_failed
+FROM r JOIN lines l USING (rid) LEFT JOIN covered c USING (rid)"""
+
+
 #: Size, source size and target of op7 (not what the mix takes): weights by rank of source, null last,
 #: targets capped at three times the source and the excess reshared until the capped set stops changing.
 OP7_MIXING_TARGETS = r"""
@@ -177,6 +201,7 @@ ORACLE: dict[str, str] = {
     "op9_chat_format": OP9_CHAT_FORMAT,
     "op10_near_vectors": OP10_NEAR_VECTORS,
     "op13_clustering": OP13_CLUSTERING,
+    "op1_quality_base": OP1_QUALITY_BASE,
     "op3_pii_base": OP3_PII_BASE,
     "op7_mixing_targets": OP7_MIXING_TARGETS,
 }

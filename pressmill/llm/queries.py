@@ -26,6 +26,11 @@ def quality_rules_query(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "kept_words")
 
 
+def quality_base_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The base measures of op1 alone, which SQL can state."""
+    return quality_rules_query(spark, folder).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def bpe_query(spark: SparkSession, folder: str) -> DataFrame:
     coded = bpe.encode(table(spark, folder, "documents"), *tokenizer())
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -127,6 +132,7 @@ def clustering_query(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules_query,
+    "op1_quality_base": quality_base_query,
     "op2_byte_bpe": bpe_query,
     "op3_pii": pii_query,
     "op3_pii_base": pii_base_query,

@@ -266,6 +266,25 @@ def parse_atom(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_tags(parse_feeds(payloads, _registry(spark, folder), fetched_at=9))
 
 
+def feeds_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Atom feeds of all documents in two stream batches; between them the registry changes the language of every source."""
+    from pressmill.streaming.feeds import feed_stream
+
+    inbox, registry, out, checkpoint = (work_dir(spark, n) for n in ("feeds", "registry", "items", "checkpoint"))
+    docs = _documents(spark, folder)
+    _registry(spark, folder).write.parquet(registry)
+    schema = "source_id string, payload string"
+    for half, language in ((0, None), (1, "xx")):
+        if language:
+            changed = spark.read.parquet(registry).withColumn("language", F.lit(language))
+            changed.write.mode("overwrite").parquet(registry + "-next")
+            spark.read.parquet(registry + "-next").write.mode("overwrite").parquet(registry)
+        _atom(docs.where(F.col("doc_id") % 2 == half)).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(schema).parquet(inbox)
+        feed_stream(stream, registry, out, checkpoint, fetched_at=9, once=True).awaitTermination()
+    return _flat_tags(spark.read.parquet(out).drop("batch"))
+
+
 def refused_feeds(spark: SparkSession, folder: str) -> DataFrame:
     """Document texts are no feeds; every one goes to the dead-letter table."""
     docs = _documents(spark, folder)
@@ -683,6 +702,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         source_counts,
         parse_rss,
         parse_atom,
+        feeds_stream,
         refused_feeds,
         sentence_split,
         chunk_documents,

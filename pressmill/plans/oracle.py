@@ -269,6 +269,10 @@ SELECT source AS source_id, 'https://docs.example/' || doc_id || '#' || i AS url
     "parse_atom": f"""SELECT source AS source_id, 'https://docs.example/' || doc_id AS url, 'Doc ' || doc_id AS title,
   source AS summary, {_TRIMMED.format('text')} AS content, lang AS author, 1704067200::BIGINT AS published_at,
   min(lang) OVER (PARTITION BY source) AS language, source AS tags, 9::BIGINT AS fetched_at FROM documents""",
+    "feeds_stream": f"""SELECT source AS source_id, 'https://docs.example/' || doc_id AS url, 'Doc ' || doc_id AS title,
+  source AS summary, {_TRIMMED.format('text')} AS content, lang AS author, 1704067200::BIGINT AS published_at,
+  CASE WHEN doc_id % 2 = 0 THEN min(lang) OVER (PARTITION BY source) ELSE 'xx' END AS language, source AS tags,
+  9::BIGINT AS fetched_at FROM documents""",
     "refused_feeds": """SELECT CASE WHEN length(text) > 200 THEN text[1:200] || '...' ELSE text END AS value_sample,
   'invalid_feed' AS reason FROM documents""",
     "sentence_split": rf"""WITH {ITEMS}, cut AS (

@@ -589,3 +589,26 @@ def test_jobs_set_the_embedding_batch_size(spark, table):
     assert ingest_items(items(spark, *[doc(f"u{i}", "a b c d.") for i in range(20)]).coalesce(1), table, options) == 20
     assert len(texts(table)) == 20
     assert {r.embedding[0] for r in table.read().collect()} <= {1.0, 2.0, 3.0}
+
+
+def test_stream_dedup_calls_its_state_function_by_group_not_by_url(spark, tmp_path):
+    """Urls of one group keep their own times; a null url is a url; state goes url by url."""
+    inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    hour = 3600
+
+    def once(*rows):
+        spark.createDataFrame(list(rows), "url string, content string, at bigint").coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema("url string, content string, at bigint").parquet(inbox)
+        kept = dedup_stream(stream, "72 hours", event_time="at", groups=1)
+        assert kept.columns == ["url", "content", "at"]
+        run(
+            kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        return sorted(r.content for r in spark.read.parquet(out).collect())
+
+    assert once(("a", "a1", 1000 * hour), ("a", "a2", 1001 * hour), ("b", "b1", 900 * hour), (None, "n1", 5 * hour)) == ["a1", "b1", "n1"]
+    assert once(("b", "b2", 971 * hour), (None, "n2", 6 * hour), ("c", "c1", hour)) == ["a1", "b1", "c1", "n1"]
+    assert once(("b", "b3", 972 * hour), (None, "n3", 77 * hour), ("a", "a3", 1071 * hour)) == ["a1", "b1", "b3", "c1", "n1", "n3"]
+    state = spark.read.format("statestore").load(checkpoint)
+    assert state.count() == 1

@@ -7,7 +7,7 @@ from pressmill.functions.vectors import TopK, hash_vectors, list_matrix
 from pressmill.operators.answers import answers, contexts, register_completer
 from pressmill.operators.embedding import embed, embed_batch, embedder, register_embedder, require_dimension
 from pressmill.operators.joins import fits_broadcast, lookup_join
-from pressmill.operators.retrieval import hit_defaults, search, top_k_ids
+from pressmill.operators.retrieval import _few_tasks, hit_defaults, search, top_k_ids
 
 VECTORS = "chunk_id string, embedding array<float>, url string, title string, chunk_text string, language string"
 
@@ -244,3 +244,28 @@ def test_a_failing_completion_costs_its_question_only(spark):
     assert all(a is None and e == "completion_failed: RuntimeError: model refused" for a, e in (got[i] for i in (3, 11, 12)))
     assert all(a.startswith("ok ") and e is None for i, (a, e) in got.items() if i not in (3, 11, 12))
     assert answers(asked, found, provider="picky").columns == ["question_id", "answer", "sources"]
+
+
+def test_candidates_grow_with_questions_not_with_splits(spark, data, monkeypatch):
+    monkeypatch.setattr("pressmill.operators.retrieval.TASKS_PER_CORE", 1)
+    questions, vectors, ids = data
+    cores = spark.sparkContext.defaultParallelism
+    many = stored(spark, vectors).repartition(5 * cores)
+    assert _few_tasks(many).rdd.getNumPartitions() == cores
+    plan = _few_tasks(many)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" in plan
+    assert result(top_k_ids(asked(spark, questions), many, 7)) == brute(questions, vectors, ids, 7)
+
+
+def test_scores_that_single_precision_confuses_are_told_apart():
+    """Candidates closer than a float tells apart rank by their scores in double precision."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=16)
+    other = np.linalg.norm(base) * np.eye(16)[0]
+    vectors = np.array([base + other * 1e-4 * (1 + 1e-3 * i) for i in range(3000)])
+    ids = rng.permutation(3000)
+    top = TopK(base[None], np.array([5]))
+    for at in range(0, 3000, 700):
+        top.add(ids[at : at + 700], vectors[at : at + 700])
+    assert [(int(q), int(i)) for q, i in zip(top.q, top.ids)] == [(q, i) for q, _, i, _ in brute(base[None], vectors, list(ids), 5)]
+    assert top._coarse.dtype == np.float32

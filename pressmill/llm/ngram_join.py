@@ -421,6 +421,29 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(fb, "b").join(fa, "a").select("a", "b", "fa", "fb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _stars(pairs: DataFrame) -> DataFrame:
+    """Of all candidate pairs, those of a set with the smallest of its partners: one a set at most."""
+    both = pairs.union(pairs.select("b", "a"))
+    return both.groupBy("a").agg(F.min("b").alias("b")).where("b < a").select(F.col("b").alias("a"), F.col("a").alias("b"))
+
+
+def _apart_still(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components; further links inside one change nothing."""
+    placed = pairs
+    for side in "ab":
+        place = joined.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+        placed = placed.join(place, side, "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
+    return placed.where("_a <> _b").select("a", "b")
+
+
+def _grown(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links, which join whole components: one edge for each two of them, and one for each set."""
+    part = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+    ends = links.join(part("a"), "a", "left").join(part("b"), "b", "left")
+    ends = ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).distinct()
+    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(ends))
+
+
 def ngram_join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -450,8 +473,12 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     pairs = materialize(spark, _promising(found, big, facts), "ngram")
     ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(big.select("sid")).distinct()
     sets = materialize(spark, _sets(docs, classes.join(ends, "sid").select("sid", "rep")), "ngram")
-    links = materialize(spark, _verified(pairs, sets), "ngram")
-    joined = materialize(spark, components(links), "ngram")
+    # A family of like sets has very many pairs, and a star of it joins most of it: the others are verified only where
+    # their ends are still apart.
+    stars = materialize(spark, _stars(pairs), "ngram")
+    joined = materialize(spark, components(_verified(stars, sets)), "ngram")
+    rest = materialize(spark, _apart_still(pairs.join(stars, ["a", "b"], "left_anti"), joined), "ngram")
+    joined = materialize(spark, _grown(joined, _verified(rest, sets)), "ngram")
 
     # Groups that met one pivot each: light sets still apart from others meet all of them, some in each round.
     counts = big.groupBy("key").agg(F.sum((F.col("light") > 0).cast("int")).alias("lights"), F.max("own").alias("any"))
@@ -472,8 +499,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         more = more.select(F.least("sid", "p_sid").alias("a"), F.greatest("sid", "p_sid").alias("b")).distinct()
         more = materialize(spark, more.join(pairs, ["a", "b"], "left_anti"), "ngram")
         if more.take(1):
-            links = materialize(spark, links.union(_verified(more, sets)), "ngram")
-            joined = materialize(spark, components(links), "ngram")
+            joined = materialize(spark, _grown(joined, _verified(more, sets)), "ngram")
             pairs = pairs.union(more)
         if pivots >= most:
             break

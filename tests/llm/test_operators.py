@@ -371,3 +371,14 @@ def test_blobs_go_to_as_many_buckets_as_entries():
     x = np.arange(4000)
     to = ngram_join._blob(1000, 1, x, x, x, size=1).column("bucket").to_pylist()
     assert min(to) >= 0 and max(to) < 1000 and len(set(to)) > 900 and max(Counter(to).values()) < 25
+
+
+def test_a_family_of_near_copies_gives_an_edge_a_set_not_a_pair(spark, documents, monkeypatch):
+    """Edges that reach the components grow with the sets of a family, not with its pairs."""
+    edges, plain = [], ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda e: edges.append(e.count()) or plain(e))
+    texts = list(near_copies(3, 40, 1))
+    got = ngram_join.ngram_join(documents(*enumerate(texts))).collect()
+    _, part = linked(dict(enumerate(texts)))
+    assert {r.doc_id: r.component_id for r in got} == part
+    assert edges and max(edges) <= 2 * len(texts)

@@ -9,8 +9,9 @@ Every folder is laid out by a bucket of the chunk id (``partitionBy``), and
 the snapshot knows the rows of each delta per bucket. A read pairs base and
 deltas bucket group by bucket group, each group holding at most
 ``BROADCAST_DELTA_ROWS`` delta rows, so the ids of a group are broadcast and
-base rows, vectors and all, are filtered where they lie: no shuffle of the base
-at any delta size, as long as one bucket's deltas fit the bound.
+base rows, vectors and all, are filtered where they lie. The driver holds the
+ids of all groups at once, so above ``BROADCAST_TOTAL_ROWS`` delta rows nothing is
+broadcast and the columns that are read are joined by a shuffle.
 
 A narrow url index (url, extent: one past the highest chunk index stored),
 laid out by a bucket of the url, lets ``replace_url`` find the ids past a new
@@ -38,6 +39,8 @@ from pressmill.schemas import EMBEDDED_CHUNK
 MAX_DELTAS = 32
 COMPACT_SHARE = 10  # compact once the deltas hold a tenth of the base
 BROADCAST_DELTA_ROWS = 500_000
+#: The groups' ids are all held by the driver at once, so this bounds them together; above it one shuffled join pairs base and deltas.
+BROADCAST_TOTAL_ROWS = 500_000
 #: Buckets of chunk ids and of urls in a new collection (``ensure`` takes others). Each
 #: writing task makes one file per bucket, and one bucket's deltas must fit the
 #: broadcast bound, so a collection expecting D delta rows at most wants
@@ -170,11 +173,14 @@ class VectorTable:
     def _groups(snapshot: dict, buckets: int) -> list[tuple[list[int] | None, bool]]:
         """All buckets dealt in order into groups of at most ``BROADCAST_DELTA_ROWS`` delta rows.
 
-        One group (``None``: all buckets) while all deltas fit. A bucket above
-        the bound stands alone and is joined by a shuffle: more buckets at
-        creation keep that away.
+        One group (``None``: all buckets) while all deltas fit, or where they
+        exceed ``BROADCAST_TOTAL_ROWS`` together and are joined by a shuffle. A
+        bucket above the bound stands alone and is joined by a shuffle: more
+        buckets at creation keep that away.
         """
         total = sum(d["rows"] for d in snapshot["deltas"])
+        if total > BROADCAST_TOTAL_ROWS:
+            return [(None, False)]
         if total <= BROADCAST_DELTA_ROWS or any("buckets" not in d for d in snapshot["deltas"]):
             return [(None, total <= BROADCAST_DELTA_ROWS)]
         counts = dict.fromkeys(range(buckets), 0)

@@ -485,6 +485,23 @@ def test_reads_above_the_broadcast_bound_pair_buckets_without_moving_the_base(sp
     assert "PartitionFilters: [isnotnull(_bucket" in plan or "PartitionFilters: [_bucket" in plan
 
 
+def test_deltas_above_the_total_bound_are_not_broadcast(spark, table, monkeypatch):
+    monkeypatch.setattr("pressmill.operators.vector_table.BROADCAST_DELTA_ROWS", 40)
+    monkeypatch.setattr("pressmill.operators.vector_table.BROADCAST_TOTAL_ROWS", 100)
+    ingest_items(items(spark, *[doc(f"u{i}", f"first {i}.") for i in range(300)]), table, SMALL)
+    ingest_items(items(spark, *[doc(f"u{i}", f"second {i}.", 2) for i in range(0, 300, 2)]), table, SMALL)
+    ingest_items(items(spark, *[doc(f"u{i}", f"third {i}.", 3) for i in range(0, 300, 3)]), table, SMALL)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # Spark's own choice, by size
+    try:
+        plan = table.read()._jdf.queryExecution().executedPlan().toString()
+        got = {r.url: r.chunk_text for r in table.read().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastExchange" not in plan
+    assert got == {f"u{i}": f"{'third' if i % 3 == 0 else 'second' if i % 2 == 0 else 'first'} {i}." for i in range(300)}
+
+
 def test_replace_url_follows_extents_through_every_kind_of_upsert(spark, table):
     replace = IngestOptions(max_tokens=4, overlap_tokens=0, dim=8, replace_url=True)
 

@@ -161,7 +161,8 @@ class VectorTable:
             mine = (lambda df: df) if group is None else (lambda df, g=group: df.where(F.col("_bucket").isin(g)))
             delta = mine(deltas)
             ids = delta.groupBy("chunk_id").agg(F.max("_seq").alias("_seq")) if versions else delta.select("chunk_id", "_seq")
-            ids = F.broadcast(ids) if fits else ids
+            # By its own estimate, from narrow files, Spark would broadcast far too many ids.
+            ids = F.broadcast(ids) if fits else ids.hint("merge")
             newest = delta.join(ids, ["chunk_id", "_seq"], "left_semi") if versions else delta
             kept = newest.where(~F.col("_removed"))
             if snapshot["base"]:

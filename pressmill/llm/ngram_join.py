@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.llm import packed
@@ -444,6 +444,19 @@ def _grown(joined: DataFrame, links: DataFrame) -> DataFrame:
     return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(ends))
 
 
+def _chosen(pivots: int) -> Column:
+    """Whether a group's member is among the first ``pivots`` or so of its light sets, in the order of a hash of the set."""
+    if not pivots:
+        return F.lit(False)
+    rank = F.pmod(F.xxhash64("sid"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return (F.col("light") > 0) & (rank < F.least(F.lit(1.0), F.lit(float(pivots)) / F.col("lights")))
+
+
+def _unmet(placed: DataFrame, pivots: int) -> DataFrame:
+    """The members a group still needs: pivots have met all others, and where all light sets were pivots nothing is left to meet."""
+    return placed.where((F.col("lights") > pivots) & ~_chosen(pivots))
+
+
 def ngram_join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -484,14 +497,17 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     counts = big.groupBy("key").agg(F.sum((F.col("light") > 0).cast("int")).alias("lights"), F.max("own").alias("any"))
     big = materialize(spark, big.join(counts.where("lights > 0 and any > 0").select("key", "lights"), "key"), "ngram")
     done, pivots = 0, PIVOTS
-    while most := big.agg(F.coalesce(F.max("lights"), F.lit(0))).first()[0]:
+    while True:
         placed = big.join(joined, big.sid == joined.node, "left").select(*big.columns, F.coalesce("component", "sid").alias("part"))
-        open_ = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
-        placed = materialize(spark, placed.join(open_, "key"), "ngram")
-        # A set is a pivot in all its groups or in none; those before were met by all.
-        rank = F.pmod(F.xxhash64("sid"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-        chance = lambda n: F.least(F.lit(1.0), F.lit(float(n)) / F.col("lights")) if n else F.lit(0.0)
-        pivot = placed.where((F.col("light") > 0) & (rank < chance(pivots)) & (rank >= chance(done)))
+        # Members are dealt out by set: a key may have very many, and each meets all pivots of its key.
+        placed = materialize(spark, placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sid"), "ngram")
+        open_ = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.max("lights").alias("most"))
+        open_ = materialize(spark, open_.where("p <> q").select("key", "most"), "ngram")
+        most = open_.agg(F.coalesce(F.max("most"), F.lit(0))).first()[0]
+        if not most:
+            break
+        # Only pivots are looked up among the open groups: the members stay one row each, whatever the rounds.
+        pivot = placed.where(_chosen(pivots) & ~_chosen(done)).join(open_.select("key"), "key")
         pivot = pivot.select("key", *[F.col(c).alias(f"p_{c}") for c in pivot.columns if c != "key"])
         # Sets that share no rare feature differ in all of them; those that do share one meet by it.
         near = _near("", "p_", "if(full > 0, rare + p_rare, 0)")
@@ -503,7 +519,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
             pairs = pairs.union(more)
         if pivots >= most:
             break
-        big, done, pivots = placed.select(*big.columns), pivots, pivots * 16
+        big, done, pivots = _unmet(placed, pivots).select(*big.columns), pivots, pivots * 16
 
     parts = classes.join(joined, classes.sid == joined.node, "left").select("sid", "rep", F.coalesce("component", "sid").alias("part"))
     first = parts.groupBy("part").agg(F.min("rep").alias("component_id"))

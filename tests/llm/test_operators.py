@@ -382,3 +382,14 @@ def test_a_family_of_near_copies_gives_an_edge_a_set_not_a_pair(spark, documents
     _, part = linked(dict(enumerate(texts)))
     assert {r.doc_id: r.component_id for r in got} == part
     assert edges and max(edges) <= 2 * len(texts)
+
+
+def test_groups_drop_pivots_that_met_all_and_close_without_light_sets_left(spark):
+    # Groups 1 and 2 have 40 light members each and 3 others, group 3 has 5 light members.
+    rows = [(k, s, 1 if s < 40 else 0, 40, s) for k in (1, 2) for s in range(43)] + [(3, s, 1, 5, s) for s in range(5)]
+    placed = spark.createDataFrame(rows, "key bigint, sid bigint, light int, lights bigint, part bigint")
+    met = {(r.key, r.sid) for r in placed.where(ngram_join._chosen(16)).collect()}
+    left = {(r.key, r.sid) for r in ngram_join._unmet(placed, 16).collect()}
+    assert {(3, s) for s in range(5)} <= met and 0 < len([k for k, _ in met if k == 1]) < 40
+    assert left == {(k, s) for k, s, *_ in rows if k < 3} - met
+    assert not ngram_join._unmet(placed, 256).count() and not placed.where(ngram_join._chosen(0)).count()

@@ -13,4 +13,5 @@ def chunk_id(url: Column, index: Column) -> Column:
     chunks of the old one.
     """
     digest = F.sha1(F.concat(url, F.lit("#"), index.cast("string")).cast("binary"))
-    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12}).*$", "$1-$2-$3-$4-$5")
+    parts = [F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.when(digest.isNotNull(), F.concat_ws("-", *parts))

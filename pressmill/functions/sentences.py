@@ -20,6 +20,17 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text, f"(?U){SPACE}+"), lambda w: w != ""))
 
 
+def has_single_spaces(text: Column) -> Column:
+    """Whether U+0020 is the text's only white space and stands alone, between words: so cleaned texts look."""
+    other = F.rlike(text, F.lit(r"(?U)[\s\x1c-\x1f&&[^ ]]"))
+    return ~(F.contains(text, F.lit("  ")) | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" ")) | other)
+
+
+def spaced_word_count(text: Column) -> Column:
+    """As :func:`word_count`, for parts of a text with single spaces: no pattern is compiled and no word is copied."""
+    return F.when(text == "", 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1)
+
+
 def pack_spans(counts: Column, max_tokens: int, overlap_tokens: int) -> Column:
     """Greedy packing over word counts: array of half-open spans ``(lo, hi)``.
 

@@ -32,10 +32,9 @@ def hash_vectors(texts: list[str], dim: int) -> np.ndarray:
     split = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
     words = split.flatten().dictionary_encode()
     rows = pc.list_parent_indices(split).to_numpy(zero_copy_only=False)
-    digests = b"".join(hashlib.md5(w.encode()).digest() for w in words.dictionary.to_pylist())
-    digests = np.frombuffer(digests, np.uint8).reshape(-1, 16)
-    bucket = digests[:, :4].copy().view(">u4").ravel().astype(np.int64) % dim
-    sign = np.where(digests[:, 4] < 128, 1.0, -1.0)
+    head, fifth = md5_heads(words.dictionary)
+    bucket = head.astype(np.int64) % dim
+    sign = np.where(fifth < 128, 1.0, -1.0)
     sign[pc.equal(words.dictionary, "").to_numpy(zero_copy_only=False).astype(bool)] = 0.0
     codes = words.indices.to_numpy(zero_copy_only=False)
     cells = rows * dim + bucket[codes] if len(codes) else np.zeros(0, dtype=np.int64)
@@ -44,6 +43,57 @@ def hash_vectors(texts: list[str], dim: int) -> np.ndarray:
     return unit_rows(dense).astype(np.float32)
 
 
+_SHIFTS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+_SINES = np.floor(np.abs(np.sin(np.arange(1, 65))) * 2.0**32).astype(np.uint32)
+_ONE_BLOCK = 55  # bytes; longer words are hashed one by one
+
+
+def md5_heads(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The first four bytes of each word's md5 as a big-endian number, and the fifth.
+
+    Words of one block are hashed together, a column of their bytes at a time.
+    """
+    words = words.cast(pa.large_binary())
+    head, fifth = np.zeros(len(words), np.uint32), np.zeros(len(words), np.uint8)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8) if len(words) else np.zeros(0, np.uint8)
+    sizes = np.diff(ends)
+    for at in range(0, len(words), 8192):
+        some = at + np.flatnonzero(sizes[at : at + 8192] <= _ONE_BLOCK)
+        n = sizes[some]
+        blocks = np.zeros((len(some), 64), np.uint8)
+        row = np.repeat(np.arange(len(some)), n)
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        blocks[row, place] = raw[np.repeat(ends[some], n) + place]
+        blocks[np.arange(len(some)), n] = 0x80
+        blocks[:, 56:58] = (8 * n).astype("<u2").view(np.uint8).reshape(-1, 2)
+        a, b = _md5_block(np.ascontiguousarray(blocks.view("<u4").T))
+        head[some], fifth[some] = a.astype(np.uint32).byteswap(), b & np.uint32(255)
+    for i in np.flatnonzero(sizes > _ONE_BLOCK).tolist():
+        digest = hashlib.md5(words[i].as_py()).digest()
+        head[i], fifth[i] = int.from_bytes(digest[:4], "big"), digest[4]
+    return head, fifth
+
+
+def _md5_block(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first two words of the md5 of messages of one block, given as 16 rows of little-endian numbers."""
+    start = [np.full(m.shape[1], x, np.uint32) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+    a, b, c, d = start
+    for i in range(64):
+        if i < 16:
+            f, g = d ^ (b & (c ^ d)), i
+        elif i < 32:
+            f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif i < 48:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f = f + a + _SINES[i] + m[g]
+        turn = _SHIFTS[i // 16][i % 4]
+        a, b, c, d = d, b + (f << np.uint32(turn) | f >> np.uint32(32 - turn)), b, c
+    return a + start[0], b + start[1]
+
+
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; zero rows stay zero."""
     norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))

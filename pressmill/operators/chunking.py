@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.functions.ids import chunk_id
-from pressmill.functions.sentences import join_spans, pack_spans, split_sentences, word_count
+from pressmill.functions.sentences import has_single_spaces, join_spans, pack_spans, spaced_word_count, split_sentences, word_count
 from pressmill.functions.text import first_filled
 
 MAX_TOKENS = 512
@@ -44,10 +44,12 @@ def chunk_items(
     sentences = (
         items.select("url", *payload, pick_text().alias("_text"))
         .where(F.col("_text").isNotNull())
+        .withColumn("_spaced", has_single_spaces(F.col("_text")))
         .withColumn("_sentences", split_sentences(F.col("_text")))
         .drop("_text")
     )
-    spans = sentences.withColumn("_words", F.transform("_sentences", word_count)).withColumn(
+    words = F.when(F.col("_spaced"), F.transform("_sentences", spaced_word_count)).otherwise(F.transform("_sentences", word_count))
+    spans = sentences.withColumn("_words", words).withColumn(
         "_spans", pack_spans(F.col("_words"), max_tokens, overlap_tokens)
     )
     cut = spans.select(

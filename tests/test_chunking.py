@@ -6,6 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from helpers import items
+from pyspark.sql import functions as F
+
+from pressmill.functions.sentences import has_single_spaces, spaced_word_count, word_count
 from pressmill.operators.chunking import chunk_items, split_items
 
 
@@ -106,3 +109,11 @@ def test_sentences_and_words(spark):
 def test_chunking_has_no_shuffle(spark):
     plan = chunk_items(items(spark, {"content": "a. b."}))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_words_of_cleaned_texts_are_counted_by_their_spaces(spark):
+    texts = ["a", "a b. c", "é 漢 x.", "", " a", "a ", "a  b", "a\tb", "a\x1cb", "a\u00a0b", "a\u2003b", "a\nb c"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", has_single_spaces(F.col("t")), spaced_word_count(F.col("t")), word_count(F.col("t"))).collect()
+    assert {t for t, single, *_ in got if single} == {"a", "a b. c", "é 漢 x.", ""}
+    assert all(fast == slow for _, single, fast, slow in got if single)

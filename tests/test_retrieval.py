@@ -1,13 +1,18 @@
+import hashlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pressmill.functions.vectors import TopK, hash_vectors, list_matrix
+from pyspark.sql import functions as F
+
+from pressmill.functions.vectors import TopK, hash_vectors, list_matrix, md5_heads
 from pressmill.operators.answers import answers, contexts, register_completer
 from pressmill.operators.embedding import embed, embed_batch, embedder, register_embedder, require_dimension
 from pressmill.operators.joins import fits_broadcast, lookup_join
-from pressmill.operators.retrieval import _few_tasks, hit_defaults, search, top_k_ids
+from pressmill.operators.retrieval import _few_tasks, _hit_rows, hit_defaults, search, top_k_ids
 
 VECTORS = "chunk_id string, embedding array<float>, url string, title string, chunk_text string, language string"
 
@@ -269,3 +274,21 @@ def test_scores_that_single_precision_confuses_are_told_apart():
         top.add(ids[at : at + 700], vectors[at : at + 700])
     assert [(int(q), int(i)) for q, i in zip(top.q, top.ids)] == [(q, i) for q, _, i, _ in brute(base[None], vectors, list(ids), 5)]
     assert top._coarse.dtype == np.float32
+
+
+def test_payload_of_many_hits_is_filtered_where_it_lies(spark):
+    payload = spark.range(1000).select(F.col("id").cast("string").alias("chunk_id"), F.lit("u").alias("url"))
+    ranked = spark.createDataFrame([(q, str(c)) for q in range(3) for c in (5, 7, q)], "question_id int, chunk_id string")
+    kept = _hit_rows(payload, ranked)
+    assert sorted(r.chunk_id for r in kept.collect()) == ["0", "1", "2", "5", "7"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert _hit_rows(payload, ranked, most=4).count() == 1000
+
+
+def test_md5_heads_of_short_and_long_words():
+    words = ["", "a", "é" * 27, "é" * 28, "x" * 55, "x" * 56, "y" * 500, "Ω" * 9]
+    head, fifth = md5_heads(pa.array(["skipped", *words]).slice(1))
+    digests = [hashlib.md5(w.encode()).digest() for w in words]
+    assert head.tolist() == [int.from_bytes(d[:4], "big") for d in digests] and fifth.tolist() == [d[4] for d in digests]
+    assert len(md5_heads(pa.array([], pa.string()))[0]) == 0

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.functions.language import ALLOWED
+from pressmill.functions.text import trim_space
 from pressmill.operators.chunking import MAX_TOKENS, OVERLAP_TOKENS, chunk_items
 from pressmill.operators.dedup import dedup_by_url
 from pressmill.operators.embedding import DIMENSION, embed
@@ -15,9 +16,10 @@ from pressmill.operators.language import allow_languages, detect_language
 from pressmill.operators.normalize import normalize_fields, normalize_items
 from pressmill.operators.validate import DECODE_REASONS, SCHEMA_REASONS, accepted, decode_records, rejects
 from pressmill.operators.vector_table import VectorTable, latest_per_chunk
-from pressmill.session import work_dir
+from pressmill.session import materialize, work_dir
 
 VERSION = ("fetched_at",)  # orders the versions of one url
+MAX_REPEATED = 200_000  # urls with several versions whose hashes are broadcast
 ITEM_ID = "item_id"  # tells apart items of one url and fetch time; later records win ties
 
 
@@ -98,10 +100,41 @@ def embed_chunks(chunks: DataFrame, options: IngestOptions) -> DataFrame:
     return embed(chunks, "chunk_text", options.provider, options.dim, options.embed_partitions, bool(options.drop_failed), options.batch_size)
 
 
-def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions, **batch) -> int:
+def latest_chunks(items: DataFrame, options: IngestOptions) -> DataFrame:
+    """Chunk rows of items, the last version of each chunk id.
+
+    A url that comes once has one version of each chunk, so its rows stay where
+    they are cut. Only urls that come again, or are null, have their chunks
+    ranked by a shuffle; urls are told apart by 64-bit hashes, and a once-only
+    url whose hash is taken for a repeated one is merely ranked as well. Where
+    most items or too many urls repeat, all chunks are ranked.
+    """
+    spark = items.sparkSession
+    url = trim_space(F.col("url"))
+    seen = items.select(F.xxhash64(url).alias("_url"), url.isNull().cast("int").alias("_none")).groupBy("_url")
+    seen = seen.agg(F.count("*").alias("n"), F.max("_none").alias("none"))
+    seen = materialize(spark, seen.select("_url", "n", ((F.col("n") > 1) | (F.col("none") > 0)).alias("again")), "urls")
+    again = F.when(F.col("again"), F.col("n"))
+    urls, repeated, total = seen.agg(F.count(again), F.coalesce(F.sum(again), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if not urls:
+        return chunked_items(items, options)
+
+    def ranked(some: DataFrame) -> DataFrame:
+        chunks = chunked_items(some, options)
+        return latest_per_chunk(chunks, newest_first(chunks.columns))
+
+    if urls > MAX_REPEATED or 2 * repeated > total:
+        return ranked(items)
+    several = F.broadcast(seen.where("again").select("_url"))
+    part = lambda how: items.withColumn("_url", F.xxhash64(url)).join(several, "_url", how).drop("_url")
+    return chunked_items(part("left_anti"), options).unionByName(ranked(part("left_semi")))
+
+
+def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions, latest: bool = False, **batch) -> int:
     """Embed and upsert. Superseded versions are dropped first, while a row is
-    still text: no vector is computed or shuffled for them."""
-    latest = latest_per_chunk(chunks, newest_first(chunks.columns))
+    still text: no vector is computed or shuffled for them. ``latest`` says
+    that none are among the chunks."""
+    latest = chunks if latest else latest_per_chunk(chunks, newest_first(chunks.columns))
     rows = embed_chunks(latest, options)
     return table.upsert(
         rows,
@@ -114,8 +147,12 @@ def store_chunks(chunks: DataFrame, table: VectorTable, options: IngestOptions,
 
 
 def ingest_items(items: DataFrame, table: VectorTable, options: IngestOptions = IngestOptions(), **batch) -> int:
-    """Run the whole job, then keep the table's deltas few; returns the chunks written."""
-    written = store_chunks(chunked_items(items, options), table.ensure(options.dim), options, **batch)
+    """Run the whole job, then keep the table's deltas few; returns the chunks written.
+
+    The items' urls are read first, so items that are dear to make should be stored ones.
+    """
+    table.ensure(options.dim)
+    written = store_chunks(latest_chunks(items, options), table, options, latest=True, **batch)
     table.maintain()
     return written
 
@@ -143,7 +180,7 @@ def ingest_records(
         else:
             refused.write.mode("append").parquet(reject_path)
     else:
-        accepted_rows = accepted(decoded)
+        accepted_rows = materialize(records.sparkSession, accepted(decoded), "decoded")  # urls are looked at first
     return ingest_items(accepted_rows, table, options, writer=writer, batch_id=batch_id)
 
 

@@ -624,3 +624,27 @@ def test_stream_dedup_calls_its_state_function_by_group_not_by_url(spark, tmp_pa
     assert once(("b", "b3", 972 * hour), (None, "n3", 77 * hour), ("a", "a3", 1071 * hour)) == ["a1", "b1", "b3", "c1", "n1", "n3"]
     state = spark.read.format("statestore").load(checkpoint)
     assert state.count() == 1
+
+
+def test_only_chunks_of_repeated_urls_are_ranked(spark):
+    from pressmill.operators.vector_table import latest_per_chunk
+    from pressmill.plans.ingest import chunked_items, latest_chunks, newest_first
+
+    options = IngestOptions(max_tokens=3, overlap_tokens=0, dim=4)
+    long, short = "A b c. D e f. G h i.", "New one here."
+    once = [{"url": f"https://x.test/{i}", "content": long} for i in range(6)]
+    twice = [{"url": "https://x.test/t", "content": long}, {"url": " https://x.test/t ", "content": short, "fetched_at": 5}]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    alone = latest_chunks(items(spark, *once), options)
+    assert "Window" not in plan(alone) and "Exchange" not in plan(alone) and alone.count() == 18
+    for entries in (once + twice, once + [{"url": None, "content": long}], twice + twice[:1], []):
+        every = chunked_items(items(spark, *entries), options)
+        want = latest_per_chunk(every, newest_first(every.columns))
+        got = latest_chunks(items(spark, *entries), options)
+        assert got.columns == want.columns
+        key = lambda df: sorted((str(r.chunk_id), str(r.url), r.total_chunks) for r in df.collect())
+        if any(e["url"] is None for e in entries):
+            assert len(key(got)) == len(key(want)) == 19
+        else:
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert {r.chunk_text for r in latest_chunks(items(spark, *once, *twice), options).where("url like '%/t' and chunk_index = 0").collect()} == {short}

@@ -298,7 +298,7 @@ class VectorTable:
         kept = lookup_join(batch, totals, "url", ["chunk_id"], broadcast=small).where(~past)
         mine = [r[0] for r in totals.select(_bucket(F.col("url"), self.buckets()[1])).distinct().collect()]  # at most url_buckets rows
         index = self._scan_urls(urls).where(F.col("_ubucket").isin(mine))
-        index = index.join(F.broadcast(totals.select("url")) if small else totals.select("url"), "url", "left_semi")
+        index = index.join(F.broadcast(totals.select("url")) if small else totals.select("url").hint("merge"), "url", "left_semi")
         extents = lookup_join(_extents(index), totals, "url", ["url"], broadcast=small).where(F.col("extent") > F.col("_total"))
         place = F.explode(F.sequence(F.col("_total"), F.col("extent") - 1))
         stale = extents.select("url", place.alias("chunk_index")).select(chunk_id(F.col("url"), F.col("chunk_index")).alias("chunk_id"))

@@ -14,6 +14,7 @@ from pressmill.operators.answers import answers, contexts, prompts, register_com
 from pressmill.operators.chunking import chunk_items, split_items
 from pressmill.operators.dedup import dedup_by_url
 from pressmill.operators.embedding import embed, register_embedder
+from pressmill.operators.joins import fits_broadcast
 from pressmill.operators.language import allow_languages, detect_language, language_scores
 from pressmill.operators.normalize import normalize_items
 from pressmill.operators.records import (
@@ -42,6 +43,7 @@ from pressmill.streaming.ingest import ingest_stream, reject_stream
 DIM = 64
 SMALL = {"max_tokens": 64, "overlap_tokens": 16}
 OPTIONS = IngestOptions(**SMALL, dim=DIM)
+LABEL_ROWS = 500_000  # three numbers each; more labels are not broadcast
 CHUNK_COLUMNS = ["chunk_id", "url", "title", "chunk_text", "chunk_index", "total_chunks", "language", "source_id"]
 
 
@@ -364,7 +366,9 @@ def _new_table(spark: SparkSession, name: str) -> VectorTable:
 
 def _reviewed(spark: SparkSession, folder: str, fetched_at: int, text: Column) -> DataFrame:
     """A short second version of every labelled document."""
-    labelled = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    labels = table(spark, folder, "labels")
+    labels = F.broadcast(labels) if fits_broadcast(labels, LABEL_ROWS) else labels.hint("merge")
+    labelled = table(spark, folder, "documents").join(labels, "doc_id")
     items = document_items(labelled.withColumn("text", text))
     return items.withColumn("fetched_at", F.lit(fetched_at).cast("bigint"))
 

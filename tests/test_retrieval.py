@@ -224,6 +224,16 @@ def test_lookup_join_plans_agree(spark):
     assert salted.count() == 3000
 
 
+def test_a_lookup_not_measured_small_is_never_broadcast(spark, tmp_path):
+    rows = spark.range(300).selectExpr("id", "cast(id % 50 as string) k")
+    rows.select("k").distinct().selectExpr("k", "length(k) n").write.parquet(str(tmp_path / "lookup"))
+    lookup = spark.read.parquet(str(tmp_path / "lookup"))  # a file far below Spark's own bound
+    for how in ("inner", "left"):
+        joined = lookup_join(rows, lookup, "k", ["id"], how=how, broadcast=False)
+        assert joined.count() == 300
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_list_matrix_rejects_nulls():
     import pyarrow as pa
 

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from pressmill.llm import packed
 from pressmill.llm.common import lower_ascii, mix, slices, split_words, texts, windows, word_hashes
@@ -45,7 +46,8 @@ HOT_DOCS = 48  # documents from which a feature is frequent
 HOT_LIST = 100_000  # frequent features at most; any choice of them keeps the join exact
 LOCAL_GROUP, GROUP = 64, 64  # sets from which a signature's group meets pivots only, in a chunk and in a bucket
 PIVOTS = 16  # in the first round after the star
-OWN, BIG, LIGHT, FULL = 1, 2, 4, 8  # flags of an entry
+TILE, TILE_SALTS = 256, 8  # members, and pivots, of a group that meet in one call; tasks that a group's tiles go to
+OWN, BIG, LIGHT, FULL, SINGLE = 1, 2, 4, 8, 16  # flags of an entry
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 ENOUGH = 1 << 30  # shared entries of a pair that need not be counted
 
@@ -126,19 +128,39 @@ def signatures(features: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.nd
         need = len(used) - k
         if need <= 0:
             need = -max(0, len(rare) - k)
-            sign(rare ^ mix(seed[2:3]), mine | LIGHT)
+            sign(rare ^ mix(seed[2:3]), mine | LIGHT | SINGLE)
             if len(rare) <= k:
                 light = LIGHT if 2 * len(rare) <= k else 0
                 used, total = _parts(features, n)
                 sign(total * _ODD + (used.astype(np.uint64) << np.uint64(20)) + seed[1], mine | light | FULL)
                 if len(used) <= k:
-                    sign(features ^ mix(seed[3:4]), mine | light | FULL)
+                    sign(features ^ mix(seed[3:4]), mine | light | FULL | SINGLE)
         shared[band - own] = need
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint8), (own, 0, 0, len(rare))
     return np.concatenate(keys), np.concatenate(flags), (own, *shared, len(rare))
 
 
+_SPARE_BITS = 15
+
+
+def _spare(keys: np.ndarray, flags: np.ndarray, band: int) -> tuple[int, int]:
+    """Of each kind of entries of a set (parts or single features, of rare or all features) how many it can do without, for
+    its own and for the next band, packed.
+
+    A set and a partner that sign alike share all but as many entries of a kind as they differ in features. So if they share one,
+    they share one that is not among the last of either in any order of all keys: those beyond the differences and one more.
+    """
+    ordered = np.sort(keys)
+    twice = int((ordered[1:] == ordered[:-1]).sum())  # keys that fell together count once
+    count = np.bincount(flags & (OWN | FULL | SINGLE), minlength=OWN + FULL + SINGLE + 1)
+    packed_ = []
+    for mine, k in ((OWN, differences(band)), (0, differences(band + 1))):
+        spare = [max(0, min(int(count[mine | kind]) - twice - k - 1, (1 << _SPARE_BITS) - 1)) for kind in (0, FULL, SINGLE, FULL | SINGLE)]
+        packed_.append(sum(x << _SPARE_BITS * i for i, x in enumerate(spare)))
+    return packed_[0], packed_[1]
+
+
 def _star(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For the entries of large groups, sorted by key: each one's pivot, and whether the two make a pair that counts.
 
@@ -239,9 +261,9 @@ def _entries(hot: np.ndarray, width: int, facts: dict[int, tuple[int, ...]], bat
                 continue
             keys, flags, (band, own, after, rare) = signatures(features, hot)
             if len(keys):
-                sid = set_id(features)
-                facts[sid] = (band << 32 | own + (1 << 31), after, rare, len(features), *_cells(features, hot))
-                yield packed.key_of(keys, width), np.full(len(keys), sid, np.int64), flags
+                sid, keys = set_id(features), packed.key_of(keys, width)
+                facts[sid] = (band << 32 | own + (1 << 31), after, rare, len(features), *_cells(features, hot), *_spare(keys, flags, band))
+                yield keys, np.full(len(keys), sid, np.int64), flags
 
 
 def _combine(keys: np.ndarray, owners: np.ndarray, flags: np.ndarray) -> tuple[tuple[np.ndarray, ...], ...]:
@@ -308,7 +330,7 @@ def profile(docs: DataFrame, hot_docs: int = HOT_DOCS) -> DataFrame:
 def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
     """``kind, a, b, key``: pairs of set ids with the entries they share (0), members of large groups by key (1), and of
     each set its band and the entries a partner of that band shares at least (``b``) or of the next one (``key``) (2),
-    its rare features (``b``) and size (``key``) (3), and the cells of its frequent features (4, 5)."""
+    its rare features (``b``) and size (``key``) (3), the cells of its frequent features (4, 5), and the entries it can spare (6)."""
     shared, buckets = docs.sparkSession.sparkContext.broadcast(hot), packed.bucket_count(entries)
     width = packed.key_width(entries)
 
@@ -321,6 +343,7 @@ def candidates(docs: DataFrame, hot: np.ndarray, entries: int) -> DataFrame:
             yield _tagged(_blob(buckets, 3, sids, rare, size), 1)
             yield _tagged(_blob(buckets, 4, sids, cells[0], cells[1]), 1)
             yield _tagged(_blob(buckets, 5, sids, cells[2], cells[3]), 1)
+            yield _tagged(_blob(buckets, 6, sids, cells[4], cells[5]), 1)
             go, (key, owner, flag), (a, b) = _combine(*chunk)
             yield _tagged(packed.pack(*go, buckets, width), 0)
             if len(key):
@@ -352,27 +375,42 @@ def _blob(buckets: int, kind: int, a: np.ndarray, b: np.ndarray, key: np.ndarray
 
 
 def _facts(found: DataFrame) -> DataFrame:
-    """``sid, band, own, after, rare, n, cells0 .. cells3`` of each set."""
+    """``sid, band, own, after, rare, n, cells0 .. cells3, spare, spare_next`` of each set."""
     of = lambda kind, column: F.max(F.when(F.col("kind") == kind, F.col(column)))
-    names = {"packed": (2, "b"), "after": (2, "key"), "rare": (3, "b"), "n": (3, "key"), "cells0": (4, "b"), "cells1": (4, "key"), "cells2": (5, "b"), "cells3": (5, "key")}
+    names = {"packed": (2, "b"), "after": (2, "key"), "rare": (3, "b"), "n": (3, "key"), "cells0": (4, "b"), "cells1": (4, "key"), "cells2": (5, "b"), "cells3": (5, "key"), "spare": (6, "b"), "spare_next": (6, "key")}
     facts = found.where("kind >= 2").groupBy(F.col("a").alias("sid")).agg(*[of(*v).alias(k) for k, v in names.items()])
     band, own = F.shiftright("packed", 32), F.col("packed") % (1 << 32) - (1 << 31)
     return facts.withColumn("band", band).withColumn("own", own).drop("packed")
 
 
+def _needed(big: DataFrame) -> DataFrame:
+    """The members of large groups without the entries a set can do without, those in its largest groups.
+
+    Any two sets that share an entry still share one (see ``_spare``), as all drop the last in one order of the keys;
+    entries outside large groups come first in it.
+    """
+    sized = big.join(big.groupBy("key").agg(F.count("*").alias("members")), "key")
+    kind = "(if(full > 0, 1, 0) + if(single > 0, 2, 0))"
+    spare = F.expr(f"shiftright(if(own > 0, spare, spare_next), {_SPARE_BITS} * {kind}) & {(1 << _SPARE_BITS) - 1}")
+    last = W.partitionBy("sid", "own", "full", "single").orderBy(F.desc("members"), "key")
+    return sized.withColumn("place", F.row_number().over(last)).where(F.col("place") > spare).select(*big.columns)
+
+
 def _promising(found: DataFrame, big: DataFrame, facts: DataFrame) -> DataFrame:
     """Pairs that share as many entries as linked sets must: the non-empty parts of either, less the most they differ in.
 
-    Entries in large groups are not counted by pairs, so as many as either set has there may be missing.
+    Entries in large groups are not counted by pairs, so as many as either set has there, of the band the two meet in, may
+    be missing.
     """
-    missing = big.groupBy("sid").agg(F.count("*").alias("missing"))
-    facts = facts.join(missing, "sid", "left").withColumn("missing", F.coalesce("missing", F.lit(0)))
+    in_band = lambda own: F.count_if((F.col("full") == 0) & ((F.col("own") > 0) == own))
+    missing = big.groupBy("sid").agg(in_band(True).alias("missing"), in_band(False).alias("missing_next"))
+    facts = facts.drop("spare", "spare_next").join(missing, "sid", "left").fillna(0, ["missing", "missing_next"])
     side = lambda s: facts.select(*[F.col(c).alias(s if c == "sid" else f"{s}_{c}") for c in facts.columns])
     pairs = found.where("kind = 0").groupBy("a", "b").agg(F.sum("key").alias("times")).join(side("a"), "a").join(side("b"), "b")
-    least = lambda s, o: F.when(F.col(f"{s}_band") >= F.col(f"{o}_band"), F.col(f"{s}_own")).otherwise(F.col(f"{s}_after"))
-    a, b = least("a", "b"), least("b", "a")
+    of = lambda s, o, own, after: F.when(F.col(f"{s}_band") >= F.col(f"{o}_band"), F.col(f"{s}_{own}")).otherwise(F.col(f"{s}_{after}"))
+    a, b = of("a", "b", "own", "after"), of("b", "a", "own", "after")
     least_shared = F.when((a <= 0) & (b <= 0), -F.least(a, b)).otherwise(F.greatest(a, b))
-    enough = F.col("times") + F.least("a_missing", "b_missing") >= least_shared
+    enough = F.col("times") + F.least(of("a", "b", "missing", "missing_next"), of("b", "a", "missing", "missing_next")) >= least_shared
     return pairs.where(enough).where(_near("a_", "b_")).select("a", "b")
 
 
@@ -457,6 +495,58 @@ def _unmet(placed: DataFrame, pivots: int) -> DataFrame:
     return placed.where((F.col("lights") > pivots) & ~_chosen(pivots))
 
 
+_MEMBER = ["sid", "part", "own", "full", "rare", "n", "cells0", "cells1", "cells2", "cells3"]
+
+
+def _met(members: DataFrame, pivot: DataFrame, pivots: int) -> DataFrame:
+    """``a, b``: members and pivots of a group that lie in different components and may be linked (see ``_near``).
+
+    A group's members, and its pivots, are packed into tiles of ``TILE`` or so, a row each, and each tile of members meets
+    each of pivots in numpy, where a pair costs a few nanoseconds and most never become rows. A large group's tiles are
+    dealt to several tasks.
+    """
+    tiles = lambda count: F.ceil(count / TILE).cast("int")
+    place = lambda salt, n: F.pmod(F.xxhash64("sid", F.lit(salt)), n).cast("int").alias("tile")
+    salts = F.least(tiles(F.col("members")), F.lit(TILE_SALTS)).alias("salts")
+    rows = members.select("key", salts, F.lit(0).alias("side"), place(1, tiles(F.col("members"))), *_MEMBER)
+    rows = rows.union(pivot.select("key", salts, F.lit(1).alias("side"), place(2, tiles(F.least("lights", F.lit(pivots)))), *_MEMBER))
+    packed_ = rows.groupBy("key", "side", "tile").applyInArrow(_tile, "key bigint, salts int, side int, tile int, block binary")
+    packed_ = materialize(members.sparkSession, packed_, "ngram")
+    mine = packed_.where("side = 0").select("key", F.pmod("tile", "salts").alias("salt"), F.col("block").alias("m"))
+    theirs = packed_.where("side = 1").select("key", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.col("block").alias("p"))
+    return mine.join(theirs, ["key", "salt"]).select("m", "p").mapInArrow(_tiles_met, "a bigint, b bigint").distinct()
+
+
+def _tile(group: pa.Table) -> pa.Table:
+    block = np.stack([group.column(c).to_numpy().astype(np.int64) for c in _MEMBER]).tobytes()
+    return group.slice(0, 1).select(["key", "salts", "side", "tile"]).append_column("block", pa.array([block], pa.binary()))
+
+
+def _tiles_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blocks in zip(batch.column("m"), batch.column("p")):
+            a, b = _tile_pairs(*(np.frombuffer(x.as_py(), np.int64).reshape(len(_MEMBER), -1) for x in blocks))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _tile_pairs(members: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    m, p = dict(zip(_MEMBER, members)), dict(zip(_MEMBER, pivots))
+    cells = [np.ascontiguousarray(x[-4:].T).view(np.uint8).astype(np.int16) for x in (members, pivots)]
+    # Sets that share no rare feature differ in all of them; those that do share one meet by it.
+    apart = np.where(m["full"][:, None] > 0, m["rare"][:, None] + p["rare"], 0)
+    small, large = np.minimum(m["n"][:, None], p["n"]), np.maximum(m["n"][:, None], p["n"])
+    room = (DEN - NUM) * (m["n"][:, None] + p["n"]) - (DEN + NUM) * apart
+    meet = (m["part"][:, None] != p["part"]) & (m["own"][:, None] + p["own"] > 0) & (DEN * small >= NUM * large) & (room >= 0)
+    if meet.any():
+        differ = np.zeros(meet.shape, np.int16)
+        for c in range(cells[0].shape[1]):
+            differ += np.abs(cells[0][:, c, None] - cells[1][:, c])
+        meet &= (DEN + NUM) * differ.astype(np.int64) <= room
+    a, b = np.nonzero(meet)
+    a, b = m["sid"][a], p["sid"][b]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def ngram_join(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -479,11 +569,12 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     found = materialize(spark, candidates(docs, hot, entries), "ngram")
 
     flag = F.col("b").cast("int")
-    big = found.where("kind = 1").select(F.col("a").alias("sid"), "key", flag.bitwiseAND(OWN).alias("own"), flag.bitwiseAND(LIGHT).alias("light"), flag.bitwiseAND(FULL).alias("full"))
-    big = big.groupBy("sid", "key").agg(*[F.max(c).alias(c) for c in ("own", "light", "full")])
+    big = found.where("kind = 1").select(F.col("a").alias("sid"), "key", flag.bitwiseAND(OWN).alias("own"), flag.bitwiseAND(LIGHT).alias("light"), flag.bitwiseAND(FULL).alias("full"), flag.bitwiseAND(SINGLE).alias("single"))
+    big = big.groupBy("sid", "key").agg(*[F.max(c).alias(c) for c in ("own", "light", "full", "single")])
     facts = materialize(spark, _facts(found), "ngram")
     big = materialize(spark, big.join(facts.drop("own", "after", "band"), "sid"), "ngram")
     pairs = materialize(spark, _promising(found, big, facts), "ngram")
+    big = materialize(spark, _needed(big).drop("single", "spare", "spare_next"), "ngram")
     ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(big.select("sid")).distinct()
     sets = materialize(spark, _sets(docs, classes.join(ends, "sid").select("sid", "rep")), "ngram")
     # A family of like sets has very many pairs, and a star of it joins most of it: the others are verified only where
@@ -494,8 +585,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     joined = materialize(spark, _grown(joined, _verified(rest, sets)), "ngram")
 
     # Groups that met one pivot each: light sets still apart from others meet all of them, some in each round.
-    counts = big.groupBy("key").agg(F.sum((F.col("light") > 0).cast("int")).alias("lights"), F.max("own").alias("any"))
-    big = materialize(spark, big.join(counts.where("lights > 0 and any > 0").select("key", "lights"), "key"), "ngram")
+    counts = big.groupBy("key").agg(F.sum((F.col("light") > 0).cast("int")).alias("lights"), F.max("own").alias("any"), F.count("*").alias("members"))
+    big = materialize(spark, big.join(counts.where("lights > 0 and any > 0").drop("any"), "key"), "ngram")
     done, pivots = 0, PIVOTS
     while True:
         placed = big.join(joined, big.sid == joined.node, "left").select(*big.columns, F.coalesce("component", "sid").alias("part"))
@@ -507,12 +598,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         if not most:
             break
         # Only pivots are looked up among the open groups: the members stay one row each, whatever the rounds.
-        pivot = placed.where(_chosen(pivots) & ~_chosen(done)).join(open_.select("key"), "key")
-        pivot = pivot.select("key", *[F.col(c).alias(f"p_{c}") for c in pivot.columns if c != "key"])
-        # Sets that share no rare feature differ in all of them; those that do share one meet by it.
-        near = _near("", "p_", "if(full > 0, rare + p_rare, 0)")
-        more = placed.join(pivot, "key").where(f"part <> p_part and own + p_own > 0 and {near}")
-        more = more.select(F.least("sid", "p_sid").alias("a"), F.greatest("sid", "p_sid").alias("b")).distinct()
+        pivot = placed.where(_chosen(pivots) & ~_chosen(done)).join(open_.select("key"), "key").select(*placed.columns)
+        more = _met(placed, pivot, pivots)
         more = materialize(spark, more.join(pairs, ["a", "b"], "left_anti"), "ngram")
         if more.take(1):
             joined = materialize(spark, _grown(joined, _verified(more, sets)), "ngram")

@@ -393,3 +393,43 @@ def test_groups_drop_pivots_that_met_all_and_close_without_light_sets_left(spark
     assert {(3, s) for s in range(5)} <= met and 0 < len([k for k, _ in met if k == 1]) < 40
     assert left == {(k, s) for k, s, *_ in rows if k < 3} - met
     assert not ngram_join._unmet(placed, 256).count() and not placed.where(ngram_join._chosen(0)).count()
+
+
+def test_sets_that_share_entries_of_large_groups_still_do_without_those_they_can_spare(spark):
+    r = np.random.RandomState(5)
+    common, rows, sets = [np.unique(r.randint(0, 1 << 63, 60).astype(np.uint64)) for _ in range(4)], [], []
+    for i in range(24):
+        own = r.randint(0, 1 << 63, 40).astype(np.uint64) if i % 4 == 0 else sets[i - 1][r.rand(len(sets[i - 1])) > 0.04]
+        sets.append(np.unique(np.concatenate([own, *([common[j] for j in r.permutation(4)[: i % 3]] if i % 4 == 0 else [])])))
+    hot = np.sort(np.concatenate(common))
+    for sid, features in enumerate(sets):
+        keys, flags, (band, *_) = ngram_join.signatures(features, hot)
+        rows += [(sid, int(k), *[int(f & x) for x in (1, 4, 8, 16)], *ngram_join._spare(keys, flags, band)) for k, f in zip(keys.astype(np.int64), flags)]
+    big = spark.createDataFrame(rows, "sid bigint, key bigint, own int, light int, full int, single int, spare bigint, spare_next bigint")
+    kept = {(x.sid, x.key) for x in ngram_join._needed(big).collect()}
+    assert len(kept) < 0.9 * len(rows)
+    mine = [{k for s, k, *_ in rows if s == i} for i in range(24)]
+    left = [{k for s, k in kept if s == i} for i in range(24)]
+    pairs = [(a, b) for a in range(24) for b in range(a) if 4 * len(np.intersect1d(sets[a], sets[b])) >= 3 * len(np.union1d(sets[a], sets[b]))]
+    assert len(pairs) > 20 and all(mine[a] & mine[b] and left[a] & left[b] for a, b in pairs)
+
+
+def test_members_of_large_groups_meet_in_tiles_and_only_near_ones_become_rows(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", 4)
+    r = np.random.RandomState(6)
+    names = ["key", *ngram_join._MEMBER, "lights", "members"]
+    rows = []
+    for key, n in ((1, 30), (2, 3), (3, 11)):
+        for i in range(n):
+            cells = [int(np.array(r.randint(0, 3, 8) + 60 * (w == 0), np.uint8).view(np.int64)[0]) for w in range(4)]
+            rows.append((key, 100 * key + i, int(r.randint(0, 3)), int(r.randint(0, 2)), int(r.choice([0, 8])), int(r.randint(0, 20)), int(r.randint(80, 120)), *cells, n, n))
+    members = spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c in ('own', 'full') else 'bigint'}" for c in names))
+    bytes_ = lambda x: np.array(x[7:11], np.int64).view(np.uint8).astype(int)
+    want = set()
+    for x in rows:
+        for y in (p for p in rows if p[1] % 2 and p[0] == x[0]):
+            differ = int(np.abs(bytes_(x) - bytes_(y)).sum()) + (x[5] + y[5] if x[4] else 0)
+            if x[2] != y[2] and x[3] + y[3] and 4 * min(x[6], y[6]) >= 3 * max(x[6], y[6]) and 7 * differ <= x[6] + y[6]:
+                want.add((min(x[1], y[1]), max(x[1], y[1])))
+    got = [tuple(x) for x in ngram_join._met(members, members.where("sid % 2 = 1"), 16).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 10 < len(want) < 500

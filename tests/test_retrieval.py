@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pressmill.functions.vectors import TopK, hash_vectors, list_matrix, md5_heads
 from pressmill.operators.answers import answers, contexts, register_completer
 from pressmill.operators.embedding import embed, embed_batch, embedder, register_embedder, require_dimension
+from pressmill.operators import retrieval
 from pressmill.operators.joins import fits_broadcast, lookup_join
 from pressmill.operators.retrieval import _few_tasks, _hit_rows, hit_defaults, search, top_k_ids
 
@@ -136,6 +137,35 @@ def test_running_top_k(seed, n, questions, k, batch):
     assert got == [(q, i, s) for q, _, i, s in brute(asked, vectors, list(ids), k)]
 
 
+def test_tiles_of_a_batch_are_taken_up_together_and_vectors_without_a_number_hide_nothing(monkeypatch):
+    rng = np.random.default_rng(8)
+    asked = rng.normal(size=(400, 8))
+    vectors = rng.normal(size=(9000, 8))
+    vectors[:400], vectors[2::7] = asked, np.nan
+    vectors[1500:9000:1024] = asked[:8] * 3  # one hit a tile
+    ids, merged, plain = np.arange(9000), [], TopK._merge
+    monkeypatch.setattr(TopK, "_merge", lambda self, *found: merged.append(len(found[0])) or plain(self, *found))
+    top = TopK(asked, np.full(400, 2), threshold=0.999)
+    top.add(ids[:400], vectors[:400])
+    first = len(merged)
+    top.add(ids[400:], vectors[400:])
+    assert first == 1 and len(merged) == 2
+    got = [(int(q), int(i), round(float(s), 6)) for q, i, s in zip(top.q, top.ids, top.score)]
+    good = ~np.isnan(vectors).any(axis=1)
+    assert got == [(q, i, round(s, 6)) for q, _, i, s in brute(asked, vectors[good], list(ids[good]), 2) if s >= 0.999] and len(got) > 300
+
+
+def test_blocks_of_questions_are_filled_up(spark, monkeypatch):
+    """Vectors are read once a block, so blocks are few."""
+    rng = np.random.default_rng(9)
+    questions, vectors = rng.normal(size=(560, 3)), rng.normal(size=(40, 3))
+    blocks, plain = [], retrieval._score_in_place
+    monkeypatch.setattr(retrieval, "_score_in_place", lambda q, *more: blocks.append(q.num_rows) or plain(q, *more))
+    got = top_k_ids(asked(spark, questions), stored(spark, vectors), 3, max_questions=100)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, top_k_ids(asked(spark, questions), stored(spark, vectors), 3).collect()))
+    assert len(blocks[:-1]) == 2 and sum(blocks[:-1]) == 560 and max(blocks[:-1]) <= 400
+
+
 def test_hash_vectors():
     got = hash_vectors(["a b  a", "", "B A a", "c"], 16)
     assert got.shape == (4, 16) and got.dtype == np.float32
